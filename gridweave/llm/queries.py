@@ -6,23 +6,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridweave.llm import quality, simhash
+from gridweave.llm import bpe, decontamination, pii, quality, secrets, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op2_query(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op3_query(_table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.op4_query(_table(spark, sf_dir, "documents"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op5_query(_table(spark, sf_dir, "documents"))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.op7_query(_table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.op8_query(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op9_query(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
+    "op4_secrets": op4_secrets,
+    "op5_pii": op5_pii,
+    "op7_bpe": op7_bpe,
+    "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
 }
 
