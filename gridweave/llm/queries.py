@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridweave.llm import bpe, decontamination, pii, quality, secrets, simhash, toxicity
+from gridweave.llm import bpe, decontamination, embeddings, html_extraction, pii, quality, secrets, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.op1_query(_table(spark, sf_dir, "pages"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op2_query(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -29,6 +33,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.op5_query(_table(spark, sf_dir, "documents"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.op6_query(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op7_query(_table(spark, sf_dir, "documents"))
 
@@ -42,10 +50,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
     "op5_pii": op5_pii,
+    "op6_embeddings": op6_embeddings,
     "op7_bpe": op7_bpe,
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
