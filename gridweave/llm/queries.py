@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridweave.llm import bpe, decontamination, embeddings, html_extraction, pii, quality, secrets, simhash, toxicity
+from gridweave.llm import bpe, decontamination, embeddings, html_extraction, pii, quality, secrets, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op9_query(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op10_query(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": op7_bpe,
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
+    "op10_warc": op10_warc,
 }
 
 #: None of the ten can be stated in SQL (hash, model, tokenizer, parser or index semantics); tests/llm holds each against
