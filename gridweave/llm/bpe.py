@@ -23,6 +23,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,10 @@ from gridweave.llm.textblock import blocks, texts
 
 HEAD = 1 << 17
 WORD_BYTES = 48
-TAIL = 200_000
+TAIL = 100_000
+#: Words encoded at once, and distinct words counted before they are sent.
+SLICE = 1_000
+COUNTED = 200_000
 
 Entry = tuple[int, str, str]
 
@@ -56,9 +60,21 @@ class WordTable:
         self.head = head or {}
         self.tail: dict[bytes, Entry] = {}
 
-    def encode(self, missing: list[bytes]) -> list[Entry]:
-        found = self.tokenizer.encode_batch([w.decode() for w in missing], add_special_tokens=False)
-        return [(len(x), " ".join(map(str, x)), " ".join(self.pieces[i] for i in x)) for x in (e.ids for e in found)]
+    def encode(self, words: list[bytes]) -> list[Entry]:
+        """An entry for each word. Words are encoded SLICE at a time as one text and told apart by their offsets."""
+        out: list[Entry] = []
+        for start in range(0, len(words), SLICE):
+            texts = [w.decode() for w in words[start : start + SLICE]]
+            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            ends = np.cumsum([len(t) + 1 for t in texts])
+            places = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
+            cuts = np.searchsorted(places, ends).tolist()
+            ids, low = found.ids, 0
+            for high in cuts:
+                own = ids[low:high]
+                out.append((len(own), " ".join(map(str, own)), " ".join([self.pieces[i] for i in own])))
+                low = high
+        return out
 
     def learn(self, words: set[bytes]) -> None:
         """Have an entry for each of ``words``."""
@@ -80,17 +96,24 @@ class WordTable:
 def word_counts(documents: DataFrame) -> DataFrame:
     """``word, n`` of the words of at most WORD_BYTES bytes, over all documents.
 
-    Counted per batch first; a word that a batch has once is not sent, which can only cost it a place in the head.
+    Tasks count COUNTED words before they send them; a word met once by then is not sent, which can only cost it a place in
+    the head.
     """
 
+    def sent(found: Counter) -> pa.RecordBatch:
+        rows = [(w, n) for w, n in found.items() if n > 1 and len(w) <= WORD_BYTES]
+        return pa.record_batch({"word": pa.array([w for w, _ in rows], pa.binary()), "n": pa.array([n for _, n in rows], pa.int64())})
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
         for batch in batches:
-            found: Counter = Counter()
             for part in blocks(batch):
                 for t in texts(part.column("text")):
                     found.update(t.split())
-            rows = [(w, n) for w, n in found.items() if n > 1 and len(w) <= WORD_BYTES]
-            yield pa.record_batch({"word": pa.array([w for w, _ in rows], pa.binary()), "n": pa.array([n for _, n in rows], pa.int64())})
+                if len(found) > COUNTED:
+                    yield sent(found)
+                    found.clear()
+        yield sent(found)
 
     return documents.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
