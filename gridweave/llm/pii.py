@@ -16,11 +16,10 @@ copies of one page, prove nothing. All counts cover all documents.
 Plan: one scan writes the narrow table of base spans and contexts; pair counts are aggregations over contexts only (at most
 2 * WINDOW per entity, never all pairs of a document); document counts of the terms come from a second scan that drops
 words outside a fixed-size bitmap of candidate terms (2^BITMAP_BITS bits, whatever the corpus; false hits fall away in the
-join) and counts per block before the shuffle. Hot entities are spread by document before they are counted, and the joins
-are plain equi-joins that adaptive execution splits. No text is shuffled to find spans.
+join) and adds up per task before the shuffle. Counts are combined before every shuffle, so hot entities cost nothing extra,
+and the joins are plain equi-joins that adaptive execution splits. No text is shuffled to find spans.
 
-Defined results: a null text is empty; repeated rows are one document to the statistics and get equal spans; a null id is
-an id; extra columns are ignored by the query and kept by ``sanitise``.
+Defined results: a null text is empty; repeated rows get equal spans and count as rows in the statistics; a null id is an id; extra columns are ignored by the query and kept by ``sanitise``.
 """
 
 from __future__ import annotations
@@ -45,6 +44,8 @@ WINDOW = 8
 MIN_TERM = 3
 BETA = 0.95
 BITMAP_BITS = 22
+#: Terms that a task adds up before it sends their counts.
+TERMS_HELD = 500_000
 PLACEHOLDER = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -111,8 +112,17 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def contexts(text: str, spans: list[Span]) -> list[tuple[int, int, int, int, int]]:
-    """(entity, term, start, end, context) of the terms around each span; places in characters."""
+def _entity(text: str, span: Span) -> int:
+    """Hash of a protected value and its kind."""
+    start, kind, end = span
+    return _signed(xxhash.xxh64_intdigest(f"{kind}:{text[start:end].lower()}", 1))
+
+
+def contexts(text: str, spans: list[Span]) -> list[tuple[int, int, int, int, int, int]]:
+    """(entity, term, start, end, context, first) of the terms around each span; places in characters.
+
+    ``first`` is 1 for the first row of an entity and term in the text, else 0: its sum counts texts.
+    """
     raw = np.frombuffer(text.encode(), np.uint8)
     starts, ends, _, hashes = words(raw, np.array([0, len(raw)]))
     place = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
@@ -121,25 +131,27 @@ def contexts(text: str, spans: list[Span]) -> list[tuple[int, int, int, int, int
     for s, _, e in spans:
         covered |= (starts < e) & (ends > s)
     starts, ends, hashes = starts[~covered], ends[~covered], hashes[~covered].view(np.int64)
-    out = []
+    out, known = [], set()
     for s, kind, e in spans:
-        entity = _signed(xxhash.xxh64_intdigest(f"{kind}:{text[s:e].lower()}", 1))
+        entity = _entity(text, (s, kind, e))
         middle = int(np.searchsorted(starts, s))
         near = slice(max(middle - WINDOW, 0), middle + WINDOW)
         context = _signed(xxhash.xxh64_intdigest(hashes[near].tobytes(), 2))
         for i in range(*near.indices(len(starts))):
             if ends[i] - starts[i] >= MIN_TERM:
-                out.append((entity, int(hashes[i]), int(starts[i]), int(ends[i]), context))
+                term = int(hashes[i])
+                out.append((entity, term, int(starts[i]), int(ends[i]), context, int((entity, term) not in known)))
+                known.add((entity, term))
     return out
 
 
 _SPAN = "struct<start:int,kind:int,end:int>"
-_SCAN = f"doc_id {{}}, row_key long, base array<{_SPAN}>, entities array<long>, near array<struct<e:long,t:long,start:int,end:int,ctx:long>>"
+_SCAN = f"doc_id {{}}, row_key long, base array<{_SPAN}>, entities array<long>, near array<struct<e:long,t:long,start:int,end:int,ctx:long,first:int>>"
 
 
 def _scan_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-    near = pa.struct([("e", pa.int64()), ("t", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("ctx", pa.int64())])
+    near = pa.struct([("e", pa.int64()), ("t", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("ctx", pa.int64()), ("first", pa.int32())])
     for batch in batches:
         base, found, entities = [], [], []
         for part in blocks(batch):
@@ -150,8 +162,8 @@ def _scan_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 spans = base_spans(text) if text else []
                 base.append([dict(zip(("start", "kind", "end"), s, strict=True)) for s in spans])
                 rows = contexts(text, spans) if spans else []
-                entities.append(sorted({_signed(xxhash.xxh64_intdigest(f"{k}:{text[s:e].lower()}", 1)) for s, k, e in spans}))
-                found.append([dict(zip(("e", "t", "start", "end", "ctx"), r, strict=True)) for r in rows])
+                entities.append(sorted({_entity(text, x) for x in spans}))
+                found.append([dict(zip(("e", "t", "start", "end", "ctx", "first"), r, strict=True)) for r in rows])
         yield pa.record_batch(
             [batch.column("doc_id"), batch.column("row_key"), pa.array(base, pa.list_(span)), pa.array(entities, pa.list_(pa.int64())), pa.array(found, pa.list_(near))],
             ["doc_id", "row_key", "base", "entities", "near"],
@@ -179,6 +191,7 @@ def _term_counts(documents: DataFrame, candidates: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
         low = np.uint64((1 << BITMAP_BITS) - 1)
+        terms, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for part in blocks(batch):
                 _, _, rows, hashes = words(*utf8(part.column("text")))
@@ -188,8 +201,13 @@ def _term_counts(documents: DataFrame, candidates: DataFrame) -> DataFrame:
                 rows, hashes = rows[order], hashes[order]
                 fresh = np.ones(len(rows), bool)
                 fresh[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
-                terms, counts = np.unique(hashes[fresh], return_counts=True)
-                yield pa.record_batch({"t": pa.array(terms.view(np.int64)), "n": pa.array(counts.astype(np.int64))})
+                more, n = np.unique(hashes[fresh], return_counts=True)
+                terms, back = np.unique(np.concatenate([terms, more]), return_inverse=True)
+                counts = np.bincount(back, np.concatenate([counts, n]), len(terms)).astype(np.int64)
+                if len(terms) > TERMS_HELD:
+                    yield pa.record_batch({"t": pa.array(terms.view(np.int64)), "n": pa.array(counts)})
+                    terms, counts = terms[:0], counts[:0]
+        yield pa.record_batch({"t": pa.array(terms.view(np.int64)), "n": pa.array(counts)})
 
     return documents.select("text").where("text <> ''").mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n_t"))
 
@@ -197,10 +215,9 @@ def _term_counts(documents: DataFrame, candidates: DataFrame) -> DataFrame:
 def disclosing_terms(documents: DataFrame, scanned: DataFrame) -> DataFrame:
     """``e, t, full``: terms above the disclosure threshold of an entity; full marks PMI = IC."""
     total = scanned.count()
-    holders = scanned.select("row_key", F.explode("entities").alias("e")).distinct().groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
-    near = scanned.select("row_key", F.explode("near").alias("x")).select("row_key", "x.e", "x.t", "x.ctx")
-    per_document = near.groupBy("e", "t", "row_key").agg(F.min("ctx").alias("low"), F.max("ctx").alias("high"))
-    pairs = per_document.groupBy("e", "t").agg(F.count(F.lit(1)).alias("n_te"), F.min("low").alias("low"), F.max("high").alias("high"))
+    holders = scanned.select(F.explode("entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
+    near = scanned.select(F.explode("near").alias("x")).select("x.*")
+    pairs = near.groupBy("e", "t").agg(F.sum("first").alias("n_te"), F.min("ctx").alias("low"), F.max("ctx").alias("high"))
     pairs = materialise(pairs.where("n_te >= 2 and low <> high").select("e", "t", "n_te"), "pairs")
     counts = _term_counts(documents, pairs)
     known = pairs.join(counts, "t").join(holders, "e")
@@ -215,9 +232,8 @@ def all_spans(documents: DataFrame) -> DataFrame:
     scanned = scan(documents)
     near = scanned.select("row_key", F.explode("near").alias("x")).select("row_key", "x.e", "x.t", "x.start", "x.end")
     risky = disclosing_terms(documents, scanned)
-    hits = near.join(risky, ["e", "t"]).groupBy("row_key", "start", "end").agg(F.max("full").alias("full"))
     item = F.struct("start", F.lit(4).alias("kind"), "end", "full")
-    terms = hits.groupBy("row_key").agg(F.array_sort(F.collect_list(item)).alias("terms"))
+    terms = near.join(risky, ["e", "t"]).groupBy("row_key").agg(F.array_sort(F.collect_set(item)).alias("terms"))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,full:boolean>>")
     joined = scanned.select("doc_id", "row_key", "base").join(terms, "row_key", "left")
     return joined.withColumn("terms", F.coalesce("terms", empty))
@@ -237,15 +253,15 @@ def op5_query(documents: DataFrame) -> DataFrame:
         "doc_id",
         *[count(k).alias(f"n_{KINDS[k]}") for k in range(4)],
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
-        _listed(F.array_sort(F.concat("base", plain))).alias("spans"),
-        F.size("terms").cast("long").alias("n_term"),
+        _listed(F.array_sort(F.concat("base", F.array_distinct(plain)))).alias("spans"),
+        F.size(F.array_distinct(plain)).cast("long").alias("n_term"),
     )
 
 
 def cleaned(text: str, base: list[Span], terms: list[tuple[int, int, int, bool]]) -> str:
     """The text with entities replaced by their kind, disclosing terms generalised or removed."""
     out, done = [], 0
-    for start, kind, end, full in sorted([(*s, False) for s in base] + terms):
+    for start, kind, end, full in sorted([(*s, False) for s in base] + terms, key=lambda s: (*s[:3], not s[3])):
         if start < done:
             done = max(done, end)
             continue
