@@ -10,6 +10,7 @@ import os
 import sqlite3
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -85,8 +86,6 @@ def geometry_wkb(blob: Column) -> Column:
 
 def with_bounds(rows: DataFrame, column: str = "geom") -> DataFrame:
     """Adds ``min_x, min_y, max_x, max_y`` of GeoPackage geometries."""
-    import pandas as pd
-
     def run(blobs: pd.Series) -> pd.DataFrame:
         out = [G.bounds(*G.from_wkb(G.from_gpkg(bytes(b))[1])[:2]) if b is not None else (None,) * 4 for b in blobs]
         return pd.DataFrame(out, columns=["min_x", "min_y", "max_x", "max_y"]).astype(float)
@@ -96,8 +95,6 @@ def with_bounds(rows: DataFrame, column: str = "geom") -> DataFrame:
 
 def with_geometry(rows: DataFrame, kind: str, srs: int = 4326) -> DataFrame:
     """Adds ``geom``, a GeoPackage blob with envelope, from ``lons, lats`` (``lon, lat`` for points), which go."""
-    import pandas as pd
-
     names = ("lon", "lat") if kind == "Point" else ("lons", "lats")
 
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
