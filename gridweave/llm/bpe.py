@@ -4,8 +4,7 @@ A text is split at ASCII white space. The tokenizer drops white space, and neith
 across it, so the ids of a text are the ids of its words in order. Words are counted in Spark over all texts; the HEAD most
 frequent ones (at most HEAD words of at most WORD_BYTES bytes: a fixed bound) are encoded once, by the tasks that hold them,
 and the table of word, ids and pieces is broadcast. The ids are joined back by position: each place of a text looks its word
-up. Words outside the table are encoded once per task, through a dictionary of at most TAIL words, whatever the text. So the
-table only decides where a word is encoded, never what comes out.
+up. Words outside the table are encoded once per task, through a dictionary of at most TAIL words, whatever the text. So the table only decides where a word is encoded, never what comes out.
 
 Decoding joins ids to pieces through the vocabulary's id-to-piece table.
 
@@ -30,9 +29,9 @@ from pyspark.sql import functions as F
 
 from gridweave.llm.textblock import blocks, texts
 
-HEAD = 1 << 17
+HEAD = 3 << 16
 WORD_BYTES = 48
-TAIL = 100_000
+TAIL = 150_000
 #: Words encoded at once, and distinct words counted before they are sent.
 SLICE = 1_000
 COUNTED = 200_000
@@ -76,21 +75,15 @@ class WordTable:
                 low = high
         return out
 
-    def learn(self, words: set[bytes]) -> None:
-        """Have an entry for each of ``words``."""
+    def entries(self, words: set[bytes]) -> dict[bytes, Entry]:
+        """The entries of ``words``; those outside the head are encoded unless an earlier call has done so."""
         missing = [w for w in words if w not in self.head and w not in self.tail]
         if len(self.tail) + len(missing) > TAIL:
             self.tail.clear()
             missing = [w for w in words if w not in self.head]
         self.tail.update(zip(missing, self.encode(missing), strict=True))
-
-    def entries(self, words: list[bytes]) -> Iterator[Entry]:
-        """The entries of a text's words by position; words without ids are left out."""
-        head, tail = self.head.get, self.tail
-        for w in words:
-            entry = head(w) or tail[w]
-            if entry[0]:
-                yield entry
+        head, tail = self.head, self.tail
+        return {w: head[w] if w in head else tail[w] for w in words}
 
 
 def word_counts(documents: DataFrame) -> DataFrame:
@@ -141,8 +134,10 @@ def encode_documents(documents: DataFrame, path: str, size: int = HEAD) -> DataF
         for batch in batches:
             for part in blocks(batch):
                 split = [t.split() for t in texts(part.column("text"))]
-                table.learn(set().union(*split))
-                found = [list(table.entries(own)) for own in split]
+                known = table.entries(set().union(*split))
+                found = [[known[w] for w in own] for own in split]
+                if not all(e[0] for e in known.values()):  # a word without ids leaves no blank
+                    found = [[e for e in own if e[0]] for own in found]
                 yield pa.record_batch(
                     [
                         part.column("doc_id"),
