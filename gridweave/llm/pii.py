@@ -170,13 +170,9 @@ def _scan_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _keyed(documents: DataFrame) -> DataFrame:
-    return documents.withColumn("row_key", F.xxhash64("doc_id", "text"))
-
-
 def scan(documents: DataFrame) -> DataFrame:
     """``doc_id, row_key, base, entities, near``: base spans and contexts of every row, stored."""
-    rows = _keyed(documents.select("doc_id", "text"))
+    rows = documents.select("doc_id", "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
     return materialise(rows.mapInArrow(_scan_task, _SCAN.format(dict(documents.dtypes)["doc_id"])), "pii")
 
 
@@ -274,14 +270,15 @@ def cleaned(text: str, base: list[Span], terms: list[tuple[int, int, int, bool]]
 
 def sanitise(documents: DataFrame) -> DataFrame:
     """The documents with personal data taken out of ``text``; ``n_chars``, where present, follows. Other columns stay."""
-    spans = all_spans(documents).where("size(base) > 0").select("row_key", "base", "terms").dropDuplicates(["row_key"])
-    rows = _keyed(documents).withColumnRenamed("row_key", "__key").join(spans.withColumnRenamed("row_key", "__key"), "__key", "left")
+    spans = all_spans(documents).where("size(base) > 0").dropDuplicates(["row_key"])
+    spans = spans.select(F.col("row_key").alias("__key"), F.col("base").alias("__base"), F.col("terms").alias("__terms"))
+    rows = documents.withColumn("__key", F.xxhash64("doc_id", "text")).join(spans.hint("shuffle_hash"), "__key", "left")
     names = documents.columns
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            base, terms = batch.column("base"), batch.column("terms")
+            base, terms = batch.column("__base"), batch.column("__terms")
             values = batch.column(at).to_pylist()
             for i in np.flatnonzero(base.is_valid().to_numpy(zero_copy_only=False)).tolist():
                 own = [(s["start"], s["kind"], s["end"]) for s in base[i].as_py()]

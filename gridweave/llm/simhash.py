@@ -27,10 +27,9 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.llm.textblock import blocks, texts
@@ -70,16 +69,16 @@ def fingerprint(text: bytes) -> int:
 def _fingerprint_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         values = [fingerprint(t) for part in blocks(batch) for t in texts(part.column("text"))]
-        yield pa.record_batch([batch.column("doc_id"), pa.array(np.array(values, np.uint64).view(np.int64))], ["doc_id", "fp"])
+        more = [c for c in batch.schema.names if c not in ("doc_id", "text")]
+        prints = pa.array(np.array(values, np.uint64).view(np.int64))
+        yield pa.record_batch([batch.column("doc_id"), prints, *map(batch.column, more)], ["doc_id", "fp", *more])
 
 
-def _fingerprint_series(text: pd.Series) -> pd.Series:
-    return pd.Series(np.array([fingerprint(t.encode()) for t in text], np.uint64).view(np.int64))
-
-
-def fingerprints(documents: DataFrame) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed long."""
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(_fingerprint_task, "doc_id long, fp long")
+def fingerprints(documents: DataFrame, *more: Column) -> DataFrame:
+    """``doc_id``, ``fp`` (the fingerprint as a signed long) and further columns of longs."""
+    rows = documents.select(F.col("doc_id").cast("long"), "text", *more)
+    names = [c for c in rows.columns if c not in ("doc_id", "text")]
+    return rows.mapInArrow(_fingerprint_task, ", ".join(f"{c} long" for c in ("doc_id", "fp", *names)))
 
 
 class BKTree:
@@ -174,16 +173,16 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """``doc_id, fp, component_id`` of every document."""
-    prints = materialise(fingerprints(documents), "fingerprints")
+def near_duplicates(documents: DataFrame, prints: DataFrame | None = None) -> DataFrame:
+    """``doc_id, fp, component_id`` of every document, and further columns of ``prints`` (stored fingerprints)."""
+    prints = prints if prints is not None else materialise(fingerprints(documents), "fingerprints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     labels = connected_components(fingerprint_links(classes.select("fp")))
     named = classes.join(labels.withColumnRenamed("node", "fp"), "fp").select("fp", "component", "least")
     least = named.groupBy("component").agg(F.min("least").alias("least_of_component"))
     linked = named.join(least, "component").select("fp", F.col("least_of_component").alias("linked_id"))
     ids = materialise(classes.join(linked, "fp", "left").select("fp", F.coalesce("linked_id", "least").alias("component_id")), "components")
-    return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(ids, "fp")
 
 
 def op3_query(documents: DataFrame) -> DataFrame:
@@ -194,18 +193,17 @@ def op3_query(documents: DataFrame) -> DataFrame:
 def keep_first(documents: DataFrame) -> DataFrame:
     """One document of each near-duplicate group, with the columns of ``documents``: the one whose id names the group.
 
-    Of several rows with that id the smallest (text first) stays. Rows with a null id stay only if their whole group has
-    none; of such a group the smallest row stays.
+    Of several rows with that id the one of smallest row hash stays, of equal rows one. Rows with a null id stay only if
+    their whole group has none; of the rows of such a group with one fingerprint one stays. Texts are moved once, and
+    streamed past a hash table of the kept rows' hashes.
     """
     columns = documents.columns
-    found = near_duplicates(documents)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    rest = [c for c in columns if c not in ("doc_id", "text")]
-    row = F.struct("text", *rest)
-    named = documents.join(keep, "doc_id").groupBy("doc_id").agg(F.min(row).alias("row")).select("doc_id", "row.*").select(*columns)
-    nameless = found.where("component_id is null").select("fp").distinct()
-    loose = documents.where("doc_id is null")
-    print_of = F.pandas_udf(_fingerprint_series, "long")
-    marked = loose.withColumn("fp_", print_of(F.coalesce("text", F.lit(""))))
-    lone = marked.join(nameless, F.col("fp_") == F.col("fp"), "left_semi").groupBy("fp_").agg(F.min(row).alias("row"))
-    return named.unionByName(lone.select(F.lit(None).cast("long").alias("doc_id"), "row.*").select(*columns))
+    row_hash = F.xxhash64(*columns)
+    prints = materialise(fingerprints(documents, row_hash.alias("row_hash")), "fingerprints")
+    found = near_duplicates(documents, prints)
+    named = found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("row_hash").alias("row_hash")).select("row_hash")
+    loose = found.where("component_id is null").groupBy("fp").agg(F.min("row_hash").alias("row_hash")).select("row_hash")
+    keep = materialise(named.unionByName(loose), "keep")
+    rows = documents.withColumn("__row", row_hash).join(keep.withColumnRenamed("row_hash", "__row").hint("shuffle_hash"), "__row", "left_semi")
+    repeated = prints.groupBy("row_hash").count().where("count > 1").join(keep, "row_hash", "left_semi").limit(1).count()
+    return (rows.dropDuplicates(["__row"]) if repeated else rows).select(*columns)
