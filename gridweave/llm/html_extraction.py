@@ -41,8 +41,11 @@ BAD = frozenset(
     "ad ads advert advertisement adsense banner sponsor sponsored promo promotion promoted outbrain taboola nav navbar navigation menu breadcrumb "
     "breadcrumbs header masthead topbar footer foot bottom sidebar aside rail widget related recommended recommendations more share sharing social "
     "follow comment comments commenter disqus reply replies respond discussion notice cookie cookies consent gdpr alert popup modal overlay "
-    "newsletter subscribe subscription signup form login search paywall toolbar tags pagination pager copyright legal hidden skip".split()
+    "newsletter subscribe subscription signup form login search paywall toolbar tags pagination pager copyright legal hidden skip contentinfo "
+    "complementary".split()
 )
+#: Longer tokens that begin so speak against it as well.
+BAD_STEMS = ("advert", "breadcrumb", "comment", "cookie", "navig", "newsletter", "promo", "sidebar", "sponsor", "subscri")
 CONTENT_TAGS = frozenset(("article", "main"))
 FRAME_TAGS = frozenset("nav aside footer header form menu dialog button select fieldset noscript template svg iframe object".split())
 GROUPS = [
@@ -62,7 +65,8 @@ TREES = 40
 DEPTH = 4
 BINS = 32
 RATE = 0.3
-TRAIN_PAGES = 900
+TRAIN_PAGES = 1500
+MARK = "furniture"
 
 
 def features(page: Page) -> np.ndarray:
@@ -74,7 +78,7 @@ def features(page: Page) -> np.ndarray:
     for i in range(n - 1, 0, -1):
         total[:, parent[i]] += total[:, i]
     good = np.array([sum(t in GOOD for t in tokens) for tokens in page.tokens], np.float64)
-    bad = np.array([sum(t in BAD for t in tokens) for tokens in page.tokens], np.float64)
+    bad = np.array([sum(t in BAD or t.startswith(BAD_STEMS) for t in tokens) for tokens in page.tokens], np.float64)
     frame = np.array([t in FRAME_TAGS for t in page.tag], np.float64)
     article = np.array([t in CONTENT_TAGS for t in page.tag], np.float64)
     above = np.zeros((5, n))
@@ -252,6 +256,8 @@ def _furniture(rng: random.Random) -> str:
     roll = rng.random()
     if tag == "ul":
         inner = "".join(f"<li>{x}</li>" for x in (_words(rng, 1, 5) for _ in range(rng.randint(1, 8))))
+    elif tag == "p":
+        inner = _words(rng, 2, 25)
     elif links and roll < 0.8:
         inner = _links(rng, 1, 12)
     elif tag == "form" or "login" in opened:
@@ -264,21 +270,21 @@ def _furniture(rng: random.Random) -> str:
         inner = "".join(f"<p>{_words(rng, 3, 40)}</p>" for _ in range(rng.randint(1, 3)))
     else:
         inner = f"<h3>{_words(rng, 1, 4)}</h3>" + _links(rng, 1, 6)
-    return f"<!--b-->{opened}{inner}</{tag}><!--e-->"
+    return f'{opened[:-1]} itemprop="{MARK}">{inner}</{tag}>'
 
 
 def _body(rng: random.Random) -> str:
     parts = [f"<h1>{_words(rng, 2, 10)}</h1>"] if rng.random() < 0.8 else []
     for _ in range(rng.choice((0, 1, 2, 3, 6, 12, 30))):
         roll = rng.random()
-        if roll < 0.72:
+        if roll < 0.66:
             parts.append(f"<p>{rng.choice(('', '<b>', '<em>', ''))}{_words(rng, 1, 120)}{rng.choice(('', '<br>', '</p>', '</p>', '</p>'))}")
-        elif roll < 0.78:
+        elif roll < 0.72:
             parts.append(f"<h2>{_words(rng, 1, 8)}</h2>")
-        elif roll < 0.84:
+        elif roll < 0.8:
             parts.append("<ul>" + "".join(f"<li>{_words(rng, 1, 25)}</li>" for _ in range(rng.randint(1, 7))) + "</ul>")
         elif roll < 0.87:
-            parts.append(f"<blockquote><p>{_words(rng, 5, 40)}</p></blockquote>")
+            parts.append(f"<blockquote>{'<p>' * rng.randint(0, 1)}{_words(rng, 5, 40)}</blockquote>")
         elif roll < 0.9:
             parts.append("<table>" + "".join(f"<tr><td>{_words(rng, 1, 5)}</td><td>{_words(rng, 1, 5)}</td></tr>" for _ in range(rng.randint(1, 6))) + "</table>")
         elif roll < 0.93:
@@ -291,39 +297,38 @@ def _body(rng: random.Random) -> str:
 
 
 def training_pages(count: int, seed: int) -> list[str]:
-    """Pages in which the comments <!--b--> and <!--e--> enclose what is not article."""
+    """Pages in which the item property MARK names what is not article."""
     rng = random.Random(seed)
     out = []
     for _ in range(count):
         tag = rng.choice(("article", "article", "main", "div", "div", "section"))
         opened = f"<{tag}>" if tag in ("article", "main") and rng.random() < 0.6 else _named(rng, tag, ("content", "article-body", "post", "entry-content", "story", "main", "postText"))
+        if tag in ("div", "section") and rng.random() < 0.3:
+            opened = rng.choice((f"<{tag}>", f'<{tag} class="col-8">', f'<{tag} class="inner x1">'))
         inner = f"{opened}{_body(rng)}</{tag}>"
         before = "".join(_furniture(rng) for _ in range(rng.choice((0, 1, 2, 2, 4))))
         after = "".join(_furniture(rng) for _ in range(rng.choice((0, 1, 1, 3))))
-        for _ in range(rng.choice((0, 0, 1, 2))):
+        for _ in range(rng.choice((0, 0, 1, 2, 4, 8, 25))):
             wrap = rng.choice(("<div>", '<div class="wrapper">', '<div id="root">', '<div class="container row">', "<section>"))
-            inner = f"{wrap}{inner}" + (_furniture(rng) if rng.random() < 0.4 else "") + f"</{wrap[1:].split()[0].rstrip('>')}>"
+            inner = f"{wrap}{inner}" + (_furniture(rng) if rng.random() < 0.25 else "") + f"</{wrap[1:].split()[0].rstrip('>')}>"
         out.append(f"<!DOCTYPE html><html><head><title>{_words(rng, 1, 6)}</title><script>var a='</p>';</script></head><body>{before}{inner}{after}</body></html>")
     return out
 
 
-def labelled(page: str) -> tuple[Page, np.ndarray]:
-    """A training page and which of its nodes are to be kept."""
-    marked = page.replace("<!--b-->", "<x-drop>").replace("<!--e-->", "</x-drop>")
-    tree, plain = read(marked), read(page)
-    inside, labels = [False] * len(tree.tag), []
-    for i in range(len(tree.tag)):
-        inside[i] = tree.tag[i] == "x-drop" or (i > 0 and inside[tree.parent[i]])
-        if tree.tag[i] != "x-drop":
-            labels.append(not inside[i])
-    return plain, np.array(labels, np.float64)
+def labelled(html: str) -> tuple[Page, np.ndarray]:
+    """A training page without its marks, and which of its nodes are to be kept."""
+    page = read(html)
+    dropped = [False] * len(page.tag)
+    for i, tokens in enumerate(page.tokens):
+        dropped[i] = MARK in tokens or (i > 0 and dropped[page.parent[i]])
+        page.tokens[i] = [t for t in tokens if t != MARK]
+    return page, 1.0 - np.array(dropped, np.float64)
 
 
 @lru_cache(maxsize=1)
 def train() -> BoostedTrees:
     """The model; the same every time."""
     pairs = [labelled(p) for p in training_pages(TRAIN_PAGES, 11)]
-    pairs = [(p, y) for p, y in pairs if len(p.tag) == len(y)]
     return fit(np.concatenate([features(p) for p, _ in pairs]), np.concatenate([y for _, y in pairs]))
 
 
