@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridweave.config import Config
@@ -111,7 +112,7 @@ def finish(spans: DataFrame, internals: DataFrame, buses: DataFrame, polygons: D
     layers = N.promoted_voltages(lines, config)
     lines = lines.withColumn("layer", T.layer_name(F.col("voltage_kv"), F.col("frequency_hz"), layers, config))
 
-    number = F.row_number().over(O.W.partitionBy("osm_id").orderBy("order", "key")) - 1
+    number = F.row_number().over(W.partitionBy("osm_id").orderBy("order", "key")) - 1
     inner = N.paths_to_degrees(internals, config).withColumn("line_id", F.concat(F.col("osm_id"), F.lit("~in"), number.cast("string")))
     links = N.with_component(_flat(N.paths_to_degrees(links.drop("lons", "lats"), config)), with_dc).withColumn("countries", F.lit(""))
     at = buses.select("bus_id", "lat", "lon", F.coalesce("station_name", F.when(F.col("node_type") == "substation", "unnamed substation").otherwise("junction")).alias("point"))

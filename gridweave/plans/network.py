@@ -13,6 +13,7 @@ from gridweave.functions import geometry as G
 from gridweave.functions import measure as M
 from gridweave.functions import tags as T
 from gridweave.operators.graph import connected_components
+from gridweave.operators.ranking import ranked
 from gridweave.operators.spatial import nearest_within
 from gridweave.plans.storage import materialise, release
 
@@ -169,8 +170,8 @@ def ranked_components(nodes: DataFrame, edges: DataFrame, weights: DataFrame) ->
     label = materialise(label, "labels")
     heavy = weights.select(F.coalesce("bus0", "bus1").alias("bus_id"), "metres").join(label, "bus_id").groupBy("root").agg(F.sum("metres").alias("metres"))
     sums = label.groupBy("root").agg(F.min("bus_id").alias("least")).join(heavy, "root", "left")
-    rank = F.row_number().over(W.orderBy(F.desc(F.coalesce("metres", F.lit(0.0))), "least")) - 1
-    return materialise(label.join(sums.select("root", rank.cast("int").alias("component")), "root").select("bus_id", "component"), "components")
+    numbered = ranked(sums, "number", F.desc(F.coalesce("metres", F.lit(0))), "least")
+    return materialise(label.join(numbered.select("root", F.col("number").cast("int").alias("component")), "root").select("bus_id", "component"), "components")
 
 
 def with_component(rows: DataFrame, components: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridweave.config import Config
@@ -17,6 +16,7 @@ from gridweave.functions import geometry as G
 from gridweave.functions import tags as T
 from gridweave.operators.graph import connected_components
 from gridweave.operators.linkage import capped_linkage, greedy_match
+from gridweave.operators.ranking import ranked
 from gridweave.operators.spatial import box_cells, pairs_within, path_cells, point_cells
 from gridweave.plans.storage import materialise
 
@@ -318,8 +318,8 @@ def build_sites(polygons: DataFrame, rows: DataFrame, config: Config) -> tuple[D
         F.bool_and("under_construction").alias("under_construction"),
         F.max_by(F.struct("px", "py"), F.struct("area", "pid")).alias("largest"),
     )
-    number = F.row_number().over(W.orderBy("site"))
-    sites = materialise(sites.withColumn("station_id", F.format_string("st%07d", number)), "sites")
+    sites = ranked(sites, "number", "site").withColumn("station_id", F.format_string("st%07d", F.col("number") + 1))
+    sites = materialise(sites.drop("number"), "sites")
     return sites, materialise(placed.join(sites.select("site", "station_id"), "site").drop("site"), "polygons")
 
 
@@ -417,8 +417,8 @@ def cluster_junctions(spans: DataFrame, config: Config) -> tuple[DataFrame, Data
 
     members = free.join(second, "id")
     centres = members.groupBy("cluster").applyInPandas(middle, "cluster string, mx double, my double, fx double, fy double")
-    number = F.row_number().over(W.orderBy(F.round("fx", 2), F.round("fy", 2), "cluster"))
-    centres = materialise(centres.withColumn("node_id", F.format_string("jn%07d", number)), "junctions")
+    centres = ranked(centres, "number", F.round("fx", 2), F.round("fy", 2), "cluster")
+    centres = materialise(centres.withColumn("node_id", F.format_string("jn%07d", F.col("number") + 1)), "junctions")
     placed = members.join(centres, "cluster")
     near = F.sqrt((F.col("x") - F.col("mx")) ** 2 + (F.col("y") - F.col("my")) ** 2) <= g.junction_move_max
     placed = materialise(placed.select("key", "end", "node_id", "mx", "my", near.alias("near")), "ends")

@@ -74,3 +74,14 @@ def test_power_flow(spark):
     row = linear_flow_report(buses, spark.createDataFrame(lines, "line_id string, bus0 string, bus1 string, x_ohm double, voltage_kv double")).first()
     assert row.buses == 3 and row.branches == 3 and row.max_residual_mw < 1e-8
     assert row.injected_mw == pytest.approx(row.withdrawn_mw)
+
+
+def test_ranked(spark):
+    from gridweave.operators.ranking import ranked
+
+    rng = random.Random(8)
+    rows = [(i, rng.randrange(20)) for i in range(500)]
+    got = ranked(spark.createDataFrame(rows, "id long, v long").repartition(7), "n", "v", "id").collect()
+    assert [r.id for r in sorted(got, key=lambda r: r.n)] == [i for i, _ in sorted(rows, key=lambda r: (r[1], r[0]))]
+    assert sorted(r.n for r in got) == list(range(500))
+    assert ranked(spark.createDataFrame([], "id long"), "n", "id").count() == 0
