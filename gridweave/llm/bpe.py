@@ -21,6 +21,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ HEAD = 3 << 16
 WORD_BYTES = 48
 TAIL = 150_000
 #: Words encoded at once, and distinct words counted before they are sent.
-SLICE = 1_000
+SLICE = 300
 COUNTED = 200_000
 
 Entry = tuple[int, str, str]
@@ -56,34 +57,41 @@ class WordTable:
     def __init__(self, path: str, head: dict[bytes, Entry] | None = None) -> None:
         self.tokenizer = load(path)
         self.pieces: dict[int, str] = {i: piece for piece, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        self.numbers: dict[int, str] = {i: str(i) for i in self.pieces}
         self.head = head or {}
         self.tail: dict[bytes, Entry] = {}
 
     def encode(self, words: list[bytes]) -> list[Entry]:
         """An entry for each word. Words are encoded SLICE at a time as one text and told apart by their offsets."""
         out: list[Entry] = []
+        numbers, pieces = self.numbers, self.pieces
         for start in range(0, len(words), SLICE):
             texts = [w.decode() for w in words[start : start + SLICE]]
             found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            ends = np.cumsum([len(t) + 1 for t in texts])
-            places = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
-            cuts = np.searchsorted(places, ends).tolist()
-            ids, low = found.ids, 0
+            ids = found.ids
+            ends = list(accumulate([len(t) + 1 for t in texts]))
+            cuts = np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), ends).tolist()
+            shown, decoded, low = [numbers[i] for i in ids], [pieces[i] for i in ids], 0
             for high in cuts:
-                own = ids[low:high]
-                out.append((len(own), " ".join(map(str, own)), " ".join([self.pieces[i] for i in own])))
+                out.append((high - low, " ".join(shown[low:high]), " ".join(decoded[low:high])))
                 low = high
         return out
 
     def entries(self, words: set[bytes]) -> dict[bytes, Entry]:
         """The entries of ``words``; those outside the head are encoded unless an earlier call has done so."""
-        missing = [w for w in words if w not in self.head and w not in self.tail]
-        if len(self.tail) + len(missing) > TAIL:
+        known, missing, head, tail = {}, [], self.head.get, self.tail.get
+        for w in words:
+            entry = head(w) or tail(w)
+            if entry is None:
+                missing.append(w)
+            else:
+                known[w] = entry
+        fresh = dict(zip(missing, self.encode(missing), strict=True))
+        if len(self.tail) + len(fresh) > TAIL:
             self.tail.clear()
-            missing = [w for w in words if w not in self.head]
-        self.tail.update(zip(missing, self.encode(missing), strict=True))
-        head, tail = self.head, self.tail
-        return {w: head[w] if w in head else tail[w] for w in words}
+        if len(fresh) <= TAIL:
+            self.tail.update(fresh)
+        return known | fresh
 
 
 def word_counts(documents: DataFrame) -> DataFrame:
