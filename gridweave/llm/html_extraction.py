@@ -65,7 +65,7 @@ TREES = 40
 DEPTH = 4
 BINS = 32
 RATE = 0.3
-TRAIN_PAGES = 1500
+TRAIN_PAGES = 800
 MARK = "furniture"
 
 
