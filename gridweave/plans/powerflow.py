@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.operators.graph import connected_components
+from gridweave.plans.storage import materialise
 
 #: A backbone is solved in one task; larger ones are refused, not cut.
 MAX_BUSES = 2_000_000
@@ -78,7 +79,8 @@ def solve(branches: pd.DataFrame, injections: int = 400, limit_mw: float = 10.0,
 
 def linear_flow_report(buses: DataFrame, lines: DataFrame, seed: int = 1) -> DataFrame:
     """Solve the largest component of ``lines`` (``bus0, bus1, x_ohm, voltage_kv``) over ``buses``: one report row."""
-    inside = within_buses(lines, largest_component(buses, lines)).where("x_ohm > 0")
+    lines = materialise(within_buses(lines, buses).where("x_ohm > 0"), "backbone")
+    inside = materialise(within_buses(lines, largest_component(buses, lines)), "largest")
     parallel = inside.groupBy(F.least("bus0", "bus1").alias("bus0"), F.greatest("bus0", "bus1").alias("bus1"), "voltage_kv")
     merged = parallel.agg((1 / F.sum(1 / F.col("x_ohm"))).alias("x_ohm"))
     if inside.select("bus0").distinct().count() > MAX_BUSES:

@@ -12,12 +12,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of this session; where the setting is absent (tests) a temporary one is made and kept."""
+    """The shared folder of this session. Without the setting a local master gets a temporary folder; a cluster none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="gridweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if context.applicationId not in _OWN:
+            _OWN[context.applicationId] = tempfile.mkdtemp(prefix="gridweave-")
+        folder = _OWN[context.applicationId]
     return folder.rstrip("/")
 
 
