@@ -8,7 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridweave.config import Traction
 from gridweave.functions import measure as M
+from gridweave.functions import tags as T
 
 HISTORY = "version string, applied_at timestamp, notes string"
 
@@ -150,6 +152,59 @@ def recompute_lengths(lines: DataFrame, tolerance: float = 0.10, least_m: float
     return rows.withColumn("length_conductor_m", F.when(off, F.col("drawn")).otherwise(F.col("length_conductor_m"))).select(*lines.columns)
 
 
+def frequency_by_scrape(lines: DataFrame, scrape: DataFrame, traction: Traction, grid_hz: float) -> DataFrame:
+    """Frequencies of ``lines`` (``osm_id, line_id, contains, voltage_kv, countries, operator, qa_flags``) from scraped tags.
+
+    A line is matched by its element, the element before its suffix and every element it contains. Order of evidence:
+    traction tag (kept at grid frequency and flagged above the traction voltage), mixed tag, zero (flagged as DC), grid tag,
+    any other tag, then the operator: every token a traction operator, within voltage and countries. Without evidence the
+    line keeps the grid frequency.
+    """
+    keys = F.array_distinct(F.concat(F.array("osm_id", T.base_id(F.col("line_id"))), T.semicolon_parts(F.col("contains"))))
+    tags = lines.select("line_id", F.explode(keys).alias("osm_id")).join(scrape, "osm_id")
+    value = F.regexp_replace("frequency", ",", ".")
+    parts = F.filter(T.semicolon_parts(value), lambda p: p != "")
+    known = F.exists(parts, lambda p: p.startswith("16.6") | p.startswith("16.7"))
+    only = F.forall(parts, lambda p: p.startswith("16.6") | p.startswith("16.7"))
+    zero = F.forall(parts, lambda p: F.coalesce(T.parse_number(p) == 0, F.lit(False)))
+    grid = F.forall(parts, lambda p: F.coalesce(T.parse_number(p) == grid_hz, F.lit(False)))
+    seen = tags.where(F.size(parts) > 0).groupBy("line_id").agg(
+        F.bool_or(only).alias("traction"), F.bool_or(known & ~only).alias("mixed"), F.bool_or(zero).alias("zero"), F.bool_or(grid).alias("grid"), F.lit(True).alias("tagged"),
+    )
+    rows = lines.join(seen, "line_id", "left")
+    low = F.col("voltage_kv") <= traction.max_voltage_kv
+    by_operator = T.traction_by_operator(F.col("voltage_kv"), F.when(F.col("tagged").isNull(), "no_frequency_tag").otherwise("tagged"), F.col("countries"), F.col("operator"), traction)
+    cases = [
+        (F.col("traction") & low, traction.frequency_hz, "osm_frequency_tag", None),
+        (F.col("traction"), grid_hz, "osm_frequency_tag_traction_overridden_ehv_gate", "frequency_tag_conflict_ehv"),
+        (F.col("mixed"), grid_hz, "osm_mixed_kept_grid", "shared_tower_mixed_frequency_kept_grid"),
+        (F.col("zero"), 0.0, "osm_frequency_tag_0_dc", "dc_tag_on_ac_layer"),
+        (F.col("grid"), grid_hz, f"osm_frequency_tag_{int(grid_hz)}", None),
+        (F.col("tagged"), grid_hz, "nonstandard_frequency_tag_kept_grid", "nonstandard_frequency_tag_kept"),
+        (by_operator, traction.frequency_hz, "operator_inferred", None),
+    ]
+    hz, source, flag = F.lit(None).cast("double"), F.lit(None).cast("string"), F.lit(None).cast("string")
+    for condition, h, s, f in reversed(cases):
+        good = F.coalesce(condition, F.lit(False))
+        hz, source = F.when(good, F.lit(float(h))).otherwise(hz), F.when(good, F.lit(s)).otherwise(source)
+        flag = F.when(good, F.lit(f).cast("string")).otherwise(flag)
+    flags = F.array_distinct(F.concat(T.semicolon_parts(F.col("qa_flags")), F.when(flag.isNotNull(), F.array(flag)).otherwise(F.array().cast("array<string>"))))
+    out = rows.withColumn("qa_flags", F.array_join(F.array_sort(flags), ";")).withColumn("frequency_hz", F.coalesce(hz, F.lit(grid_hz)))
+    return out.withColumn("frequency_source", F.coalesce(source, F.lit("no_frequency_tag"))).drop("traction", "mixed", "zero", "grid", "tagged")
+
+
+def station_voltages(buses: DataFrame) -> DataFrame:
+    """Buses with ``station_voltages_kv`` written anew from the voltages at their station."""
+    kvs = buses.groupBy("station_id").agg(F.array_sort(F.collect_set("voltage_kv")).alias("kvs"))
+    kvs = kvs.select("station_id", F.array_join(F.transform("kvs", T.voltage_text), ";").alias("station_voltages_kv"))
+    return buses.drop("station_voltages_kv").join(kvs, "station_id").select(*dict.fromkeys([*buses.columns, "station_voltages_kv"]))
+
+
+def layer_counts(lines: DataFrame) -> DataFrame:
+    """``layer, n``."""
+    return lines.groupBy("layer").agg(F.count(F.lit(1)).alias("n"))
+
+
 def prune_scope(buses: DataFrame, lines: DataFrame, box: tuple[float, float, float, float]) -> tuple[DataFrame, DataFrame]:
     """Without buses outside (south, west, north, east) and the lines that end at one."""
     south, west, north, east = box

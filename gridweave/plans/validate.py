@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridweave.config import Config
+from gridweave.functions import geometry as G
 from gridweave.functions import measure as M
 from gridweave.operators.spatial import pairs_within
 from gridweave.plans.build import Network
@@ -91,6 +94,42 @@ def site_extents(footprints: DataFrame) -> DataFrame:
     return rows.select("station_id", "n", M.haversine(F.col("w"), F.col("s"), F.col("e"), F.col("n_")).alias("metres"))
 
 
+def metric_buses(network: Network, config: Config) -> DataFrame:
+    """Buses with ``x, y`` in the metric CRS."""
+    crs = config.metric_crs
+
+    def run(lon: pd.Series, lat: pd.Series) -> pd.DataFrame:
+        out = G.projection(crs)[0](np.column_stack([lon, lat]))
+        return pd.DataFrame({"x": out[:, 0], "y": out[:, 1]})
+
+    return network.buses.withColumn("m", F.pandas_udf(run, "x double, y double")("lon", "lat")).select("*", "m.x", "m.y").drop("m")
+
+
+def internal_end_distances(network: Network, config: Config) -> DataFrame:
+    """``line_id, end, metres``: from each end of an internal segment to its station's footprints, zero inside."""
+    crs = config.metric_crs
+    ends = network.internals.where("station_id is not null and size(lons) > 1").select(
+        "line_id", "station_id", F.posexplode(F.array(F.struct(F.get("lons", F.lit(0)).alias("lon"), F.get("lats", F.lit(0)).alias("lat")), F.struct(F.element_at("lons", -1).alias("lon"), F.element_at("lats", -1).alias("lat")))).alias("end", "p")
+    )
+    rings = network.footprints.select("station_id", "lons", "lats")
+
+    def run(lon: pd.Series, lat: pd.Series, lons: pd.Series, lats: pd.Series) -> pd.Series:
+        forward, _ = G.projection(crs)
+        out = []
+        for x, y, xs, ys in zip(lon, lat, lons, lats, strict=True):
+            out.append(G.point_ring_distance(forward(np.column_stack([xs, ys])), forward(np.array([[x, y]]))[0]))
+        return pd.Series(out)
+
+    met = ends.join(rings, "station_id").withColumn("m", F.pandas_udf(run, "double")("p.lon", "p.lat", "lons", "lats"))
+    return met.groupBy("line_id", "end").agg(F.min("m").alias("metres"))
+
+
+def traction_km_by_country(lines: DataFrame, traction_hz: float, most: int = 8) -> DataFrame:
+    """``countries, km`` of the traction lines, longest first."""
+    rows = lines.where(F.col("frequency_hz") == traction_hz).groupBy("countries").agg((F.sum("length_conductor_m") / 1000).alias("km"))
+    return rows.orderBy(F.desc("km"), "countries").limit(most)
+
+
 def summary(network: Network) -> DataFrame:
     """``name, value`` of the network's totals."""
     lines = network.lines.agg(
@@ -121,7 +160,12 @@ def hard_checks(network: Network, config: Config) -> DataFrame:
     pieces = fragments(lines, config.gates.fragment_flag).select("osm_id")
     inner = network.internals.groupBy("osm_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > config.gates.fragment_flag).select("osm_id")
     long = (F.col("connector0_m") > config.gates.long_connector) | (F.col("connector1_m") > config.gates.long_connector)
+    pairs = close_bus_pairs(metric_buses(network, config), config.gates.junction_tol)
+    inner_ends = nearest_ranks(internal_end_distances(network, config).withColumn("all_", F.lit(0)), "metres", ["all_"])
+    far_ends = inner_ends.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.coalesce(F.max("p95"), F.lit(0.0)).alias("value"))
     checks = [
+        counted("close_bus_pairs", pairs),
+        far_ends.select(F.lit("internal_ends_p95_m").alias("name"), "value", F.lit(50.0).alias("limit"), ((F.col("n") < 1000) | (F.col("value") <= 50)).alias("passed")),
         counted("fragmented_elements", pieces.unionByName(inner)),
         counted("unresolved_bus", unresolved_ends(ends, network.buses)),
         counted("self_loop", lines.where("bus0 = bus1")),
