@@ -83,6 +83,8 @@ def build(spark: SparkSession, source: str | DataFrame, config: Config, countrie
     spans, internals = O.sweep_self_loops(spans, internals, config)
     spans = O.dissolve_junctions(spans, config)
     spans, internals = O.sweep_self_loops(spans, internals, config)
+    if config.merge_across_components:
+        spans, buses = O.merge_across_components(spans, buses, config)
     return finish(spans, internals, buses, polygons, sites, P.projected(dc, config), config)
 
 

@@ -539,3 +539,30 @@ def dissolve_junctions(spans: DataFrame, config: Config) -> DataFrame:
     fused = rows.groupBy(*group).applyInPandas(fuse, f"key string, order double, qa array<string>, node0 string, node1 string, {PATH}")
     changed = spans.drop("order", "qa", "node0", "node1", "xs", "ys").join(fused, "key").select(*spans.columns)
     return materialise(spans.join(touched, group, "left_anti").unionByName(changed), "dissolved")
+
+
+def merge_across_components(spans: DataFrame, buses: DataFrame, config: Config) -> tuple[DataFrame, DataFrame]:
+    """Optional: junction buses of equal voltage and frequency near each other become one if nothing else connects them.
+
+    The bus of smallest id stays; the ends of the others get connectors to it. Off by default.
+    """
+    g = config.gates
+    named = spans
+    for e in (0, 1):
+        named = named.withColumn(f"bus{e}", F.when(F.col(f"node{e}").isNotNull(), T.bus_id(F.col(f"node{e}"), F.col("voltage_kv"), F.col("frequency_hz"), config)))
+    parts = connected_components(named.where("bus0 is not null and bus1 is not null"), "bus0", "bus1")
+    free = buses.where("node_type = 'junction'")
+    label = free.select("bus_id", "x", "y", "voltage_kv", "frequency_hz").join(parts, F.col("bus_id") == F.col("node"), "left").withColumn("part", F.coalesce("component", "bus_id"))
+    label = materialise(label.drop("node", "component"), "labels")
+    pairs = pairs_within(label, "bus_id", g.cross_component_merge, ("voltage_kv", "frequency_hz"))
+    one, two = (label.select(F.col("bus_id").alias(n), F.col("part").alias(f"p{n}")) for n in "ab")
+    groups = connected_components(pairs.join(one, "a").join(two, "b").where("pa <> pb"))
+    ids = buses.select("bus_id", "node_id", "voltage_kv", "frequency_hz")
+    target = ids.select(F.col("bus_id").alias("component"), F.col("node_id").alias("new_node"))
+    moved = materialise(groups.where("node <> component").join(ids, F.col("node") == F.col("bus_id")).join(target, "component").select("bus_id", "node_id", "voltage_kv", "frequency_hz", "new_node"), "moved")
+    out = spans
+    for e in (0, 1):
+        side = moved.select(F.col("node_id").alias(f"node{e}"), "voltage_kv", "frequency_hz", "new_node")
+        out = out.join(side, [f"node{e}", "voltage_kv", "frequency_hz"], "left")
+        out = out.withColumn("qa", T.add_flag(F.col("qa"), "merged_across_components", F.col("new_node").isNotNull())).withColumn(f"node{e}", F.coalesce("new_node", f"node{e}")).drop("new_node")
+    return materialise(out.select(*spans.columns), "merged"), buses.join(moved.select("bus_id"), "bus_id", "left_anti")

@@ -169,3 +169,18 @@ def test_geopackage_round_trip(spark, network, config, tmp_path):
     assert back.select(F.octet_length(gpkg.geometry_wkb(F.col("geom"))).alias("n")).where("n is null").count() == 0
     text = export.geojson_lines(network.lines, "LineString", ["line_id", "voltage_kv"]).first().value
     assert text.startswith('{"type":"Feature","properties":{"line_id"')
+
+
+def test_merge_across_components_is_optional(spark, tmp_path):
+    import json
+
+    rows = [grid_fixture.line(1, 132, [(0, 0), (3000, 0)]), grid_fixture.line(2, 132, [(3000, 200), (3000, 3000)]), grid_fixture.line(3, 220, [(3100, 0), (6000, 0)])]
+    (tmp_path / "e.ndjson").write_text("\n".join(json.dumps(r) for r in rows))
+    parts = {}
+    for merge in (False, True):
+        found = B.build(spark, str(tmp_path), from_mapping(grid_fixture.CONFIG | {"merge_across_components": merge}))
+        got = {r.line_id: r for r in found.lines.collect()}
+        parts[merge] = len({r.component for r in got.values()})
+        shared = {got["way/1"].bus0, got["way/1"].bus1} & {got["way/2"].bus0, got["way/2"].bus1}
+        assert len(shared) == (1 if merge else 0) and len(got) == 3
+    assert parts == {False: 3, True: 2}
