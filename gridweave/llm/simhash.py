@@ -17,12 +17,15 @@ it share a task through one shuffle of (shard, fingerprint) rows.
 
 Components are contracted over distinct fingerprints in Spark; nothing is collected to the driver.
 
+``keep_first``, the pipeline's stage, does not use these links: see there.
+
 Defined results: a null text has no words; rows with a null id are fingerprinted and take the component of their
 fingerprint but never name it (a component of null ids only is null); repeated rows and ids get equal results.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -33,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.llm.textblock import blocks, texts
+from gridweave.llm.words import mixed
 from gridweave.operators.graph import connected_components
 from gridweave.plans.storage import materialise
 
@@ -45,6 +49,16 @@ BOUNDS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
 #: Masks of the slices that a shard fixes: all but RADIUS of them.
 MASKS = [sum(((1 << width) - 1) << low for low, width in kept) for kept in combinations(BOUNDS, SLICES - RADIUS)]
 
+#: ``keep_first`` has its own measure: shingles of five words, near copies from this Jaccard similarity on.
+KEEP_SHINGLE = 5
+KEEP_JACCARD = 0.8
+#: At similarity 0.8, 19 of 128 bits differ on average (standard deviation 4).
+KEEP_BITS = 128
+KEEP_RADIUS = 36
+#: Share of the pairs at similarity KEEP_JACCARD that must meet in a shard; closer pairs meet more often.
+KEEP_RECALL = 0.995
+_SECOND = np.uint64(0xD6E8FEB86659FD93)
+
 
 def fingerprint(text: bytes) -> int:
     """SimHash of one text."""
@@ -190,20 +204,201 @@ def op3_query(documents: DataFrame) -> DataFrame:
     return near_duplicates(documents).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def shingle_set(text: bytes) -> np.ndarray:
+    """Sorted distinct XXH64 of the shingles of KEEP_SHINGLE words; fewer words make one shingle, no words none."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    line = b" ".join(words)
+    view, digest = memoryview(line), xxhash.xxh64_intdigest
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.concatenate([[0], ends[:-1]])
+    last = min(len(words), KEEP_SHINGLE) - 1
+    places = zip(starts[: len(words) - last].tolist(), (ends[last:] - 1).tolist(), strict=True)
+    return np.unique(np.fromiter((digest(view[i:j], SEED) for i, j in places), np.uint64))
+
+
+def wide_fingerprint(shingles: np.ndarray) -> np.ndarray:
+    """SimHash of KEEP_BITS = 128 bits of a shingle set, as two words."""
+    both = np.stack([mixed(shingles), mixed(shingles ^ _SECOND)], axis=1)
+    bits = np.zeros(KEEP_BITS, np.int64)
+    for at in range(0, len(both), 1 << 14):
+        part = both[at : at + (1 << 14)].view(np.uint8)
+        bits += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(bits * 2 > len(shingles), bitorder="little").view(np.uint64)
+
+
+def _set_id(shingles: np.ndarray) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(shingles.tobytes()))
+
+
+def _wide_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, prints = [], []
+        for part in blocks(batch):
+            for t in texts(part.column("text")):
+                shingles = shingle_set(t)
+                ids.append(_set_id(shingles))
+                prints.append(wide_fingerprint(shingles))
+        low, high = np.array(prints, np.uint64).reshape(-1, 2).T
+        columns = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (low, high)]
+        yield pa.record_batch([batch.column("doc_id"), batch.column("row_hash"), pa.array(ids, pa.int64()), *columns], ["doc_id", "row_hash", "set_id", "low", "high"])
+
+
+def shard_masks(rows: int) -> list[tuple[int, int]]:
+    """Bits (two words) that each shard fixes: more bits for more rows, and as many shards as KEEP_RECALL then needs."""
+    fixed = min(max(math.ceil(math.log2(max(rows, 1))) - 3, 8), 24)
+    agree = 1 - math.acos(2 * KEEP_JACCARD / (1 + KEEP_JACCARD)) / math.pi
+    shards = math.ceil(math.log(1 - KEEP_RECALL) / math.log(1 - agree**fixed))
+    rng = np.random.default_rng(SEED)
+    out = []
+    for _ in range(shards):
+        mask = sum(1 << int(b) for b in rng.choice(KEEP_BITS, fixed, replace=False))
+        out.append((mask & (1 << 64) - 1, mask >> 64))
+    return out
+
+
+def near_forest(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
+    """Spanning forest (positions) of the pairs at most KEEP_RADIUS bits apart; what is linked is not compared again."""
+    out, left = [], np.arange(len(low))
+    while len(left):
+        queue, left = [int(left[0])], left[1:]
+        while queue and len(left):
+            x = queue.pop()
+            near = np.bitwise_count(low[left] ^ low[x]).astype(np.int64) + np.bitwise_count(high[left] ^ high[x]) <= KEEP_RADIUS
+            if near.any():
+                hits = left[near].tolist()
+                out += [(x, y) for y in hits]
+                queue += hits
+                left = left[~near]
+    return out
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Sorted rows again, cut so that no run of equal values of the first ``keys`` columns crosses a batch."""
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([held, batch] if held is not None else [batch]).combine_chunks().to_batches()
+        if not rows or not rows[0].num_rows:
+            continue
+        own = rows[0]
+        change = np.zeros(own.num_rows - 1, bool)
+        for k in range(keys):
+            values = own.column(k).to_numpy()
+            change |= values[1:] != values[:-1]
+        last = int(np.flatnonzero(change)[-1]) + 1 if change.any() else 0
+        if last:
+            yield own.slice(0, last)
+        held = own.slice(last)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _starts(batch: pa.RecordBatch, keys: int) -> np.ndarray:
+    """First rows of the runs of equal values of the first ``keys`` columns, and the row count."""
+    change = np.zeros(batch.num_rows - 1, bool)
+    for k in range(keys):
+        values = batch.column(k).to_numpy()
+        change |= values[1:] != values[:-1]
+    return np.concatenate([[0], np.flatnonzero(change) + 1, [batch.num_rows]])
+
+
+def _wide_shard_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in runs(batches, 3):
+        starts = _starts(batch, 3)
+        ids, low, high = (batch.column(k).to_numpy() for k in (3, 4, 5))
+        low, high = low.view(np.uint64), high.view(np.uint64)
+        edges = set()
+        for i in np.flatnonzero(np.diff(starts) > 1).tolist():
+            a, b = int(starts[i]), int(starts[i + 1])
+            edges |= {(int(ids[a + x]), int(ids[a + y])) for x, y in near_forest(low[a:b], high[a:b])}
+        yield pa.record_batch({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
+
+
+def wide_links(distinct: DataFrame) -> DataFrame:
+    """Edges ``a, b`` of set ids that connect what the wide fingerprints bring together."""
+    masks = shard_masks(distinct.count())
+    part = lambda c, m: F.col(c).bitwiseAND(F.lit(_signed(m)))
+    shards = F.array(*[F.struct(F.lit(k).cast("long").alias("shard"), part("low", m).alias("p"), part("high", n).alias("q")) for k, (m, n) in enumerate(masks)])
+    rows = distinct.select(F.explode(shards).alias("s"), "set_id", "low", "high").select("s.shard", "s.p", "s.q", "set_id", "low", "high")
+    return rows.repartition("shard", "p", "q").sortWithinPartitions("shard", "p", "q").mapInArrow(_wide_shard_task, "a long, b long")
+
+
+def _sets_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in blocks(batch):
+            found = [shingle_set(t).view(np.int64) for t in texts(part.column("text"))]
+            yield pa.record_batch([part.column("component"), part.column("set_id"), pa.array(found, pa.list_(pa.int64()))], ["component", "set_id", "shingles"])
+
+
+def jaccard_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Spanning forest (positions) of the pairs of sorted sets with a Jaccard similarity of at least KEEP_JACCARD."""
+    sizes = np.array([len(s) for s in sets])
+    out, left = [], np.arange(len(sets))
+    while len(left):
+        queue, left = [int(left[0])], left[1:]
+        while queue and len(left):
+            x = queue.pop()
+            own = left[(np.minimum(sizes[left], sizes[x]) >= KEEP_JACCARD * np.maximum(sizes[left], sizes[x])) & (sizes[left] > 0)]
+            if not len(own) or not sizes[x]:
+                continue
+            values = np.concatenate([sets[y] for y in own.tolist()])
+            slot = np.minimum(np.searchsorted(sets[x], values), sizes[x] - 1)
+            both = np.add.reduceat((sets[x][slot] == values).astype(np.int64), np.concatenate([[0], np.cumsum(sizes[own])[:-1]]))
+            near = both >= KEEP_JACCARD * (sizes[own] + sizes[x] - both)
+            hits = own[near].tolist()
+            out += [(x, y) for y in hits]
+            queue += hits
+            left = np.setdiff1d(left, own[near], assume_unique=True)
+    return out
+
+
+def _jaccard_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in runs(batches, 1):
+        starts, ids, column = _starts(batch, 1), batch.column(1).to_numpy(), batch.column(2)
+        a, b = [], []
+        for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            for x, y in jaccard_forest([column[k].values.to_numpy().view(np.uint64) for k in range(i, j)]):
+                a.append(ids[i + x])
+                b.append(ids[i + y])
+        yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def near_copies(documents: DataFrame, prints: DataFrame) -> DataFrame:
+    """``set_id, group``: the distinct shingle sets that are linked to others by Jaccard similarity KEEP_JACCARD.
+
+    ``documents`` have a column ``__row``, which ``prints`` holds as ``row_hash``.
+    """
+    distinct = prints.groupBy("set_id").agg(F.min("row_hash").alias("row_hash"), F.first("low").alias("low"), F.first("high").alias("high"))
+    distinct = materialise(distinct, "sets")
+    found = connected_components(wide_links(distinct.select("set_id", "low", "high")))
+    wanted = found.withColumnRenamed("node", "set_id").join(distinct.select("set_id", "row_hash"), "set_id")
+    wanted = materialise(wanted.select(F.col("row_hash").alias("__row"), "set_id", "component"), "wanted")
+    rows = documents.select("__row", "text").join(wanted, "__row").select("component", "set_id", "text")
+    sets = rows.mapInArrow(_sets_task, "component long, set_id long, shingles array<long>")
+    edges = sets.repartition("component").sortWithinPartitions("component").mapInArrow(_jaccard_task, "a long, b long")
+    return connected_components(edges).select(F.col("node").alias("set_id"), F.col("component").alias("group"))
+
+
 def keep_first(documents: DataFrame) -> DataFrame:
-    """One document of each near-duplicate group, with the columns of ``documents``: the one whose id names the group.
+    """One document of each group of near copies, with the columns of ``documents``: the one of the smallest id.
+
+    Near copies have a Jaccard similarity of at least KEEP_JACCARD on their sets of KEEP_SHINGLE-word shingles; groups are
+    their connected components. Equal sets are merged first. Sets within KEEP_RADIUS bits of a SimHash of KEEP_BITS bits are
+    found in shards that fix a sample of the bits, and what they connect is verified exactly, with each set moved once.
 
     Of several rows with that id the one of smallest row hash stays, of equal rows one. Rows with a null id stay only if
-    their whole group has none; of the rows of such a group with one fingerprint one stays. Texts are moved once, and
-    streamed past a hash table of the kept rows' hashes.
+    their whole group has none; of the rows of such a group one stays. Texts are moved once, and streamed past a hash table
+    of the kept rows' hashes.
     """
     columns = documents.columns
     row_hash = F.xxhash64(*columns)
-    prints = materialise(fingerprints(documents, row_hash.alias("row_hash")), "fingerprints")
-    found = near_duplicates(documents, prints)
-    named = found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("row_hash").alias("row_hash")).select("row_hash")
-    loose = found.where("component_id is null").groupBy("fp").agg(F.min("row_hash").alias("row_hash")).select("row_hash")
-    keep = materialise(named.unionByName(loose), "keep")
+    rows = documents.select(F.col("doc_id").cast("long"), "text", row_hash.alias("row_hash"))
+    prints = materialise(rows.mapInArrow(_wide_task, "doc_id long, row_hash long, set_id long, low long, high long"), "fingerprints")
+    groups = near_copies(documents.withColumn("__row", row_hash), prints)
+    found = prints.select("doc_id", "row_hash", "set_id").join(groups, "set_id", "left").withColumn("group", F.coalesce("group", "set_id"))
+    first = F.min_by("row_hash", F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")).alias("row_hash")
+    keep = materialise(found.groupBy("group").agg(first).select("row_hash"), "keep")
     rows = documents.withColumn("__row", row_hash).join(keep.withColumnRenamed("row_hash", "__row").hint("shuffle_hash"), "__row", "left_semi")
     repeated = prints.groupBy("row_hash").count().where("count > 1").join(keep, "row_hash", "left_semi").limit(1).count()
     return (rows.dropDuplicates(["__row"]) if repeated else rows).select(*columns)

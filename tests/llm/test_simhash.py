@@ -77,3 +77,31 @@ def test_keep_first(spark, awkward):
     rows = kept.select("doc_id", "text").collect()
     assert sorted(str(r.doc_id) for r in rows) == ["1", "2", "4", "5", "6", "None"]
     assert simhash.keep_first(awkward.limit(0)).count() == 0
+
+
+def shingle_sets(rows):
+    out = []
+    for _, t in rows:
+        words = (t or "").lower().encode().split()
+        out.append({b" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set())
+    return out
+
+
+def test_keep_first_removes_near_copies(spark):
+    rng = random.Random(8)
+    rows, copies = [], set()
+    for i in range(40):
+        words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(200)]
+        rows.append((i, " ".join(words)))
+        for k, n in enumerate((1, 2, 3, 12)):
+            changed = list(words)
+            for at in range(10, 10 + 15 * n, 15):
+                changed[at] = "changed"
+            rows.append((100 + 4 * i + k, " ".join(changed)))
+    sets = shingle_sets(rows)
+    for i in range(len(rows)):
+        if any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in range(i)):
+            copies.add(rows[i][0])
+    assert len(copies) == 120
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(d for d, _ in rows if d not in copies)
