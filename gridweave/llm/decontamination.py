@@ -2,7 +2,10 @@
 
 A benchmark item leaks into a document where a stretch of the document is within an edit budget of the item: RATE of its
 length, rounded down. Items longer than LONG characters are cut into overlapping segments of SEGMENT characters, so that
-a long part of a long item is found too; a shorter item is one segment. Upper case of Latin-1 and white-space characters
+a long part of a long item is found too; a shorter item is one segment. So that a part of any item is a leak from one
+length on, whatever the size of the item, every item of more than PASSAGE characters is also cut into passages of PASSAGE
+characters every PASSAGE_STEP, searched with PASSAGE_EDITS edits: PASSAGE + PASSAGE_STEP - 1 = 69 characters in a row,
+verbatim or with that many edits, hold a whole passage and are found. Upper case of Latin-1 and white-space characters
 are folded one to one, so positions stay those of the text; everything else is compared as it is.
 
 Filter. With k edits, an occurrence of a segment of m characters shares at least m - Q + 1 - k * Q of its q-grams with the
@@ -40,6 +43,9 @@ RATE = 0.08
 LONG = 240
 SEGMENT = 160
 STEP = 80
+PASSAGE = 60
+PASSAGE_STEP = 10
+PASSAGE_EDITS = 3
 SHARD_CHARS = 1_000_000
 #: Segments whose lengths differ by less than this factor share a window test.
 CLASS_RATIO = 1.3
@@ -95,12 +101,21 @@ def segments(item: str) -> list[str]:
     return [item[s : s + SEGMENT] for s in starts]
 
 
+def passages(item: str) -> list[str]:
+    """The short stretches of a folded item whose quotation alone is a leak."""
+    if len(item) <= PASSAGE:
+        return []
+    starts = [*range(0, len(item) - PASSAGE, PASSAGE_STEP), len(item) - PASSAGE]
+    return [item[s : s + PASSAGE] for s in starts]
+
+
 class QGramIndex:
     """Q-grams of a benchmark shard, and the search of texts against it."""
 
     def __init__(self, items: list[str]) -> None:
         """items: texts; results name them by position."""
         self.parts: list[tuple[int, str]] = []
+        edits: list[int] = []
         self.short: list[tuple[int, str]] = []
         for number, item in enumerate(items):
             plain = folded(item).strip()
@@ -109,9 +124,11 @@ class QGramIndex:
             if len(plain) < Q:
                 self.short.append((number, plain))
             else:
-                self.parts += [(number, s) for s in segments(plain)]
+                whole, short = segments(plain), passages(plain)
+                self.parts += [(number, s) for s in whole + short]
+                edits += [self._edits(len(s)) for s in whole] + [PASSAGE_EDITS] * len(short)
         self.size = np.array([len(s) for _, s in self.parts], np.int64)
-        self.edits = np.array([self._edits(len(s)) for _, s in self.parts], np.int64)
+        self.edits = np.array(edits, np.int64)
         self.need = self.size - Q + 1 - self.edits * Q
         each = [_codes(_narrow(s)) for _, s in self.parts]
         codes = np.concatenate(each) if each else np.zeros(0, np.uint64)

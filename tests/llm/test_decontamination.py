@@ -98,3 +98,20 @@ def test_segments_cover_the_item(size):
     parts = D.segments(item)
     assert item.startswith(parts[0]) and item.endswith(parts[-1])
     assert all(p in item for p in parts)
+
+
+@pytest.mark.parametrize("size", [81, 120, 239, 240, 241, 400])
+def test_parts_of_short_and_long_items_are_found(size):
+    rng = random.Random(size)
+    item = "".join(rng.choices("abcdefghijklmnop ", k=size - 2)).replace("  ", " a")
+    item = "x" + item + "y"
+    other = "".join(rng.choices("qrstuvwz ", k=300))
+    index = D.QGramIndex([item])
+    length = D.PASSAGE + D.PASSAGE_STEP - 1
+    texts = [other[:150] + item[s : s + length] + other[150:] for s in range(0, size - length + 1)]
+    texts += [other[:150] + item[: size * 9 // 10] + other[150:], other[:150] + item[: size * 85 // 100 + 1] + other[150:]]
+    found = index.regions([*texts, other])
+    assert set(found) == set(range(len(texts)))
+    for i in range(size - length + 1):
+        (start, end, _), = found[i][0]
+        assert end - start >= D.PASSAGE - D.PASSAGE_EDITS and 140 <= start and end <= 150 + length + 10
