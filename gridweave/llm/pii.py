@@ -2,22 +2,24 @@
 
 Base spans are e-mail addresses, IP addresses, payment cards (Luhn) and phone numbers in whole texts.
 
-Information-theoretic sanitisation. Every base value is a protected entity. A term (word of at least MIN_TERM characters
-within WINDOW words of an entity) discloses the entity e as far as the corpus says so: with N documents, n_e that hold e,
-n_t that hold the term anywhere and n_te that hold it in a context of e,
+Information-theoretic sanitisation. Every base value is a protected entity. A term (word of at least MIN_TERM characters,
+anywhere in a document that holds an entity) discloses the entity e as far as the corpus says so: with N documents, n_e that
+hold e, n_t that hold the term and n_te that hold both,
 
     IC(e) = log2(N / n_e),     PMI(e; t) = log2(N * n_te / (n_e * n_t)).
 
-PMI equals IC where every document with t has e next to it. A term of PMI >= BETA * IC is above the disclosure threshold: it
-is removed at full disclosure (PMI = IC) and generalised to the kind of thing it is otherwise. Support is needed: the pair
-must occur in at least two documents and in two different contexts, so an unseen word beside a private address, or plain
-copies of one page, prove nothing. All counts cover all documents.
+PMI equals IC where every document with t holds e. A term of PMI >= BETA * IC is above the disclosure threshold: it
+is removed at full disclosure (PMI = IC) and generalised to the kind of thing it is otherwise, at each of its places in the
+documents of that entity. Support is needed: the pair must occur in at least two documents, and the entity in two different
+contexts (the WINDOW words either side of it) in the documents of the pair, so an unseen word beside a private address, or
+plain copies of one page, prove nothing. All counts cover all documents.
 
-Plan: one scan writes the narrow table of base spans and contexts; pair counts are aggregations over contexts only (at most
-2 * WINDOW per entity, never all pairs of a document); document counts of the terms come from a second scan that drops
-words outside a fixed-size bitmap of candidate terms (2^BITMAP_BITS bits, whatever the corpus; false hits fall away in the
-join) and adds up per task before the shuffle. Counts are combined before every shuffle, so hot entities cost nothing extra,
-and the joins are plain equi-joins that adaptive execution splits. No text is shuffled to find spans.
+Plan: four scans, none of which moves a text. The first writes the narrow table of entities and contexts; entities that meet
+the support gate alone go into a fixed-size bitmap. The second counts the pairs of these entities and the distinct terms of
+their documents, added up per task before the shuffle, so a hot entity costs one row per term and task. The third counts the
+documents of the terms of supported pairs. False hits of a bitmap (2^BITMAP_BITS bits, whatever the corpus) fall away in the
+joins. The last finds the spans with the (entity, term) table, which is shipped in shards of at most SHARD_PAIRS pairs; a
+larger table takes more steps over the rows in the same scan.
 
 Defined results: a null text is empty; repeated rows get equal spans and count as rows in the statistics; a null id is an id; extra columns are ignored by the query and kept by ``sanitise``.
 """
@@ -44,8 +46,10 @@ WINDOW = 8
 MIN_TERM = 3
 BETA = 0.95
 BITMAP_BITS = 22
-#: Terms that a task adds up before it sends their counts.
+#: Terms, or pairs, that a task adds up before it sends their counts.
 TERMS_HELD = 500_000
+#: Pairs of the disclosure table that are shipped at once, about 17 bytes each.
+SHARD_PAIRS = 1_000_000
 PLACEHOLDER = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -118,71 +122,112 @@ def _entity(text: str, span: Span) -> int:
     return _signed(xxhash.xxh64_intdigest(f"{kind}:{text[start:end].lower()}", 1))
 
 
-def contexts(text: str, spans: list[Span]) -> list[tuple[int, int, int, int, int, int]]:
-    """(entity, term, start, end, context, first) of the terms around each span; places in characters.
-
-    ``first`` is 1 for the first row of an entity and term in the text, else 0: its sum counts texts.
-    """
+def _words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends (characters) and hashes (signed) of all words."""
     raw = np.frombuffer(text.encode(), np.uint8)
     starts, ends, _, hashes = words(raw, np.array([0, len(raw)]))
     place = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-    starts, ends = place[starts], place[ends]
+    return place[starts], place[ends], hashes.view(np.int64)
+
+
+def _free(starts: np.ndarray, ends: np.ndarray, spans: list[Span]) -> np.ndarray:
+    """Which words lie outside the spans."""
     covered = np.zeros(len(starts), bool)
     for s, _, e in spans:
-        covered |= (starts < e) & (ends > s)
-    starts, ends, hashes = starts[~covered], ends[~covered], hashes[~covered].view(np.int64)
-    out, known = [], set()
-    for s, kind, e in spans:
-        entity = _entity(text, (s, kind, e))
-        middle = int(np.searchsorted(starts, s))
-        near = slice(max(middle - WINDOW, 0), middle + WINDOW)
-        context = _signed(xxhash.xxh64_intdigest(hashes[near].tobytes(), 2))
-        for i in range(*near.indices(len(starts))):
-            if ends[i] - starts[i] >= MIN_TERM:
-                term = int(hashes[i])
-                out.append((entity, term, int(starts[i]), int(ends[i]), context, int((entity, term) not in known)))
-                known.add((entity, term))
+        covered[np.searchsorted(ends, s, side="right") : np.searchsorted(starts, e)] = True
+    return ~covered
+
+
+def contexts(text: str, spans: list[Span], found: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> dict[int, tuple[int, int]]:
+    """entity -> least and greatest hash of its contexts in the text: the WINDOW words either side, outside all spans."""
+    starts, ends, hashes = found or _words(text)
+    free = _free(starts, ends, spans)
+    starts, hashes = starts[free], hashes[free]
+    out: dict[int, tuple[int, int]] = {}
+    for span in spans:
+        entity, middle = _entity(text, span), int(np.searchsorted(starts, span[0]))
+        context = _signed(xxhash.xxh64_intdigest(hashes[max(middle - WINDOW, 0) : middle + WINDOW].tobytes(), 2))
+        low, high = out.get(entity, (context, context))
+        out[entity] = min(low, context), max(high, context)
     return out
 
 
-_SPAN = "struct<start:int,kind:int,end:int>"
-_SCAN = f"doc_id {{}}, row_key long, base array<{_SPAN}>, entities array<long>, near array<struct<e:long,t:long,start:int,end:int,ctx:long,first:int>>"
+def _with_spans(batch: pa.RecordBatch) -> Iterator[tuple[str, list[Span]]]:
+    """Texts with a base span, and these spans."""
+    for part in blocks(batch):
+        column = part.column("text")
+        for i in np.flatnonzero(_suspects(*utf8(column))).tolist():
+            text = column[i].as_py()
+            if spans := base_spans(text):
+                yield text, spans
 
 
-def _scan_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-    near = pa.struct([("e", pa.int64()), ("t", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("ctx", pa.int64()), ("first", pa.int32())])
+def _entity_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        base, found, entities = [], [], []
-        for part in blocks(batch):
-            column = part.column("text")
-            suspect = _suspects(*utf8(column))
-            for i in range(part.num_rows):
-                text = column[i].as_py() if suspect[i] else ""
-                spans = base_spans(text) if text else []
-                base.append([dict(zip(("start", "kind", "end"), s, strict=True)) for s in spans])
-                rows = contexts(text, spans) if spans else []
-                entities.append(sorted({_entity(text, x) for x in spans}))
-                found.append([dict(zip(("e", "t", "start", "end", "ctx", "first"), r, strict=True)) for r in rows])
-        yield pa.record_batch(
-            [batch.column("doc_id"), batch.column("row_key"), pa.array(base, pa.list_(span)), pa.array(entities, pa.list_(pa.int64())), pa.array(found, pa.list_(near))],
-            ["doc_id", "row_key", "base", "entities", "near"],
-        )
-
-
-def scan(documents: DataFrame) -> DataFrame:
-    """``doc_id, row_key, base, entities, near``: base spans and contexts of every row, stored."""
-    rows = documents.select("doc_id", "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
-    return materialise(rows.mapInArrow(_scan_task, _SCAN.format(dict(documents.dtypes)["doc_id"])), "pii")
+        rows = [(e, *c) for text, spans in _with_spans(batch) for e, c in contexts(text, spans).items()]
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [()] * 3)], ["e", "low", "high"])
 
 
-def _term_counts(documents: DataFrame, candidates: DataFrame) -> DataFrame:
-    """``t, n_t``: in how many documents the candidate terms occur (a superset of terms may come back)."""
-    spark = documents.sparkSession
-    slots = candidates.select(F.col("t").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)).cast("int").alias("slot")).distinct().toPandas()["slot"]
+def supported_entities(documents: DataFrame) -> DataFrame:
+    """``e, n_e``: the entities of at least two documents and two different contexts, stored. No other pair has support."""
+    rows = documents.select("text").where("text <> ''").mapInArrow(_entity_task, "e long, low long, high long")
+    counts = rows.groupBy("e").agg(F.count(F.lit(1)).alias("n_e"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return materialise(counts.where("n_e >= 2 and low <> high").select("e", "n_e"), "entities")
+
+
+def _bitmap(rows: DataFrame, column: str) -> bytes:
+    """Packed bitmap of the low BITMAP_BITS bits of a column of longs."""
+    slots = rows.select(F.col(column).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)).cast("int").alias("slot")).distinct().toPandas()["slot"]
     bitmap = np.zeros(1 << BITMAP_BITS, bool)
     bitmap[slots.to_numpy(np.int64)] = True
-    shared = spark.sparkContext.broadcast(np.packbits(bitmap).tobytes())
+    return np.packbits(bitmap).tobytes()
+
+
+def _pair_sums(rows: list[np.ndarray]) -> np.ndarray:
+    """Rows e, t, n, low, high, one for each e and t."""
+    e, t, n, low, high = np.concatenate(rows, axis=1)
+    order = np.lexsort((t, e))
+    e, t, n, low, high = e[order], t[order], n[order], low[order], high[order]
+    first = np.flatnonzero(np.concatenate([[True], (e[1:] != e[:-1]) | (t[1:] != t[:-1])])) if len(e) else np.zeros(0, np.int64)
+    if not len(first):
+        return np.zeros((5, 0), np.int64)
+    return np.stack([e[first], t[first], np.add.reduceat(n, first), np.minimum.reduceat(low, first), np.maximum.reduceat(high, first)])
+
+
+def supported_pairs(documents: DataFrame, entities: DataFrame) -> DataFrame:
+    """``e, t, n_te`` of the pairs with support, over whole documents, stored."""
+    shared = documents.sparkSession.sparkContext.broadcast(_bitmap(entities, "e"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
+        kept, fresh, size, most = np.zeros((5, 0), np.int64), [], 0, TERMS_HELD
+        names = ["e", "t", "n", "low", "high"]
+        for batch in batches:
+            for text, spans in _with_spans(batch):
+                if not any(known[_entity(text, s) & ((1 << BITMAP_BITS) - 1)] for s in spans):
+                    continue
+                starts, ends, hashes = _words(text)
+                terms = np.unique(hashes[ends - starts >= MIN_TERM])
+                for e, (low, high) in contexts(text, spans, (starts, ends, hashes)).items():
+                    if known[e & ((1 << BITMAP_BITS) - 1)]:
+                        one = np.ones(len(terms), np.int64)
+                        fresh.append(np.stack([e * one, terms, one, low * one, high * one]))
+                        size += len(terms)
+                if size > most:
+                    kept, fresh, size = _pair_sums([kept, *fresh]), [], 0
+                    if kept.shape[1] > most:
+                        yield pa.record_batch([pa.array(c) for c in kept], names)
+                        kept = kept[:, :0]
+        yield pa.record_batch([pa.array(c) for c in _pair_sums([kept, *fresh])], names)
+
+    rows = documents.select("text").where("text <> ''").mapInArrow(count, "e long, t long, n long, low long, high long")
+    pairs = rows.groupBy("e", "t").agg(F.sum("n").alias("n_te"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return materialise(pairs.where("n_te >= 2 and low <> high").join(entities, "e").select("e", "t", "n_te", "n_e"), "pairs")
+
+
+def _term_counts(documents: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``t, n_t``: in how many documents the candidate terms occur (a superset of terms may come back)."""
+    shared = documents.sparkSession.sparkContext.broadcast(_bitmap(candidates, "t"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
@@ -208,31 +253,71 @@ def _term_counts(documents: DataFrame, candidates: DataFrame) -> DataFrame:
     return documents.select("text").where("text <> ''").mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n_t"))
 
 
-def disclosing_terms(documents: DataFrame, scanned: DataFrame) -> DataFrame:
-    """``e, t, full``: terms above the disclosure threshold of an entity; full marks PMI = IC."""
-    total = scanned.count()
-    holders = scanned.select(F.explode("entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
-    near = scanned.select(F.explode("near").alias("x")).select("x.*")
-    pairs = near.groupBy("e", "t").agg(F.sum("first").alias("n_te"), F.min("ctx").alias("low"), F.max("ctx").alias("high"))
-    pairs = materialise(pairs.where("n_te >= 2 and low <> high").select("e", "t", "n_te"), "pairs")
-    counts = _term_counts(documents, pairs)
-    known = pairs.join(counts, "t").join(holders, "e")
+def disclosing_terms(documents: DataFrame) -> DataFrame:
+    """``e, t, full``: terms above the disclosure threshold of an entity, stored; full marks PMI = IC."""
+    total = documents.count()
+    pairs = supported_pairs(documents, supported_entities(documents))
+    known = pairs.join(_term_counts(documents, pairs), "t")
     information = F.log2(F.lit(float(total)) / F.col("n_e"))
     share = F.least(F.col("n_te") / F.col("n_t"), F.lit(1.0))
     disclosed = (information + F.log2(share) >= BETA * information) & (information > 0)
-    return known.where(disclosed).select("e", "t", (F.col("n_te") >= F.col("n_t")).alias("full"))
+    return materialise(known.where(disclosed).select("e", "t", (F.col("n_te") >= F.col("n_t")).alias("full")), "disclosing")
+
+
+def term_spans(text: str, spans: list[Span], table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[tuple[int, int, int, bool]]:
+    """(start, kind, end, full) of every place of a term that discloses an entity of the text; table: e (sorted), t, full."""
+    e, t, full = table
+    own = np.array(sorted({_entity(text, s) for s in spans}), np.int64)
+    ranges = zip(np.searchsorted(e, own).tolist(), np.searchsorted(e, own, side="right").tolist(), strict=True)
+    at = np.concatenate([np.arange(i, j) for i, j in ranges])
+    if not len(at):
+        return []
+    removed: dict[int, bool] = {}
+    for term, whole in zip(t[at].tolist(), full[at].tolist(), strict=True):
+        removed[term] = removed.get(term, False) or whole
+    starts, ends, hashes = _words(text)
+    hit = np.isin(hashes, t[at]) & (ends - starts >= MIN_TERM) & _free(starts, ends, spans)
+    return [(s, 4, x, removed[h]) for s, x, h in zip(starts[hit].tolist(), ends[hit].tolist(), hashes[hit].tolist(), strict=True)]
+
+
+_SPAN = "struct<start:int,kind:int,end:int>"
+_TERM = "struct<start:int,kind:int,end:int,full:boolean>"
+_BASE_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
+_TERMS_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("full", pa.bool_())]))
+
+
+def _tables(risky: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The disclosure table in shards of about SHARD_PAIRS pairs, by entity and term; one empty shard if it is empty."""
+    number = max(-(-risky.count() // SHARD_PAIRS), 1)
+    for k in range(number):
+        rows = risky.where(F.pmod(F.xxhash64("e", "t"), F.lit(number)) == k).toPandas().sort_values(["e", "t"])
+        yield rows["e"].to_numpy(np.int64), rows["t"].to_numpy(np.int64), rows["full"].to_numpy(bool)
 
 
 def all_spans(documents: DataFrame) -> DataFrame:
-    """``doc_id, row_key, base, terms``: spans of every row; terms are (start, kind, end, full)."""
-    scanned = scan(documents)
-    near = scanned.select("row_key", F.explode("near").alias("x")).select("row_key", "x.e", "x.t", "x.start", "x.end")
-    risky = disclosing_terms(documents, scanned)
-    item = F.struct("start", F.lit(4).alias("kind"), "end", "full")
-    terms = near.join(risky, ["e", "t"]).groupBy("row_key").agg(F.array_sort(F.collect_set(item)).alias("terms"))
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int,full:boolean>>")
-    joined = scanned.select("doc_id", "row_key", "base").join(terms, "row_key", "left")
-    return joined.withColumn("terms", F.coalesce("terms", empty))
+    """``documents`` with ``__base`` and ``__terms``: spans of every row; terms are (start, kind, end, full)."""
+    rows = documents.withColumn("__base", F.lit(None).cast(f"array<{_SPAN}>")).withColumn("__terms", F.lit(None).cast(f"array<{_TERM}>"))
+    for table in _tables(disclosing_terms(documents)):
+        shared = documents.sparkSession.sparkContext.broadcast(table)
+
+        def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            for batch in batches:
+                names, base, terms = batch.schema.names, [], []
+                for part in blocks(batch):
+                    column, old = part.column("text"), part.column(names.index("__terms"))
+                    suspect = _suspects(*utf8(column))
+                    for i in range(part.num_rows):
+                        text = column[i].as_py() if suspect[i] else ""
+                        spans = base_spans(text) if text else []
+                        before = [tuple(x.values()) for x in old[i].as_py() or []]
+                        found = sorted({*before, *term_spans(text, spans, shared.value)}) if spans else []
+                        base.append([dict(zip(("start", "kind", "end"), x, strict=True)) for x in spans])
+                        terms.append([dict(zip(("start", "kind", "end", "full"), x, strict=True)) for x in found])
+                out = batch.set_column(names.index("__base"), "__base", pa.array(base, _BASE_TYPE))
+                yield out.set_column(names.index("__terms"), "__terms", pa.array(terms, _TERMS_TYPE))
+
+        rows = rows.mapInArrow(find, T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields]))
+    return rows
 
 
 def _listed(spans: Column) -> Column:
@@ -242,14 +327,14 @@ def _listed(spans: Column) -> Column:
 
 def op5_query(documents: DataFrame) -> DataFrame:
     """Counts and digests of the base spans, and all spans, of every document."""
-    rows = all_spans(documents)
-    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
-    plain = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    rows = all_spans(documents.select("doc_id", "text")).drop("text")
+    count = lambda k: F.size(F.filter("__base", lambda s: s["kind"] == k)).cast("long")
+    plain = F.transform("__terms", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     return rows.select(
         "doc_id",
         *[count(k).alias(f"n_{KINDS[k]}") for k in range(4)],
-        F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
-        _listed(F.array_sort(F.concat("base", F.array_distinct(plain)))).alias("spans"),
+        F.sha2(_listed(F.col("__base")), 256).alias("base_sha256"),
+        _listed(F.array_sort(F.concat("__base", F.array_distinct(plain)))).alias("spans"),
         F.size(F.array_distinct(plain)).cast("long").alias("n_term"),
     )
 
@@ -270,9 +355,7 @@ def cleaned(text: str, base: list[Span], terms: list[tuple[int, int, int, bool]]
 
 def sanitise(documents: DataFrame) -> DataFrame:
     """The documents with personal data taken out of ``text``; ``n_chars``, where present, follows. Other columns stay."""
-    spans = all_spans(documents).where("size(base) > 0").dropDuplicates(["row_key"])
-    spans = spans.select(F.col("row_key").alias("__key"), F.col("base").alias("__base"), F.col("terms").alias("__terms"))
-    rows = documents.withColumn("__key", F.xxhash64("doc_id", "text")).join(spans.hint("shuffle_hash"), "__key", "left")
+    rows = all_spans(documents)
     names = documents.columns
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,14 +363,14 @@ def sanitise(documents: DataFrame) -> DataFrame:
             at = batch.schema.get_field_index("text")
             base, terms = batch.column("__base"), batch.column("__terms")
             values = batch.column(at).to_pylist()
-            for i in np.flatnonzero(base.is_valid().to_numpy(zero_copy_only=False)).tolist():
+            changed = pa.compute.greater(pa.compute.list_value_length(base), 0)
+            for i in np.flatnonzero(changed.to_numpy(zero_copy_only=False)).tolist():
                 own = [(s["start"], s["kind"], s["end"]) for s in base[i].as_py()]
                 more = [(s["start"], s["kind"], s["end"], s["full"]) for s in terms[i].as_py()]
                 values[i] = cleaned(values[i], own, more)
             out = batch.set_column(at, "text", pa.array(values, batch.column(at).type))
             if "n_chars" in names:
                 j = out.schema.get_field_index("n_chars")
-                changed = base.is_valid()
                 lengths = pa.array([None if v is None else len(v) for v in values], pa.int64()).cast(out.column(j).type)
                 out = out.set_column(j, "n_chars", pa.compute.if_else(changed, lengths, out.column(j)))
             yield out.select(names)

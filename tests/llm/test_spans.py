@@ -107,3 +107,21 @@ def test_sanitise_keeps_columns(awkward):
     assert out.columns == awkward.columns and out.count() == awkward.count()
     row = out.where("doc_id is null").first()
     assert row.text.startswith("Mail [EMAIL] now") and row.n_chars == len(row.text)
+
+
+def test_terms_of_whole_documents(spark, monkeypatch):
+    mail = "jane.doe@corp.example.com"
+    filler = " ".join(f"common{i}" for i in range(20))
+    rows = [(i, f"zorblatt {filler} alpha{i} {mail} beta{i} {filler} Zorblatt") for i in range(4)]
+    rows += [(10 + i, f"{filler} number{i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for shard in (pii.SHARD_PAIRS, 1):
+        monkeypatch.setattr(pii, "SHARD_PAIRS", shard)
+        out = {r.doc_id: r for r in pii.op5_query(df).collect()}
+        for i in range(4):
+            text = rows[i][1]
+            places = [text[int(s) : int(e)] for k, s, e in (x.split(":") for x in out[i].spans.split(",")) if k == "term"]
+            assert places == ["Zorblatt", "zorblatt"] or places == ["zorblatt", "Zorblatt"]
+            assert out[i].n_term == 2
+        clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+        assert clean[1] == f" {filler} alpha1 [EMAIL] beta1 {filler} " and clean[10] == rows[4][1]
