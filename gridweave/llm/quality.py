@@ -167,9 +167,11 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows.sort()
     kept, used = [], 0
     for _, text, label in rows:
-        used += len(text)
-        if used <= TRAIN_BYTES:
+        if used + len(text) <= TRAIN_BYTES:
+            used += len(text)
             kept.append((text, label))
+    if rows and not kept:
+        raise ValueError(f"each of the {len(rows)} labelled texts is longer than {TRAIN_BYTES} bytes")
     if kept:
         yield pa.record_batch({"model": pa.array([fit(kept).to_bytes()], pa.binary())})
 

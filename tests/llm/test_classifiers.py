@@ -62,3 +62,18 @@ def test_ftrl_is_sparse_and_finds_the_word():
     rows = [(np.unique(np.concatenate([rng.integers(100, 5000, 40), [7] if i % 3 == 0 else []]).astype(np.int64)), int(i % 3 == 0)) for i in range(600)]
     weights, bias = toxicity.fit(rows)
     assert weights.argmax() == 7 and (weights != 0).sum() < 500 and bias < 0
+
+
+def test_a_text_beyond_the_bound_is_skipped_alone(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(quality, "TRAIN_BYTES", 1000)
+    small = [(2, "good words of a page " * 5, 1), (3, "zz qq zz qq zz " * 5, 0)]
+
+    def model(rows):
+        ranks, texts, labels = zip(*rows)
+        return [b.to_pydict() for b in quality._fit_task(iter([pa.record_batch({"rank": list(ranks), "text": list(texts), "label": list(labels)})]))]
+
+    assert model([(1, "x" * 2000, 1), *small]) == model(small) != []
+    with pytest.raises(ValueError):
+        model([(1, "x" * 2000, 1)])
