@@ -27,7 +27,7 @@ Defined results: a null text is empty; repeated rows get equal spans and count a
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -294,13 +294,18 @@ def _tables(risky: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
         yield rows["e"].to_numpy(np.int64), rows["t"].to_numpy(np.int64), rows["full"].to_numpy(bool)
 
 
-def all_spans(documents: DataFrame) -> DataFrame:
-    """``documents`` with ``__base`` and ``__terms``: spans of every row; terms are (start, kind, end, full)."""
+def all_spans(documents: DataFrame, finish: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
+    """``documents`` with ``__base`` and ``__terms``: spans of every row; terms are (start, kind, end, full).
+
+    ``finish`` takes the batches of the last step to the columns of ``documents``, in the same Python worker.
+    """
     rows = documents.withColumn("__base", F.lit(None).cast(f"array<{_SPAN}>")).withColumn("__terms", F.lit(None).cast(f"array<{_TERM}>"))
-    for table in _tables(disclosing_terms(documents)):
+    tables = list(_tables(disclosing_terms(documents)))
+    for k, table in enumerate(tables):
+        last = finish if k == len(tables) - 1 else None
         shared = documents.sparkSession.sparkContext.broadcast(table)
 
-        def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+        def find(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             for batch in batches:
                 names, base, terms = batch.schema.names, [], []
                 for part in blocks(batch):
@@ -314,9 +319,11 @@ def all_spans(documents: DataFrame) -> DataFrame:
                         base.append([dict(zip(("start", "kind", "end"), x, strict=True)) for x in spans])
                         terms.append([dict(zip(("start", "kind", "end", "full"), x, strict=True)) for x in found])
                 out = batch.set_column(names.index("__base"), "__base", pa.array(base, _BASE_TYPE))
-                yield out.set_column(names.index("__terms"), "__terms", pa.array(terms, _TERMS_TYPE))
+                out = out.set_column(names.index("__terms"), "__terms", pa.array(terms, _TERMS_TYPE))
+                yield last(out) if last else out
 
-        rows = rows.mapInArrow(find, T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields]))
+        fields = documents.schema.fields if last else [T.StructField(f.name, f.dataType) for f in rows.schema.fields]
+        rows = rows.mapInArrow(find, T.StructType(fields))
     return rows
 
 
@@ -355,24 +362,22 @@ def cleaned(text: str, base: list[Span], terms: list[tuple[int, int, int, bool]]
 
 def sanitise(documents: DataFrame) -> DataFrame:
     """The documents with personal data taken out of ``text``; ``n_chars``, where present, follows. Other columns stay."""
-    rows = all_spans(documents)
     names = documents.columns
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            base, terms = batch.column("__base"), batch.column("__terms")
-            values = batch.column(at).to_pylist()
-            changed = pa.compute.greater(pa.compute.list_value_length(base), 0)
-            for i in np.flatnonzero(changed.to_numpy(zero_copy_only=False)).tolist():
-                own = [(s["start"], s["kind"], s["end"]) for s in base[i].as_py()]
-                more = [(s["start"], s["kind"], s["end"], s["full"]) for s in terms[i].as_py()]
-                values[i] = cleaned(values[i], own, more)
-            out = batch.set_column(at, "text", pa.array(values, batch.column(at).type))
-            if "n_chars" in names:
-                j = out.schema.get_field_index("n_chars")
-                lengths = pa.array([None if v is None else len(v) for v in values], pa.int64()).cast(out.column(j).type)
-                out = out.set_column(j, "n_chars", pa.compute.if_else(changed, lengths, out.column(j)))
-            yield out.select(names)
-
-    return rows.mapInArrow(clean, T.StructType(documents.schema.fields))
+    def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = batch.schema.get_field_index("text")
+        base, terms = batch.column(batch.schema.names.index("__base")), batch.column(batch.schema.names.index("__terms"))
+        values = batch.column(at).to_pylist()
+        changed = pa.compute.greater(pa.compute.list_value_length(base), 0)
+        for i in np.flatnonzero(changed.to_numpy(zero_copy_only=False)).tolist():
+            own = [(s["start"], s["kind"], s["end"]) for s in base[i].as_py()]
+            more = [(s["start"], s["kind"], s["end"], s["full"]) for s in terms[i].as_py()]
+            values[i] = cleaned(values[i], own, more)
+        out = batch.set_column(at, "text", pa.array(values, batch.column(at).type))
+        if "n_chars" in names:
+            j = out.schema.get_field_index("n_chars")
+            lengths = pa.array([None if v is None else len(v) for v in values], pa.int64()).cast(out.column(j).type)
+            out = out.set_column(j, "n_chars", pa.compute.if_else(changed, lengths, out.column(j)))
+        return out.select(names)
+
+    return all_spans(documents, clean)
