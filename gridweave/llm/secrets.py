@@ -57,7 +57,7 @@ RULES = [
     Rule("chat", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("payment", r"\b[sr]k_(?:live|test)_[A-Za-z0-9]{16,}"),
     Rule("web_token", r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("url_login", r"\b[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/:@]{1,64}@"),
+    Rule("url_login", r"\b[a-z][a-z0-9+.-]{1,20}://[^\s/:@]++:[^\s/:@]++@"),
 ]
 BASE = ("assign", "access", "hex")
 

@@ -125,3 +125,13 @@ def test_terms_of_whole_documents(spark, monkeypatch):
             assert out[i].n_term == 2
         clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
         assert clean[1] == f" {filler} alpha1 [EMAIL] beta1 {filler} " and clean[10] == rows[4][1]
+
+
+def test_long_logins_in_urls():
+    import pyarrow as pa
+
+    index, compiled = secrets.TrigramIndex(secrets.RULES), [re.compile(r.pattern, r.flags) for r in secrets.RULES]
+    texts = [f"see https://{'u' * n}:{'P-' * n}@host/x" for n in (1, 32, 100, 50_000)]
+    kind = [r.kind for r in secrets.RULES].index("url_login")
+    for text, spans in zip(texts, secrets.scan_texts(pa.array(texts), secrets.RULES, index, compiled)):
+        assert (4, kind, text.index("@") + 1) in spans
