@@ -2,17 +2,21 @@
 
 Iterative plans and tables that are read more than once are written as Parquet below ``spark.checkpoint.dir`` and read
 back. That cuts the lineage and survives the loss of any executor, which a cached or locally checkpointed table does not.
+Tables that are done with are deleted by ``release``, or at the end of a ``released`` scope.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 _OWN: dict[str, str] = {}
+_SCOPES: list[list[DataFrame]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,13 +36,26 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gridweave/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+@contextmanager
+def released() -> Iterator[None]:
+    """Tables that ``materialise`` writes inside are deleted at the end, but for those marked to stay."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for table in _SCOPES.pop():
+            release(table)
+
+
+def materialise(df: DataFrame, name: str = "table", stay: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and return a reader of the written files."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._gridweave_path = path
+    if _SCOPES and not stay:
+        _SCOPES[-1].append(out)
     return out
 
 
