@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridweave.llm.textblock import in_batches
 from gridweave.operators.graph import connected_components
 from gridweave.plans.storage import materialise
 
@@ -193,7 +194,7 @@ def class_links(distinct: DataFrame) -> DataFrame:
     """``ck, links, root``: what each cell says of its members; links to copies outside the class, root for components."""
     bits, tables = tables_for(distinct.count())
     schema = distinct.schema.simpleString()[len("struct<") : -1]
-    coded = materialise(distinct.mapInArrow(_code_task(bits, tables), schema + ",codes:array<bigint>"), "codes")
+    coded = materialise(in_batches(distinct, _code_task(bits, tables), schema + ",codes:array<bigint>"), "codes")
     cell = coded.select("ck", F.posexplode("codes").alias("t", "code"))
     hot = cell.groupBy("t", "code").agg(F.ceil(F.count(F.lit(1)) / HOT).cast("int").alias("blocks")).where("blocks > 1")
     placed = cell.join(hot, ["t", "code"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
@@ -201,7 +202,8 @@ def class_links(distinct: DataFrame) -> DataFrame:
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select("ck", "t", "code", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
     rows = placed.join(coded.select("ck", "size", "embedding", "codes"), "ck").select("t", "code", "i", "j", "block", "ck", "size", "embedding", "codes")
-    return rows.repartition("t", "code", "i", "j").sortWithinPartitions("t", "code", "i", "j", "ck").mapInArrow(_cell_task, "ck long, links long, root long")
+    dealt = rows.repartition("t", "code", "i", "j").sortWithinPartitions("t", "code", "i", "j", "ck")
+    return in_batches(dealt, _cell_task, "ck long, links long, root long")
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from gridweave.llm.dom import Page, read
-from gridweave.llm.textblock import blocks
+from gridweave.llm.textblock import blocks, in_batches
 
 #: Attribute tokens that speak for and against the article.
 GOOD = frozenset("article articles body content entry main post story text prose column page hentry blogpost markdown".split())
@@ -343,7 +343,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                 texts = extract(part.column("html").to_pylist(), shared.value)
                 yield pa.record_batch([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
+    return in_batches(pages.select("page_id", "url", "html"), run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
 
 
 def op1_query(pages: DataFrame) -> DataFrame:

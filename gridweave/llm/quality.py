@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridweave.llm.labelled import held_out, training_rows
-from gridweave.llm.textblock import blocks, texts
+from gridweave.llm.textblock import blocks, in_batches, texts
 
 FILTERS = 16
 WIDTH = 6
@@ -179,7 +179,7 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(documents: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> bytes | None:
     """The fitted model, or None without a labelled row."""
     rows = training_rows(documents, labels, "quality", limit).repartition(1)
-    found = rows.mapInArrow(_fit_task, "model binary").collect()
+    found = in_batches(rows, _fit_task, "model binary").collect()
     return bytes(found[0][0]) if found else None
 
 
@@ -203,7 +203,7 @@ def quality_scores(documents: DataFrame, labels: DataFrame, limit: int = TRAIN_R
             yield out.append_column("predicted", pa.array([int(s >= THRESHOLD) for s in scores], pa.int32()))
 
     schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return plain.mapInArrow(score, schema)
+    return in_batches(plain, score, schema)
 
 
 def op9_query(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridweave.llm.textblock import blocks, utf8
+from gridweave.llm.textblock import blocks, in_batches, utf8
 
 #: Strings kept exactly, and longest affix, while a query is derived.
 MAX_EXACT = 16
@@ -261,7 +261,7 @@ def secret_spans(documents: DataFrame, rules: list[Rule] | None = None) -> DataF
                 spans = [[{"kind": rules[k].kind, "start": s, "end": e} for s, k, e in own] for own in rows]
                 yield pa.record_batch([part.column("doc_id"), pa.array(spans, pa.list_(span))], ["doc_id", "spans"])
 
-    return documents.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, spans array<struct<kind:string,start:int,end:int>>")
+    return in_batches(documents.select("doc_id", "text"), scan, f"doc_id {kind}, spans array<struct<kind:string,start:int,end:int>>")
 
 
 def op4_query(documents: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.llm.labelled import held_out, training_rows
-from gridweave.llm.textblock import blocks, utf8
+from gridweave.llm.textblock import blocks, in_batches, utf8
 from gridweave.llm.words import mixed, words
 
 HASH_BITS = 23
@@ -113,8 +113,8 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(documents: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, float] | None:
     """Indices and values of the weights that are not zero, and the bias; None without a labelled row."""
-    rows = training_rows(documents, labels, "toxic", limit).mapInArrow(_feature_task, "rank long, label int, features array<int>")
-    found = rows.repartition(1).mapInArrow(_fit_task, "at array<int>, weight array<double>, bias double").collect()
+    rows = in_batches(training_rows(documents, labels, "toxic", limit), _feature_task, "rank long, label int, features array<int>")
+    found = in_batches(rows.repartition(1), _fit_task, "at array<int>, weight array<double>, bias double").collect()
     return (np.array(found[0][0], np.int64), np.array(found[0][1]), found[0][2]) if found else None
 
 
@@ -140,7 +140,7 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, limit: int = TRAIN_
                 yield pa.record_batch([part.column("doc_id"), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     kind = dict(documents.dtypes)["doc_id"]
-    return docs.mapInArrow(score, f"doc_id {kind}, score double, predicted int")
+    return in_batches(docs, score, f"doc_id {kind}, score double, predicted int")
 
 
 def op2_query(documents: DataFrame, labels: DataFrame) -> DataFrame:
