@@ -10,7 +10,8 @@ pair agrees on at least four: each distinct fingerprint is sent to the 15 shards
 and every linked pair meets in a shard. A shard leaves only 21 or 22 free bits, so even the near copies of one very common
 text are spread over many shards. In each shard a BK-tree is built (children keyed by their integer Hamming distance to the
 parent); a query follows only edges within RADIUS of its distance. A query ends up in a union-find of its shard, and a
-spanning forest of at most one edge per shard member leaves the task, never all pairs.
+spanning forest of at most one edge per shard member leaves the task, never all pairs. A shard above SHARD_PRINTS members is
+cut into blocks, and each pair of blocks is a task of its own.
 
 The trees of all shards together grow with the corpus, so they are not broadcast: a shard's tree and the queries that need
 it share a task through one shuffle of (shard, fingerprint) rows.
@@ -19,8 +20,10 @@ Components are contracted over distinct fingerprints in Spark; nothing is collec
 
 ``keep_first``, the pipeline's stage, does not use these links: see there.
 
-Defined results: a null text has no words; rows with a null id are fingerprinted and take the component of their
-fingerprint but never name it (a component of null ids only is null); repeated rows and ids get equal results.
+Defined results: a null text has no words, as an empty one; texts of any length are hashed whole; a bit that exactly half of
+the hashes have is 0; rows with a null id are fingerprinted and take the component of their fingerprint but never name it (a
+component of null ids only is null); repeated rows and ids get equal results; an empty table gives an empty table; extra
+columns are ignored by the query and kept by ``keep_first``.
 """
 
 from __future__ import annotations
@@ -35,10 +38,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridweave.llm.textblock import blocks, texts
+from gridweave.llm.hot import in_blocks, split_rows
+from gridweave.llm.textblock import blocks, in_batches, texts
 from gridweave.llm.words import mixed
 from gridweave.operators.graph import connected_components
-from gridweave.plans.storage import materialise
+from gridweave.plans.storage import materialise, release
 
 RADIUS = 2
 SHINGLE = 3
@@ -49,6 +53,12 @@ BOUNDS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
 #: Masks of the slices that a shard fixes: all but RADIUS of them.
 MASKS = [sum(((1 << width) - 1) << low for low, width in kept) for kept in combinations(BOUNDS, SLICES - RADIUS)]
 
+#: Members of a shard, or sets of a group, that meet in one block.
+SHARD_PRINTS = 50_000
+GROUP_SETS = 1_024
+#: One row in so many is counted to find shards above SHARD_PRINTS.
+COUNTED = 16
+
 #: ``keep_first`` has its own measure: shingles of five words, near copies from this Jaccard similarity on.
 KEEP_SHINGLE = 5
 KEEP_JACCARD = 0.8
@@ -57,6 +67,8 @@ KEEP_BITS = 128
 KEEP_RADIUS = 36
 #: Share of the pairs at similarity KEEP_JACCARD that must meet in a shard; closer pairs meet more often.
 KEEP_RECALL = 0.995
+#: A shard's bits are chosen so that unlike sets fall into groups of about 2^GROUP_BITS.
+GROUP_BITS = 9
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -92,7 +104,7 @@ def fingerprints(documents: DataFrame, *more: Column) -> DataFrame:
     """``doc_id``, ``fp`` (the fingerprint as a signed long) and further columns of longs."""
     rows = documents.select(F.col("doc_id").cast("long"), "text", *more)
     names = [c for c in rows.columns if c not in ("doc_id", "text")]
-    return rows.mapInArrow(_fingerprint_task, ", ".join(f"{c} long" for c in ("doc_id", "fp", *names)))
+    return in_batches(rows, _fingerprint_task, ", ".join(f"{c} long" for c in ("doc_id", "fp", *names)))
 
 
 class BKTree:
@@ -148,8 +160,8 @@ def shard_forest(values: list[int]) -> list[tuple[int, int]]:
 
 
 def _shard_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a partition in shard order; a shard may continue in the next batch."""
-    held_keys, held_values = np.zeros((2, 0), np.int64), np.zeros(0, np.int64)
+    """Rows of a partition in the order of shards and blocks; a block may continue in the next batch."""
+    held_keys, held_values = np.zeros((4, 0), np.int64), np.zeros(0, np.int64)
 
     def forest(keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
         changed = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
@@ -164,8 +176,8 @@ def _shard_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     for batch in batches:
-        keys = np.concatenate([held_keys, np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])], axis=1)
-        values = np.concatenate([held_values, batch.column(2).to_numpy()])
+        keys = np.concatenate([held_keys, np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(4)])], axis=1)
+        values = np.concatenate([held_values, batch.column(4).to_numpy()])
         if not len(values):
             continue
         last = int(np.flatnonzero((keys != keys[:, -1:]).any(axis=0))[-1]) + 1 if (keys != keys[:, -1:]).any() else 0
@@ -180,7 +192,9 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     """Edges ``a, b`` that connect exactly the distinct values of ``fp`` that RADIUS links connect."""
     shards = F.array(*[F.struct(F.lit(k).cast("long").alias("shard"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("part")) for k, m in enumerate(MASKS)])
     rows = distinct.select("fp", F.explode(shards).alias("s")).select("s.shard", "s.part", "fp")
-    return rows.repartition("shard", "part").sortWithinPartitions("shard", "part", "fp").mapInArrow(_shard_task, "a long, b long")
+    keys = ["shard", "part", "i", "j"]
+    rows = in_blocks(rows, ["shard", "part"], "fp", SHARD_PRINTS, COUNTED).select(*keys, "fp")
+    return in_batches(rows.repartition(*keys).sortWithinPartitions(*keys, "fp"), _shard_task, "a long, b long")
 
 
 def _signed(value: int) -> int:
@@ -247,7 +261,7 @@ def _wide_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shard_masks(rows: int) -> list[tuple[int, int]]:
     """Bits (two words) that each shard fixes: more bits for more rows, and as many shards as KEEP_RECALL then needs."""
-    fixed = min(max(math.ceil(math.log2(max(rows, 1))) - 3, 8), 24)
+    fixed = min(max(math.ceil(math.log2(max(rows, 1))) - GROUP_BITS, 4), 24)
     agree = 1 - math.acos(2 * KEEP_JACCARD / (1 + KEEP_JACCARD)) / math.pi
     shards = math.ceil(math.log(1 - KEEP_RECALL) / math.log(1 - agree**fixed))
     rng = np.random.default_rng(SEED)
@@ -260,6 +274,14 @@ def shard_masks(rows: int) -> list[tuple[int, int]]:
 
 def near_forest(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
     """Spanning forest (positions) of the pairs at most KEEP_RADIUS bits apart; what is linked is not compared again."""
+    if len(low) <= 1 << GROUP_BITS:
+        apart = np.bitwise_count(low[:, None] ^ low).astype(np.uint8) + np.bitwise_count(high[:, None] ^ high)
+        at, to = np.nonzero(np.triu(apart <= KEEP_RADIUS, 1))
+        if not len(at):
+            return []
+        some = np.unique(np.concatenate([at, to]))
+        if len(some) < len(low):
+            return [(int(some[x]), int(some[y])) for x, y in near_forest(low[some], high[some])]
     out, left = [], np.arange(len(low))
     while len(left):
         queue, left = [int(left[0])], left[1:]
@@ -319,16 +341,19 @@ def wide_links(distinct: DataFrame) -> DataFrame:
     """Edges ``a, b`` of set ids that connect what the wide fingerprints bring together."""
     masks = shard_masks(distinct.count())
     part = lambda c, m: F.col(c).bitwiseAND(F.lit(_signed(m)))
-    shards = F.array(*[F.struct(F.lit(k).cast("long").alias("shard"), part("low", m).alias("p"), part("high", n).alias("q")) for k, (m, n) in enumerate(masks)])
-    rows = distinct.select(F.explode(shards).alias("s"), "set_id", "low", "high").select("s.shard", "s.p", "s.q", "set_id", "low", "high")
-    return rows.repartition("shard", "p", "q").sortWithinPartitions("shard", "p", "q").mapInArrow(_wide_shard_task, "a long, b long")
+    # Shards whose names collide meet for nothing: what comes together is compared anyway.
+    shards = F.array(*[F.xxhash64(F.lit(k), part("low", m), part("high", n)) for k, (m, n) in enumerate(masks)])
+    rows = distinct.select(F.explode(shards).alias("shard"), "set_id", "low", "high")
+    keys = ["shard", "i", "j"]
+    rows = in_blocks(rows, ["shard"], "set_id", SHARD_PRINTS, COUNTED).select(*keys, "set_id", "low", "high")
+    return in_batches(rows.repartition(*keys).sortWithinPartitions(*keys), _wide_shard_task, "a long, b long")
 
 
 def _sets_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in blocks(batch):
             found = [shingle_set(t).view(np.int64) for t in texts(part.column("text"))]
-            yield pa.record_batch([part.column("component"), part.column("set_id"), pa.array(found, pa.list_(pa.int64()))], ["component", "set_id", "shingles"])
+            yield pa.record_batch([*map(part.column, ("component", "i", "j", "set_id")), pa.array(found, pa.list_(pa.int64()))], ["component", "i", "j", "set_id", "shingles"])
 
 
 def jaccard_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -354,8 +379,8 @@ def jaccard_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def _jaccard_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in runs(batches, 1):
-        starts, ids, column = _starts(batch, 1), batch.column(1).to_numpy(), batch.column(2)
+    for batch in runs(batches, 3):
+        starts, ids, column = _starts(batch, 3), batch.column(3).to_numpy(), batch.column(4)
         a, b = [], []
         for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             for x, y in jaccard_forest([column[k].values.to_numpy().view(np.uint64) for k in range(i, j)]):
@@ -367,17 +392,24 @@ def _jaccard_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def near_copies(documents: DataFrame, prints: DataFrame) -> DataFrame:
     """``set_id, group``: the distinct shingle sets that are linked to others by Jaccard similarity KEEP_JACCARD.
 
-    ``documents`` have a column ``__row``, which ``prints`` holds as ``row_hash``.
+    ``documents`` have a column ``__row``, which ``prints`` holds as ``row_hash``. Only texts whose set was brought together
+    with another one are moved.
     """
     distinct = prints.groupBy("set_id").agg(F.min("row_hash").alias("row_hash"), F.first("low").alias("low"), F.first("high").alias("high"))
     distinct = materialise(distinct, "sets")
     found = connected_components(wide_links(distinct.select("set_id", "low", "high")))
     wanted = found.withColumnRenamed("node", "set_id").join(distinct.select("set_id", "row_hash"), "set_id")
-    wanted = materialise(wanted.select(F.col("row_hash").alias("__row"), "set_id", "component"), "wanted")
-    rows = documents.select("__row", "text").join(wanted, "__row").select("component", "set_id", "text")
-    sets = rows.mapInArrow(_sets_task, "component long, set_id long, shingles array<long>")
-    edges = sets.repartition("component").sortWithinPartitions("component").mapInArrow(_jaccard_task, "a long, b long")
-    return connected_components(edges).select(F.col("node").alias("set_id"), F.col("component").alias("group"))
+    wanted = in_blocks(wanted.select(F.col("row_hash").alias("__row"), "set_id", "component"), ["component"], "set_id", GROUP_SETS)
+    wanted = materialise(wanted, "wanted")
+    some, _ = split_rows(documents.select("__row", "text"), wanted, "__row")
+    rows = some.join(wanted, "__row").select("component", "i", "j", "set_id", "text")
+    sets = in_batches(rows, _sets_task, "component long, i int, j int, set_id long, shingles array<long>")
+    keys = ["component", "i", "j"]
+    edges = in_batches(sets.repartition(*keys).sortWithinPartitions(*keys), _jaccard_task, "a long, b long")
+    groups = connected_components(edges).select(F.col("node").alias("set_id"), F.col("component").alias("group"))
+    for table in (distinct, wanted):
+        release(table)
+    return groups
 
 
 def keep_first(documents: DataFrame) -> DataFrame:
@@ -385,20 +417,27 @@ def keep_first(documents: DataFrame) -> DataFrame:
 
     Near copies have a Jaccard similarity of at least KEEP_JACCARD on their sets of KEEP_SHINGLE-word shingles; groups are
     their connected components. Equal sets are merged first. Sets within KEEP_RADIUS bits of a SimHash of KEEP_BITS bits are
-    found in shards that fix a sample of the bits, and what they connect is verified exactly, with each set moved once.
+    found in shards that fix a sample of the bits, and what they connect is verified exactly; a group above GROUP_SETS sets
+    is verified in pairs of blocks.
 
     Of several rows with that id the one of smallest row hash stays, of equal rows one. Rows with a null id stay only if
-    their whole group has none; of the rows of such a group one stays. Texts are moved once, and streamed past a hash table
-    of the kept rows' hashes.
+    their whole group has none; of the rows of such a group one stays. Rows are told apart by id and row hash. Only rows that
+    may have to go (by the low bits of their hash) are moved; the others are passed on by the scan.
     """
     columns = documents.columns
     row_hash = F.xxhash64(*columns)
     rows = documents.select(F.col("doc_id").cast("long"), "text", row_hash.alias("row_hash"))
-    prints = materialise(rows.mapInArrow(_wide_task, "doc_id long, row_hash long, set_id long, low long, high long"), "fingerprints")
+    prints = materialise(in_batches(rows, _wide_task, "doc_id long, row_hash long, set_id long, low long, high long"), "fingerprints")
     groups = near_copies(documents.withColumn("__row", row_hash), prints)
     found = prints.select("doc_id", "row_hash", "set_id").join(groups, "set_id", "left").withColumn("group", F.coalesce("group", "set_id"))
-    first = F.min_by("row_hash", F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")).alias("row_hash")
-    keep = materialise(found.groupBy("group").agg(first).select("row_hash"), "keep")
-    rows = documents.withColumn("__row", row_hash).join(keep.withColumnRenamed("row_hash", "__row").hint("shuffle_hash"), "__row", "left_semi")
-    repeated = prints.groupBy("row_hash").count().where("count > 1").join(keep, "row_hash", "left_semi").limit(1).count()
-    return (rows.dropDuplicates(["__row"]) if repeated else rows).select(*columns)
+    name = F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")
+    first = found.groupBy("group").agg(F.min_by(F.struct("doc_id", "row_hash"), name).alias("k"))
+    keep = materialise(first.select(F.col("k.doc_id").alias("__id"), F.col("k.row_hash").alias("__row")), "keep")
+    counted = prints.groupBy("doc_id", "row_hash").agg(F.count(F.lit(1)).alias("n"))
+    same = (F.col("row_hash") == F.col("__row")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    doubtful = materialise(counted.join(keep, same, "left").where("n > 1 or __row is null").select("row_hash"), "doubtful")
+    marked = documents.withColumn("__row", row_hash)
+    some, rest = split_rows(marked, doubtful.withColumnRenamed("row_hash", "__row"), "__row")
+    kept = keep.withColumnRenamed("__row", "__key")
+    some = some.join(kept, (F.col("__row") == F.col("__key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    return rest.unionByName(some.dropDuplicates(["__row", "doc_id"])).select(*columns)
