@@ -16,12 +16,16 @@ plain copies of one page, prove nothing. All counts cover all documents.
 
 Plan: four scans, none of which moves a text. The first writes the narrow table of entities and contexts; entities that meet
 the support gate alone go into a fixed-size bitmap. The second counts the pairs of these entities and the distinct terms of
-their documents, added up per task before the shuffle, so a hot entity costs one row per term and task. The third counts the
-documents of the terms of supported pairs. False hits of a bitmap (2^BITMAP_BITS bits, whatever the corpus) fall away in the
-joins. The last finds the spans with the (entity, term) table, which is shipped in shards of at most SHARD_PAIRS pairs; a
-larger table takes more steps over the rows in the same scan.
-
-Defined results: a null text is empty; repeated rows get equal spans and count as rows in the statistics; a null id is an id; extra columns are ignored by the query and kept by ``sanitise``.
+their documents, added up per task before the shuffle, so a hot entity costs one row per term and task; it also counts each
+term's documents with any known entity, and as n_t is at least that, most pairs (all those of common words) are seen to lie
+below the threshold at once. The third counts the documents of the terms that remain. False hits of a bitmap (2^BITMAP_BITS
+bits, whatever the corpus) fall away in the joins. The last finds the spans with the (entity, term) table, which is shipped
+in shards of about SHARD_PAIRS pairs, read one after another; a larger table takes more steps over the rows in the same scan.
+
+Defined results: a null text is empty; texts of any length are read whole; overlapping base spans of different kinds are all
+reported, and of several readings of a place the longest cut wins in ``sanitise``; repeated rows get equal spans and count
+as rows in the statistics; a null id is an id; an empty table gives an empty table; extra columns are ignored by the query
+and kept by ``sanitise``.
 """
 
 from __future__ import annotations
@@ -37,9 +41,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridweave.llm.textblock import blocks, utf8
+from gridweave.llm.textblock import blocks, in_batches, utf8
 from gridweave.llm.words import words
-from gridweave.plans.storage import materialise
+from gridweave.plans.storage import materialise, release
 
 KINDS = ("email", "ip", "card", "phone", "term")
 WINDOW = 8
@@ -50,6 +54,8 @@ BITMAP_BITS = 22
 TERMS_HELD = 500_000
 #: Pairs of the disclosure table that are shipped at once, about 17 bytes each.
 SHARD_PAIRS = 1_000_000
+#: Stands for "any known entity" where pairs are counted; no entity has this hash.
+ANY = 0
 PLACEHOLDER = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -119,7 +125,7 @@ def _signed(h: int) -> int:
 def _entity(text: str, span: Span) -> int:
     """Hash of a protected value and its kind."""
     start, kind, end = span
-    return _signed(xxhash.xxh64_intdigest(f"{kind}:{text[start:end].lower()}", 1))
+    return _signed(xxhash.xxh64_intdigest(f"{kind}:{text[start:end].lower()}", 1) or 1)
 
 
 def _words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,7 +176,7 @@ def _entity_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def supported_entities(documents: DataFrame) -> DataFrame:
     """``e, n_e``: the entities of at least two documents and two different contexts, stored. No other pair has support."""
-    rows = documents.select("text").where("text <> ''").mapInArrow(_entity_task, "e long, low long, high long")
+    rows = in_batches(documents.select("text").where("text <> ''"), _entity_task, "e long, low long, high long")
     counts = rows.groupBy("e").agg(F.count(F.lit(1)).alias("n_e"), F.min("low").alias("low"), F.max("high").alias("high"))
     return materialise(counts.where("n_e >= 2 and low <> high").select("e", "n_e"), "entities")
 
@@ -194,8 +200,8 @@ def _pair_sums(rows: list[np.ndarray]) -> np.ndarray:
     return np.stack([e[first], t[first], np.add.reduceat(n, first), np.minimum.reduceat(low, first), np.maximum.reduceat(high, first)])
 
 
-def supported_pairs(documents: DataFrame, entities: DataFrame) -> DataFrame:
-    """``e, t, n_te`` of the pairs with support, over whole documents, stored."""
+def supported_pairs(documents: DataFrame, entities: DataFrame, total: int) -> DataFrame:
+    """``e, t, n_te, n_e`` of the pairs with support that may lie above the threshold, over whole documents, stored."""
     shared = documents.sparkSession.sparkContext.broadcast(_bitmap(entities, "e"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,9 +214,9 @@ def supported_pairs(documents: DataFrame, entities: DataFrame) -> DataFrame:
                     continue
                 starts, ends, hashes = _words(text)
                 terms = np.unique(hashes[ends - starts >= MIN_TERM])
-                for e, (low, high) in contexts(text, spans, (starts, ends, hashes)).items():
-                    if known[e & ((1 << BITMAP_BITS) - 1)]:
-                        one = np.ones(len(terms), np.int64)
+                one = np.ones(len(terms), np.int64)
+                for e, (low, high) in [*contexts(text, spans, (starts, ends, hashes)).items(), (ANY, (0, 0))]:
+                    if e == ANY or known[e & ((1 << BITMAP_BITS) - 1)]:
                         fresh.append(np.stack([e * one, terms, one, low * one, high * one]))
                         size += len(terms)
                 if size > most:
@@ -220,9 +226,20 @@ def supported_pairs(documents: DataFrame, entities: DataFrame) -> DataFrame:
                         kept = kept[:, :0]
         yield pa.record_batch([pa.array(c) for c in _pair_sums([kept, *fresh])], names)
 
-    rows = documents.select("text").where("text <> ''").mapInArrow(count, "e long, t long, n long, low long, high long")
-    pairs = rows.groupBy("e", "t").agg(F.sum("n").alias("n_te"), F.min("low").alias("low"), F.max("high").alias("high"))
-    return materialise(pairs.where("n_te >= 2 and low <> high").join(entities, "e").select("e", "t", "n_te", "n_e"), "pairs")
+    rows = in_batches(documents.select("text").where("text <> ''"), count, "e long, t long, n long, low long, high long")
+    sums = rows.groupBy("e", "t").agg(F.sum("n").alias("n_te"), F.min("low").alias("low"), F.max("high").alias("high"))
+    sums = materialise(sums.where(F.col("n_te") >= 2).select("e", "t", "n_te", ((F.col("e") == ANY) | (F.col("low") != F.col("high"))).alias("good")).where("good").drop("good"), "sums")
+    least = sums.where(F.col("e") == ANY).select("t", F.col("n_te").alias("least"))
+    pairs = sums.where(F.col("e") != ANY).join(entities, "e").join(least, "t")
+    found = materialise(pairs.where(_above(F.col("least"), total)).select("e", "t", "n_te", "n_e"), "pairs")
+    release(sums)
+    return found
+
+
+def _above(n_t: Column, total: int) -> Column:
+    """PMI >= BETA * IC for ``n_te`` and ``n_e``, where the term has ``n_t`` documents."""
+    information = F.log2(F.lit(float(total)) / F.col("n_e"))
+    return (information + F.log2(F.least(F.col("n_te") / n_t, F.lit(1.0))) >= BETA * information) & (information > 0)
 
 
 def _term_counts(documents: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -250,18 +267,19 @@ def _term_counts(documents: DataFrame, candidates: DataFrame) -> DataFrame:
                     terms, counts = terms[:0], counts[:0]
         yield pa.record_batch({"t": pa.array(terms.view(np.int64)), "n": pa.array(counts)})
 
-    return documents.select("text").where("text <> ''").mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n_t"))
+    return in_batches(documents.select("text").where("text <> ''"), count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n_t"))
 
 
 def disclosing_terms(documents: DataFrame) -> DataFrame:
     """``e, t, full``: terms above the disclosure threshold of an entity, stored; full marks PMI = IC."""
     total = documents.count()
-    pairs = supported_pairs(documents, supported_entities(documents))
+    entities = supported_entities(documents)
+    pairs = supported_pairs(documents, entities, total)
     known = pairs.join(_term_counts(documents, pairs), "t")
-    information = F.log2(F.lit(float(total)) / F.col("n_e"))
-    share = F.least(F.col("n_te") / F.col("n_t"), F.lit(1.0))
-    disclosed = (information + F.log2(share) >= BETA * information) & (information > 0)
-    return materialise(known.where(disclosed).select("e", "t", (F.col("n_te") >= F.col("n_t")).alias("full")), "disclosing")
+    found = materialise(known.where(_above(F.col("n_t"), total)).select("e", "t", (F.col("n_te") >= F.col("n_t")).alias("full")), "disclosing")
+    for table in (entities, pairs):
+        release(table)
+    return found
 
 
 def term_spans(text: str, spans: list[Span], table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[tuple[int, int, int, bool]]:
@@ -286,12 +304,10 @@ _BASE_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("
 _TERMS_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("full", pa.bool_())]))
 
 
-def _tables(risky: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The disclosure table in shards of about SHARD_PAIRS pairs, by entity and term; one empty shard if it is empty."""
-    number = max(-(-risky.count() // SHARD_PAIRS), 1)
-    for k in range(number):
-        rows = risky.where(F.pmod(F.xxhash64("e", "t"), F.lit(number)) == k).toPandas().sort_values(["e", "t"])
-        yield rows["e"].to_numpy(np.int64), rows["t"].to_numpy(np.int64), rows["full"].to_numpy(bool)
+def _table(risky: DataFrame, shard: int, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A shard of the disclosure table, by entity and term."""
+    rows = risky.where(F.pmod(F.xxhash64("e", "t"), F.lit(shards)) == shard).toPandas().sort_values(["e", "t"])
+    return rows["e"].to_numpy(np.int64), rows["t"].to_numpy(np.int64), rows["full"].to_numpy(bool)
 
 
 def all_spans(documents: DataFrame, finish: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
@@ -300,10 +316,11 @@ def all_spans(documents: DataFrame, finish: Callable[[pa.RecordBatch], pa.Record
     ``finish`` takes the batches of the last step to the columns of ``documents``, in the same Python worker.
     """
     rows = documents.withColumn("__base", F.lit(None).cast(f"array<{_SPAN}>")).withColumn("__terms", F.lit(None).cast(f"array<{_TERM}>"))
-    tables = list(_tables(disclosing_terms(documents)))
-    for k, table in enumerate(tables):
-        last = finish if k == len(tables) - 1 else None
-        shared = documents.sparkSession.sparkContext.broadcast(table)
+    risky = disclosing_terms(documents)
+    shards = max(-(-risky.count() // SHARD_PAIRS), 1)
+    for k in range(shards):
+        last = finish if k == shards - 1 else None
+        shared = documents.sparkSession.sparkContext.broadcast(_table(risky, k, shards))
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             for batch in batches:
@@ -323,7 +340,8 @@ def all_spans(documents: DataFrame, finish: Callable[[pa.RecordBatch], pa.Record
                 yield last(out) if last else out
 
         fields = documents.schema.fields if last else [T.StructField(f.name, f.dataType) for f in rows.schema.fields]
-        rows = rows.mapInArrow(find, T.StructType(fields))
+        rows = in_batches(rows, find, T.StructType(fields))
+    release(risky)
     return rows
 
 

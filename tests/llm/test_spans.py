@@ -102,6 +102,62 @@ def test_disclosing_terms(spark):
     assert pii.sanitise(df.limit(0)).count() == 0
 
 
+def brute_terms(texts):
+    """Term spans (start, kind, end, full) of each text, counted by hand: the definition without hashes, bitmaps or pruning."""
+    docs, holders, holding = [], {}, {}
+    for i, text in enumerate(texts):
+        text = text or ""
+        spans = pii_base(text)
+        found = [(m.start(), m.end(), "".join(c.lower() if "A" <= c <= "Z" else c for c in m[0])) for m in re.finditer("[0-9A-Za-z\x80-\U0010ffff]+", text)]
+        free = [w for w in found if not any(w[0] < e and s < w[1] for s, _, e in spans)]
+        entities = {}
+        for s, k, e in spans:
+            at = sum(w[0] < s for w in free)
+            entities.setdefault((k, text[s:e].lower()), set()).add(tuple(w[2] for w in free[max(at - 8, 0) : at + 8]))
+        terms = {w[2] for w in found if w[1] - w[0] >= 3}
+        docs.append((text, free, entities, terms))
+        for e in entities:
+            holders.setdefault(e, set()).add(i)
+        for t in terms:
+            holding.setdefault(t, set()).add(i)
+    total, out = len(texts), []
+    for i, (_, free, entities, terms) in enumerate(docs):
+        removed = {}
+        for e in entities:
+            information = math.log2(total / len(holders[e]))
+            for t in terms:
+                both = holders[e] & holding[t]
+                if len(both) < 2 or len(set().union(*(docs[j][2][e] for j in both))) < 2 or information <= 0:
+                    continue
+                if information + math.log2(len(both) / len(holding[t])) >= pii.BETA * information:
+                    removed[t] = removed.get(t, False) or both == holding[t]
+        out.append([(s, 4, x, removed[w]) for s, x, w in free if x - s >= 3 and w in removed])
+    return out
+
+
+def test_terms_against_counting_by_hand(spark, documents):
+    rng = random.Random(5)
+    people = [(f"p{k}@corp.example.com", f"+49 30 {1000000 + k}", f"Surname{k}", f"Town{k}") for k in range(6)]
+    texts = []
+    for i in range(160):
+        words = [f"word{min(int(rng.expovariate(0.02)), 200)}" for _ in range(rng.randrange(5, 60))]
+        if i % 3 == 0:
+            person = rng.choice(people)
+            for thing in person[: rng.randrange(1, 5)] + ((person[2],) if rng.random() < 0.8 else ()):
+                words.insert(rng.randrange(len(words)), thing)
+        texts.append(" ".join(words))
+    texts += [r.text for r in documents.collect()] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_terms(texts)
+    assert sum(map(bool, want)) > 20
+    base = [pii_base(t or "") for t in texts]
+    for r in pii.op5_query(df).collect():
+        every = sorted([(s, k, e) for s, k, e in base[r.doc_id]] + [(s, k, e) for s, k, e, _ in want[r.doc_id]])
+        assert r.spans == listed(every, pii.KINDS)
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert all(clean[i] == (pii.cleaned(t, base[i], want[i]) if base[i] else t) for i, t in enumerate(texts))
+
+
 def test_sanitise_keeps_columns(awkward):
     out = pii.sanitise(awkward)
     assert out.columns == awkward.columns and out.count() == awkward.count()
