@@ -11,8 +11,8 @@ Decoding joins ids to pieces through the vocabulary's id-to-piece table.
 A shuffle join of all (document, position, word) rows with a table of all words would move several times the input; the
 README has figures.
 
-Defined results: a null text is empty (no ids, empty decoded text); repeated rows get equal results; extra columns are
-ignored; any text is accepted, words of any length included.
+Defined results: a null text is empty (no ids, empty decoded text); repeated rows get equal results; a null id is an id; an
+empty table gives an empty table; extra columns are ignored; any text is accepted, very long texts and words included.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridweave.llm.textblock import blocks, texts
+from gridweave.llm.textblock import blocks, in_batches, kept_by, texts
 
 HEAD = 3 << 16
 WORD_BYTES = 48
@@ -37,6 +37,8 @@ TAIL = 150_000
 SLICE = 300
 COUNTED = 200_000
 
+OWNER = "bpe"
+
 Entry = tuple[int, str, str]
 
 
@@ -59,7 +61,7 @@ class WordTable:
         self.pieces: dict[int, str] = {i: piece for piece, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.numbers: dict[int, str] = {i: str(i) for i in self.pieces}
         self.head = head or {}
-        self.tail: dict[bytes, Entry] = {}
+        self.known = dict(self.head)
 
     def encode(self, words: list[bytes]) -> list[Entry]:
         """An entry for each word. Words are encoded SLICE at a time as one text and told apart by their offsets."""
@@ -78,20 +80,15 @@ class WordTable:
         return out
 
     def entries(self, words: set[bytes]) -> dict[bytes, Entry]:
-        """The entries of ``words``; those outside the head are encoded unless an earlier call has done so."""
-        known, missing, head, tail = {}, [], self.head.get, self.tail.get
-        for w in words:
-            entry = head(w) or tail(w)
-            if entry is None:
-                missing.append(w)
-            else:
-                known[w] = entry
-        fresh = dict(zip(missing, self.encode(missing), strict=True))
-        if len(self.tail) + len(fresh) > TAIL:
-            self.tail.clear()
-        if len(fresh) <= TAIL:
-            self.tail.update(fresh)
-        return known | fresh
+        """The entries of ``words``; those that neither the head nor an earlier call gave are encoded."""
+        missing = words.difference(self.known)
+        if len(self.known) + len(missing) > len(self.head) + TAIL:
+            self.known = dict(self.head)
+            missing = words.difference(self.known)
+        order = list(missing)
+        known = self.known
+        known.update(zip(order, self.encode(order), strict=True))
+        return {w: known[w] for w in words}
 
 
 def word_counts(documents: DataFrame) -> DataFrame:
@@ -116,7 +113,7 @@ def word_counts(documents: DataFrame) -> DataFrame:
                     found.clear()
         yield sent(found)
 
-    return documents.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return in_batches(documents.select("text"), count, "word binary, n long", OWNER).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def head_table(documents: DataFrame, path: str, size: int = HEAD) -> DataFrame:
@@ -129,7 +126,7 @@ def head_table(documents: DataFrame, path: str, size: int = HEAD) -> DataFrame:
             yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*found, strict=True) if found else [()] * 3, (pa.int32(), pa.string(), pa.string()), strict=True))], ["word", "n", "ids", "pieces"])
 
     head = word_counts(documents).orderBy(F.desc("n"), "word").limit(size).select("word")
-    return head.mapInArrow(encode, "word binary, n int, ids string, pieces string")
+    return in_batches(head, encode, "word binary, n int, ids string, pieces string", OWNER)
 
 
 def encode_documents(documents: DataFrame, path: str, size: int = HEAD) -> DataFrame:
@@ -143,9 +140,7 @@ def encode_documents(documents: DataFrame, path: str, size: int = HEAD) -> DataF
             for part in blocks(batch):
                 split = [t.split() for t in texts(part.column("text"))]
                 known = table.entries(set().union(*split))
-                found = [[known[w] for w in own] for own in split]
-                if not all(e[0] for e in known.values()):  # a word without ids leaves no blank
-                    found = [[e for e in own if e[0]] for own in found]
+                found = [[e for w in own if (e := known[w])[0]] for own in split]  # a word without ids leaves no blank
                 yield pa.record_batch(
                     [
                         part.column("doc_id"),
@@ -157,7 +152,7 @@ def encode_documents(documents: DataFrame, path: str, size: int = HEAD) -> DataF
                 )
 
     kind = dict(documents.dtypes)["doc_id"]
-    return documents.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, n_tokens long, ids string, decoded string")
+    return in_batches(documents.select("doc_id", "text"), encode, f"doc_id {kind}, n_tokens long, ids string, decoded string", OWNER)
 
 
 def _packed(rows: pa.Table) -> bytes:
@@ -170,6 +165,14 @@ def _packed(rows: pa.Table) -> bytes:
 _TABLES: dict[tuple[str, int], WordTable] = {}
 
 
+def _forget() -> None:
+    _TABLES.clear()
+    load.cache_clear()
+
+
+kept_by(OWNER, _forget)
+
+
 def _table(path: str, packed: bytes) -> WordTable:
     """The word table of a broadcast, kept between the tasks of one worker."""
     key = (path, zlib.crc32(packed))
