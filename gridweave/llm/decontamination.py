@@ -1,12 +1,13 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
-A benchmark item leaks into a document where a stretch of the document is within an edit budget of the item: RATE of its
-length, rounded down. Items longer than LONG characters are cut into overlapping segments of SEGMENT characters, so that
-a long part of a long item is found too; a shorter item is one segment. So that a part of any item is a leak from one
-length on, whatever the size of the item, every item of more than PASSAGE characters is also cut into passages of PASSAGE
-characters every PASSAGE_STEP, searched with PASSAGE_EDITS edits: PASSAGE + PASSAGE_STEP - 1 = 69 characters in a row,
-verbatim or with that many edits, hold a whole passage and are found. Upper case of Latin-1 and white-space characters
-are folded one to one, so positions stay those of the text; everything else is compared as it is.
+A benchmark item leaks into a document where a stretch of the document is within an edit budget of the item, RATE of its
+length rounded down, or of a passage of it: every item of more than PASSAGE characters has passages of PASSAGE characters
+every PASSAGE_STEP, each with the budget of its own length (PASSAGE_EDITS = 4). So PASSAGE + PASSAGE_STEP - 1 = 69
+characters in a row of any item are found, verbatim or with four edits. Both rules hold for items of every length: an item
+of more than WHOLE characters is not searched as a whole because it need not be (with k edits at most in n characters, five
+or more in each of n / PASSAGE disjoint passages would exceed RATE * n, so some passage is within its budget). Upper case of
+Latin-1 and white-space characters are folded one to one, so positions stay those of the text; everything else is compared
+as it is.
 
 Filter. With k edits, an occurrence of a segment of m characters shares at least m - Q + 1 - k * Q of its q-grams with the
 text (the q-gram lemma), and their diagonals (place in the text minus place in the segment) span at most k. So:
@@ -21,8 +22,12 @@ only add regions; the alignment compares them exactly.
 Documents are read once and never shuffled. The benchmark is shipped in shards of at most SHARD_CHARS characters (the size
 is counted first); a larger benchmark takes more passes over the documents, each with a bounded index.
 
-Defined results: null texts and items match nothing; an item shorter than Q characters has no q-gram and is searched
-exactly; equal items are all reported; repeated documents are each reported; extra columns are ignored.
+An item for whose length and budget the lemma asks for no shared q-gram (below Q characters, and a few lengths above 12) is
+found by pieces instead: of k + 1 pieces one occurs unchanged; all pieces are looked up in one pass of an automaton.
+
+Defined results: null texts and items match nothing; equal items are all reported; repeated documents are each reported; a
+null id is an id; texts of any length are searched whole, in blocks; of equally good places of a passage the first is
+reported, overlapping regions of an item as one; empty tables give an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,21 +36,21 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridweave.llm.textblock import blocks
+from gridweave.llm.textblock import blocks, in_batches
 
 Q = 8
 RATE = 0.08
-LONG = 240
-SEGMENT = 160
-STEP = 80
 PASSAGE = 60
 PASSAGE_STEP = 10
-PASSAGE_EDITS = 3
+PASSAGE_EDITS = int(RATE * PASSAGE)
+#: Beyond this an item within its budget always has a passage within its own: (PASSAGE_EDITS + 1) * (n // PASSAGE) > RATE * n.
+WHOLE = 1_500
 SHARD_CHARS = 1_000_000
 #: Segments whose lengths differ by less than this factor share a window test.
 CLASS_RATIO = 1.3
@@ -93,14 +98,6 @@ def budget(length: int) -> int:
     return int(RATE * length)
 
 
-def segments(item: str) -> list[str]:
-    """The stretches of a folded item that are searched for."""
-    if len(item) <= LONG:
-        return [item]
-    starts = [*range(0, len(item) - SEGMENT, STEP), len(item) - SEGMENT]
-    return [item[s : s + SEGMENT] for s in starts]
-
-
 def passages(item: str) -> list[str]:
     """The short stretches of a folded item whose quotation alone is a leak."""
     if len(item) <= PASSAGE:
@@ -116,17 +113,25 @@ class QGramIndex:
         """items: texts; results name them by position."""
         self.parts: list[tuple[int, str]] = []
         edits: list[int] = []
-        self.short: list[tuple[int, str]] = []
+        short: dict[str, list[tuple[int, str, int, int]]] = defaultdict(list)
         for number, item in enumerate(items):
             plain = folded(item).strip()
             if not plain:
                 continue
-            if len(plain) < Q:
-                self.short.append((number, plain))
-            else:
-                whole, short = segments(plain), passages(plain)
-                self.parts += [(number, s) for s in whole + short]
-                edits += [self._edits(len(s)) for s in whole] + [PASSAGE_EDITS] * len(short)
+            for part in [plain] * (len(plain) <= WHOLE) + passages(plain):
+                k = budget(len(part))
+                if len(part) - Q + 1 - k * Q >= 1:
+                    self.parts.append((number, part))
+                    edits.append(k)
+                    continue
+                cuts = [j * len(part) // (k + 1) for j in range(k + 2)]
+                for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+                    short[_narrow(part[start:stop]).decode("latin-1")].append((number, part, k, start))
+        self.pieces = ahocorasick.Automaton()
+        for piece, owners in short.items():
+            self.pieces.add_word(piece, (len(piece), owners))
+        if short:
+            self.pieces.make_automaton()
         self.size = np.array([len(s) for _, s in self.parts], np.int64)
         self.edits = np.array(edits, np.int64)
         self.need = self.size - Q + 1 - self.edits * Q
@@ -141,11 +146,6 @@ class QGramIndex:
         self.bitmap[self._slot(self.codes)] = True
         self.classes = self._classes()
 
-    @staticmethod
-    def _edits(length: int) -> int:
-        """The budget, or less where the lemma would not ask for a single shared q-gram."""
-        return min(budget(length), (length - Q) // Q)
-
     @staticmethod
     def _slot(codes: np.ndarray) -> np.ndarray:
         return ((codes * _MIX) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
@@ -164,13 +164,14 @@ class QGramIndex:
         found: dict[int, dict[int, list[Region]]] = defaultdict(lambda: defaultdict(list))
         stops = np.cumsum([len(t) for t in texts])
         raw = _narrow("".join(texts))
-        for number, plain in self.short:
-            needle = _narrow(plain)
-            for i, text in enumerate(texts):
-                if needle in raw[stops[i] - len(text) : stops[i]]:
-                    line, at = folded(text), -1
-                    while (at := line.find(plain, at + 1)) >= 0:
-                        found[i][number].append((at, at + len(plain), 0))
+        for last, (size, owners) in self.pieces.iter(raw.decode("latin-1")) if len(self.pieces) else ():
+            i = int(np.searchsorted(stops, last, side="right"))
+            begin = int(stops[i]) - len(texts[i])
+            for number, pattern, k, offset in owners:
+                start = max(last + 1 - size - offset - k, begin)
+                window = folded(texts[i][start - begin : start - begin + len(pattern) + 2 * k])
+                if hit := align(pattern, window, k):
+                    found[i][number].append((start - begin + hit[0], start - begin + hit[1], hit[2]))
         for part, low, high in self._retained(raw):
             number, pattern = self.parts[part]
             k = int(self.edits[part])
@@ -302,7 +303,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                 arrays = [pa.array(c, t or (pa.int32() if kind == "int" else pa.string())) for c, t in zip(columns, types, strict=True)]
                 yield pa.record_batch(arrays, ["doc_id", "item_id", "start", "end", "edits"])
 
-        passes.append(docs.mapInArrow(search, schema))
+        passes.append(in_batches(docs, search, schema))
     if not passes:
         return documents.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, passes)
@@ -323,7 +324,7 @@ def keep_clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                     keep += [i not in leaked for i in range(part.num_rows)]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
-        out = out.mapInArrow(clean, documents.schema)
+        out = in_batches(out, clean, documents.schema)
     return out
 
 

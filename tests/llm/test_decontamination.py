@@ -59,16 +59,15 @@ def test_every_occurrence_within_the_budget_is_found(spark):
     for _ in range(150):
         n = rng.randrange(len(benchmark))
         item = benchmark[n][1].strip()
-        k = rng.randrange(D.budget(min(len(item), D.SEGMENT)) + 1)
+        k = rng.randrange(D.budget(len(item)) + 1)
         base = rng.choice(texts)[:3000]
         at = rng.randrange(len(base) + 1)
         blocks.append(base[:at] + " " + noisy(rng, item, k).upper() + " " + base[at:])
         planted.append(n)
     found = index.regions(blocks)
     assert all(n in found.get(i, {}) for i, n in enumerate(planted))
-    clean = [t for t in texts if not any(least(D.folded(b)[:60], D.folded(t)) < 20 for _, b in benchmark[:0])]
-    exact = {i for i, t in enumerate(clean) if any(D.folded(b.strip()) in D.folded(t) for _, b in benchmark)}
-    assert exact <= set(index.regions(clean))
+    exact = {i for i, t in enumerate(texts) if any(D.folded(b.strip()) in D.folded(t) for _, b in benchmark)}
+    assert exact <= set(index.regions(texts))
 
 
 def test_query_and_filter(spark, documents, awkward):
@@ -91,13 +90,39 @@ def test_large_benchmarks_are_sharded(spark, documents, monkeypatch):
     assert sorted(tuple(r) for r in D.op8_query(documents, benchmark).collect()) == want and want
 
 
-@pytest.mark.parametrize("size", [1, 7, 8, 30, 239, 241, 1000])
-def test_segments_cover_the_item(size):
-    rng = random.Random(size)
-    item = "".join(rng.choices("abcdefgh ", k=size)).strip() or "a"
-    parts = D.segments(item)
-    assert item.startswith(parts[0]) and item.endswith(parts[-1])
-    assert all(p in item for p in parts)
+def leaked(item, text):
+    """The rule by plain dynamic programming: the whole item, or a passage, within its budget."""
+    plain, line = D.folded(item).strip(), D.folded(text)
+    return any(least(p, line) <= D.budget(len(p)) for p in [plain, *D.passages(plain)] if p)
+
+
+def test_against_brute_force():
+    """Items of all lengths around the places where the search changes, with leaks at random places and clean texts."""
+    rng = random.Random(12)
+    items, texts = [], []
+    for size in (1, 5, 7, 8, 12, 13, 14, 15, 16, 25, 37, 59, 60, 61, 90, 150, 239, 240, 241, 400):
+        item = "".join(rng.choices("abcdefghijklmnop", k=size))
+        items.append(item)
+        for k in {0, 1, D.budget(size), D.budget(size) + 1}:
+            part = item if rng.random() < 0.5 else item[(at := rng.randrange(size)) : at + rng.randrange(1, 90)]
+            other = "".join(rng.choices("qrstuvwxyz ", k=60))
+            at = rng.randrange(60)
+            texts.append(other[:at] + noisy(rng, part, min(k, len(part) - 1)) + other[at:])
+    found = D.QGramIndex(items).regions(texts)
+    for i, text in enumerate(texts):
+        assert sorted(found.get(i, {})) == [n for n, item in enumerate(items) if leaked(item, text)], text
+
+
+def test_long_items_need_no_whole_search():
+    rng = random.Random(4)
+    for size in (D.WHOLE + 1, D.WHOLE + 59, 2 * D.WHOLE):
+        item = "".join(rng.choices("abcdefghijklmnop ", k=size - 2))
+        item = "x" + item + "y"
+        assert (D.PASSAGE_EDITS + 1) * (size // D.PASSAGE) > D.budget(size)
+        worst = list(item)
+        for n in range(D.budget(size)):
+            worst[(n * size) // D.budget(size)] = "#"
+        assert 0 in D.QGramIndex([item]).regions(["zz " + "".join(worst) + " zz"])[0]
 
 
 @pytest.mark.parametrize("size", [81, 120, 239, 240, 241, 400])
