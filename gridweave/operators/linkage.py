@@ -2,8 +2,12 @@
 
 Capped single linkage joins pairs closest first and refuses a union whose bounding box would be wider than a cap; greedy
 matching takes pairs closest first and uses each end once. Both only ever touch pairs within a tolerance, so the connected
-components of the pair graph are independent of each other: each component is one group, and inside it the sequential rule
-runs exactly, with ties broken by the points' own order.
+components of the pair graph are independent of each other, and inside a component of at most GROUP_ROWS rows the sequential
+rule runs as it is, with ties broken by the points' own order.
+
+Points that are dense enough percolate into one huge component. There the rule runs in rounds over the whole table: a pair
+that comes first of all pairs at both of its ends (points, or clusters so far) cannot be affected by any other pair, so all
+such pairs are settled at once. The first pair of all is always among them, and the result is that of the sequential rule.
 """
 
 from __future__ import annotations
@@ -11,12 +15,17 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.operators.graph import connected_components
+from gridweave.operators.groups import by_group
 from gridweave.operators.spatial import pairs_within
+from gridweave.plans.storage import materialise, release
+
+#: Rows of a component that one task takes; larger components are worked on in rounds.
+GROUP_ROWS = 100_000
 
 
 def close_pairs(x: np.ndarray, y: np.ndarray, reach: float) -> Iterable[tuple[float, int, int]]:
@@ -62,41 +71,120 @@ def link(x: np.ndarray, y: np.ndarray, reach: float, cap: float, seed: list | No
     return [find(i) for i in range(len(x))]
 
 
+def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of components up to GROUP_ROWS, and of larger ones (None if there are none)."""
+    large = materialise(rows.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS).select("component"), "large")
+    if not large.limit(1).count():
+        release(large)
+        return rows, None
+    return rows.join(large, "component", "left_anti"), rows.join(large, "component", "left_semi")
+
+
 def capped_linkage(points: DataFrame, reach: float, cap: float, seed: str | None = None) -> DataFrame:
     """``id, cluster`` of points ``id, x, y``; ``seed`` names a column of earlier clusters that stay together.
 
     ``cluster`` is the smallest id of the cluster. A point without neighbours is a cluster of its own.
     """
     points = points.select("id", "x", "y", *([seed] if seed else []))
-    edges = pairs_within(points, "id", reach).select("a", "b")
+    near = materialise(pairs_within(points, "id", reach), "near")
+    edges = near.select("a", "b")
     if seed:
         edges = edges.unionByName(points.where(F.col("id") != F.col(seed)).select(F.col("id").alias("a"), F.col(seed).alias("b")))
     groups = connected_components(edges)
-    members = points.join(groups, points["id"] == groups["node"]).drop("node")
+    members = materialise(points.join(groups, points["id"] == groups["node"]).drop("node"), "members")
+    kind = dict(points.dtypes)["id"]
+    small, large = _split(members)
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("id", ignore_index=True)
-        root = link(rows["x"].to_numpy(), rows["y"].to_numpy(), reach, cap, rows[seed].tolist() if seed else None)
-        return pd.DataFrame({"id": rows["id"], "cluster": rows["id"].to_numpy()[root]})
+    def run(batch: pa.RecordBatch, bounds: list[int]) -> pa.RecordBatch:
+        x, y = (batch.column(c).to_numpy() for c in ("x", "y"))
+        seeds = batch.column(seed).to_pylist() if seed else None
+        root = np.concatenate([np.array(link(x[i:j], y[i:j], reach, cap, seeds[i:j] if seed else None)) + i for i, j in zip(bounds[:-1], bounds[1:], strict=True)])
+        return pa.record_batch([batch.column("id"), batch.column("id").take(pa.array(root))], ["id", "cluster"])
 
-    kind = dict(points.dtypes)["id"]
-    linked = members.groupBy("component").applyInPandas(run, f"id {kind}, cluster {kind}")
+    linked = by_group(small, "component", ["id"], run, f"id {kind}, cluster {kind}")
+    if large is not None:
+        linked = linked.unionByName(_linked_in_rounds(large, near, cap, seed))
     return points.select("id").join(linked, "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster"))
 
 
+def _first(d: str, a: str, b: str) -> Column:
+    return F.struct(F.col(d).alias("d"), F.col(a).alias("a"), F.col(b).alias("b"))
+
+
+def _settled(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """The pairs (with a struct ``p`` that orders them) that come first at both of their ends."""
+    sides = pairs.select(F.col(a).alias("end"), "p").unionByName(pairs.select(F.col(b).alias("end"), "p"))
+    first = sides.groupBy("end").agg(F.min("p").alias("least"))
+    one, two = (first.select(F.col("end").alias(e), F.col("least").alias(n)) for e, n in ((a, "la"), (b, "lb")))
+    return pairs.join(one, a).join(two, b).where((F.col("p") == F.col("la")) & (F.col("p") == F.col("lb"))).drop("la", "lb")
+
+
+def _linked_in_rounds(points: DataFrame, near: DataFrame, cap: float, seed: str | None) -> DataFrame:
+    """``id, cluster`` of the points of huge components."""
+    start = points.groupBy(seed).agg(F.min("id").alias("cluster")) if seed else points.select("id", F.col("id").alias("cluster"))
+    own = points.join(start, seed or "id").select("id", "cluster", "x", "y")
+    label = materialise(own.select("id", "cluster"), "label")
+    boxes = materialise(own.groupBy("cluster").agg(F.min("x").alias("w"), F.min("y").alias("s"), F.max("x").alias("e"), F.max("y").alias("n")), "boxes")
+    one, two = (label.select(F.col("id").alias(k), F.col("cluster").alias(f"c{k}")) for k in "ab")
+    pairs = near.join(one, "a").join(two, "b").where("ca <> cb").select(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"), _first("d", "a", "b").alias("p"))
+    # Of the pairs of two clusters the first decides: what is refused once stays refused, as boxes only grow.
+    pairs = materialise(pairs.groupBy("ca", "cb").agg(F.min("p").alias("p")), "pairs")
+    while pairs.limit(1).count():
+        low, high = (boxes.select(*[F.col(c).alias(f"{c}{k}") for c in ("w", "s", "e", "n")], F.col("cluster").alias(f"c{k}")) for k in "ab")
+        met = _settled(pairs, "ca", "cb").join(low, "ca").join(high, "cb")
+        wide = F.greatest("ea", "eb") - F.least("wa", "wb")
+        tall = F.greatest("na", "nb") - F.least("sa", "sb")
+        settled = materialise(met.select("ca", "cb", (F.sqrt(wide * wide + tall * tall) <= cap).alias("good")), "settled")
+        renamed = settled.where("good").select(F.col("cb").alias("cluster"), F.col("ca").alias("into"))
+
+        def named(rows: DataFrame, column: str, renamed: DataFrame = renamed) -> DataFrame:
+            side = renamed.withColumnRenamed("cluster", column)
+            return rows.join(side, column, "left").withColumn(column, F.coalesce("into", column)).drop("into")
+
+        left = pairs.join(settled.select("ca", "cb"), ["ca", "cb"], "left_anti")
+        left = named(named(left, "ca"), "cb").where("ca <> cb").select(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"), "p")
+        following = materialise(left.groupBy("ca", "cb").agg(F.min("p").alias("p")), "pairs")
+        labels = materialise(named(label, "cluster").select("id", "cluster"), "label")
+        grown = named(boxes, "cluster").groupBy("cluster").agg(F.min("w").alias("w"), F.min("s").alias("s"), F.max("e").alias("e"), F.max("n").alias("n"))
+        grown = materialise(grown, "boxes")
+        for table in (pairs, label, boxes, settled):
+            release(table)
+        pairs, label, boxes = following, labels, grown
+    return label
+
+
 def greedy_match(pairs: DataFrame) -> DataFrame:
     """Of pairs ``a, b, d`` those that closest-first matching takes, each end at most once; ties by (a, b)."""
-    groups = connected_components(pairs.select("a", "b"))
-    grouped = pairs.select("a", "b", "d").join(groups, pairs["a"] == groups["node"]).drop("node")
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        used, keep = set(), []
-        for row in rows.sort_values(["d", "a", "b"]).itertuples():
-            good = row.a not in used and row.b not in used
-            keep.append(good)
-            if good:
-                used |= {row.a, row.b}
-        return rows.sort_values(["d", "a", "b"])[["a", "b", "d"]][keep]
-
     kinds = dict(pairs.dtypes)
-    return grouped.groupBy("component").applyInPandas(run, f"a {kinds['a']}, b {kinds['b']}, d double")
+    schema = f"a {kinds['a']}, b {kinds['b']}, d double"
+
+    def run(batch: pa.RecordBatch, bounds: list[int]) -> pa.RecordBatch:
+        a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+        keep = np.zeros(batch.num_rows, bool)
+        for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+            used: set = set()
+            for k in range(i, j):
+                if a[k] not in used and b[k] not in used:
+                    keep[k] = True
+                    used |= {a[k], b[k]}
+        return batch.select(["a", "b", "d"]).filter(pa.array(keep))
+
+    left = pairs.select("a", "b", F.col("d").cast("double").alias("d"))
+    done: list[DataFrame] = []
+    while True:
+        groups = connected_components(left.select("a", "b"))
+        small, large = _split(left.join(groups, left["a"] == groups["node"]).drop("node"))
+        done.append(by_group(small, "component", ["d", "a", "b"], run, schema))
+        if large is None:
+            break
+        taken = materialise(_settled(large.select("a", "b", "d", _first("d", "a", "b").alias("p")), "a", "b").select("a", "b", "d"), "taken")
+        done.append(taken)
+        used = taken.select(F.explode(F.array("a", "b")).alias("end"))
+        rest = large.select("a", "b", "d")
+        for end in ("a", "b"):
+            rest = rest.join(used.withColumnRenamed("end", end), end, "left_anti")
+        left = materialise(rest.select("a", "b", "d"), "left")
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out

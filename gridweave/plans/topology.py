@@ -8,13 +8,16 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.config import Config
 from gridweave.functions import geometry as G
+from gridweave.functions import measure as M
 from gridweave.functions import tags as T
 from gridweave.operators.graph import connected_components
+from gridweave.operators.groups import by_group
 from gridweave.operators.linkage import capped_linkage, greedy_match
 from gridweave.operators.ranking import ranked
 from gridweave.operators.spatial import box_cells, pairs_within, path_cells, point_cells
@@ -305,10 +308,9 @@ def build_sites(polygons: DataFrame, rows: DataFrame, config: Config) -> tuple[D
     groups = connected_components(site_edges(polygons, rows, config))
     placed = polygons.join(groups, polygons["pid"] == groups["node"], "left").withColumn("site", F.coalesce("component", "pid")).drop("node", "component")
 
-    def area(px: pd.Series, py: pd.Series) -> pd.Series:
-        return pd.Series([G.area(_path(a, b)) for a, b in zip(px, py, strict=True)])
-
-    placed = materialise(placed.withColumn("area", F.pandas_udf(area, "double")("px", "py")), "placed")
+    # Shifted to its first corner, as products of large coordinates would lose digits.
+    placed = placed.withColumn("sx", F.transform("px", lambda v: v - F.get("px", F.lit(0)))).withColumn("sy", F.transform("py", lambda v: v - F.get("py", F.lit(0))))
+    placed = materialise(placed.withColumn("area", M.ring_area(F.col("sx"), F.col("sy"))).drop("sx", "sy"), "placed")
     named, owned = F.col("name").isNotNull(), F.col("operator").isNotNull()
     sites = placed.groupBy("site").agg(
         F.min_by("name", F.when(named, F.struct(-F.col("area"), F.col("pid")))).alias("station_name"),
@@ -409,14 +411,15 @@ def cluster_junctions(spans: DataFrame, config: Config) -> tuple[DataFrame, Data
     second = capped_linkage(free.join(first, "id"), g.junction_ext, g.ext_max_cluster, "seed")
     limit = g.cluster_pair_limit
 
-    def middle(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("id", ignore_index=True)
-        points = part[["x", "y"]].to_numpy()
-        k = G.medoid(points, limit)
-        return pd.DataFrame({"cluster": [part["cluster"][0]], "mx": [points[k, 0]], "my": [points[k, 1]], "fx": [points[0, 0]], "fy": [points[0, 1]]})
+    def middle(batch: pa.RecordBatch, bounds: list[int]) -> pa.RecordBatch:
+        points = np.column_stack([batch.column("x").to_numpy(), batch.column("y").to_numpy()])
+        first = np.array(bounds[:-1])
+        best = np.array([i + G.medoid(points[i:j], limit) for i, j in zip(bounds[:-1], bounds[1:], strict=True)])
+        columns = [batch.column("cluster").take(pa.array(first)), *(pa.array(points[at, axis]) for at in (best, first) for axis in (0, 1))]
+        return pa.record_batch(columns, ["cluster", "mx", "my", "fx", "fy"])
 
     members = free.join(second, "id")
-    centres = members.groupBy("cluster").applyInPandas(middle, "cluster string, mx double, my double, fx double, fy double")
+    centres = by_group(members.select("cluster", "id", "x", "y"), "cluster", ["id"], middle, "cluster string, mx double, my double, fx double, fy double")
     centres = ranked(centres, "number", F.round("fx", 2), F.round("fy", 2), "cluster")
     centres = materialise(centres.withColumn("node_id", F.format_string("jn%07d", F.col("number") + 1)), "junctions")
     placed = members.join(centres, "cluster")
@@ -475,11 +478,7 @@ def sweep_self_loops(spans: DataFrame, internals: DataFrame, config: Config) ->
     """Spans that end at one node twice become internals, flagged by their length."""
     loop = F.coalesce(F.col("node0") == F.col("node1"), F.lit(False))
     rows = spans.withColumn("loop", loop)
-
-    def size(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        return pd.Series([G.length(_path(a, b)) for a, b in zip(xs, ys, strict=True)])
-
-    gone = rows.where("loop").withColumn("m", F.pandas_udf(size, "double")("xs", "ys"))
+    gone = rows.where("loop").withColumn("m", M.planar_length(F.col("xs"), F.col("ys")))
     long = F.col("m") >= config.gates.self_loop_keep_flag
     flag = F.array(F.when(long, "long_self_loop").otherwise("micro_self_loop"))
     gone = gone.withColumn("qa", F.array_sort(F.array_union("qa", flag)))

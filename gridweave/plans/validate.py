@@ -7,14 +7,16 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridweave.config import Config
 from gridweave.functions import geometry as G
 from gridweave.functions import measure as M
+from gridweave.operators.ranking import running_sums
 from gridweave.operators.spatial import pairs_within
 from gridweave.plans.build import Network
+from gridweave.plans.storage import materialise
+from gridweave.plans.topology import near_polygon
 
 
 def fragments(lines: DataFrame, limit: int) -> DataFrame:
@@ -33,11 +35,15 @@ def close_bus_pairs(buses: DataFrame, reach: float) -> DataFrame:
 def nearest_ranks(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
     """Count, and the values at ranks n/2, 0.95 n and 0.99 n (from 0, rounded down), and the largest, per group.
 
-    Ranks are exact. Equal values are counted first, so a window runs over distinct values and not over rows.
+    Ranks are exact. Equal values are counted first, and counts are added up over ranges of (keys, value), so neither a
+    common value nor a group of a third of all rows ends up in one task.
     """
     counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    order = W.partitionBy(*keys).orderBy(value)
-    ranked = counted.withColumn("upto", F.sum("n").over(order)).withColumn("all", F.sum("n").over(W.partitionBy(*keys)))
+    summed = running_sums(counted, "upto", "n", *keys, value)
+    groups = summed.groupBy(*keys).agg(F.sum("n").alias("all"), F.min(F.col("upto") - F.col("n")).alias("before"))
+    named = groups.withColumnsRenamed({k: f"{k}_" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]
+    ranked = summed.join(named, same).withColumn("upto", F.col("upto") - F.col("before"))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank), F.col(value)))
@@ -69,9 +75,9 @@ def unresolved_ends(edges: DataFrame, buses: DataFrame) -> DataFrame:
 
 
 def voltage_table(lines: DataFrame, traction_hz: float) -> DataFrame:
-    """``kv, km, circuit_km`` by whole kV (cut off), without traction."""
+    """``kv, n_spans, km, circuit_km`` by whole kV (cut off), without traction."""
     rows = lines.where(F.col("frequency_hz") != traction_hz).groupBy(F.col("voltage_kv").cast("int").alias("kv"))
-    return rows.agg((F.sum("length_conductor_m") / 1000).alias("km"), (F.sum(F.col("length_conductor_m") * F.col("n_circuits")) / 1000).alias("circuit_km"))
+    return rows.agg(F.count(F.lit(1)).alias("n_spans"), (F.sum("length_conductor_m") / 1000).alias("km"), (F.sum(F.col("length_conductor_m") * F.col("n_circuits")) / 1000).alias("circuit_km"))
 
 
 def benchmark_table(lines: DataFrame, published: DataFrame) -> DataFrame:
@@ -106,22 +112,42 @@ def metric_buses(network: Network, config: Config) -> DataFrame:
 
 
 def internal_end_distances(network: Network, config: Config) -> DataFrame:
-    """``line_id, end, metres``: from each end of an internal segment to its station's footprints, zero inside."""
+    """``line_id, end, metres``: from each end of an internal segment to the nearest station footprint, zero inside.
+
+    The own station's footprints bound the distance; only ends outside them are then held against all footprints within
+    that bound, on a grid whose reach grows until it covers every bound.
+    """
     crs = config.metric_crs
-    ends = network.internals.where("station_id is not null and size(lons) > 1").select(
-        "line_id", "station_id", F.posexplode(F.array(F.struct(F.get("lons", F.lit(0)).alias("lon"), F.get("lats", F.lit(0)).alias("lat")), F.struct(F.element_at("lons", -1).alias("lon"), F.element_at("lats", -1).alias("lat")))).alias("end", "p")
-    )
-    rings = network.footprints.select("station_id", "lons", "lats")
 
-    def run(lon: pd.Series, lat: pd.Series, lons: pd.Series, lats: pd.Series) -> pd.Series:
+    def metric(lons: pd.Series, lats: pd.Series) -> pd.DataFrame:
         forward, _ = G.projection(crs)
-        out = []
-        for x, y, xs, ys in zip(lon, lat, lons, lats, strict=True):
-            out.append(G.point_ring_distance(forward(np.column_stack([xs, ys])), forward(np.array([[x, y]]))[0]))
-        return pd.Series(out)
-
-    met = ends.join(rings, "station_id").withColumn("m", F.pandas_udf(run, "double")("p.lon", "p.lat", "lons", "lats"))
-    return met.groupBy("line_id", "end").agg(F.min("m").alias("metres"))
+        paths = [forward(np.column_stack([a, b])) for a, b in zip(lons, lats, strict=True)]
+        return pd.DataFrame({"xs": [p[:, 0].tolist() for p in paths], "ys": [p[:, 1].tolist() for p in paths]})
+
+    to_metric = F.pandas_udf(metric, "xs array<double>, ys array<double>")
+    inner = network.internals.where("size(lons) > 1").withColumn("m", to_metric("lons", "lats"))
+    first, last = (F.struct(F.element_at("m.xs", i).alias("x"), F.element_at("m.ys", i).alias("y")) for i in (1, -1))
+    ends = materialise(inner.select("line_id", "station_id", F.posexplode(F.array(first, last)).alias("end", "p")).select("line_id", "station_id", "end", "p.x", "p.y"), "ends")
+    rings = network.footprints.withColumn("m", to_metric("lons", "lats")).select("station_id", F.monotonically_increasing_id().alias("pid"), F.col("m.xs").alias("px"), F.col("m.ys").alias("py"))
+    return nearest_footprints(ends, materialise(rings, "rings"))
+
+
+def nearest_footprints(ends: DataFrame, rings: DataFrame, reach: float = 500.0) -> DataFrame:
+    """``line_id, end, metres``: ends (``line_id, end, station_id, x, y``) to the nearest of rings ``pid, station_id, px, py``."""
+
+    def away(x: pd.Series, y: pd.Series, px: pd.Series, py: pd.Series) -> pd.Series:
+        return pd.Series([G.point_ring_distance(np.column_stack([a, b]), np.array([u, v])) for u, v, a, b in zip(x, y, px, py, strict=True)])
+
+    own = ends.join(rings, "station_id").withColumn("m", F.pandas_udf(away, "double")("x", "y", "px", "py"))
+    bound = ends.join(own.groupBy("line_id", "end").agg(F.min("m").alias("own")), ["line_id", "end"], "left").select("line_id", "end", "x", "y", "own")
+    bound = materialise(bound, "bounds")
+    most = bound.agg(F.max("own")).first()[0]
+    while most is not None and reach < most:
+        reach *= 4
+    outside = bound.where("own > 0 or own is null")
+    near = near_polygon(outside, rings, reach, ["line_id", "end"]).groupBy("line_id", "end").agg(F.min("d").alias("near"))
+    out = bound.join(near, ["line_id", "end"], "left").select("line_id", "end", F.least("own", "near").alias("metres"))
+    return out.where("metres is not null")
 
 
 def traction_km_by_country(lines: DataFrame, traction_hz: float, most: int = 8) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridweave.operators.graph import connected_components
 from gridweave.operators.linkage import capped_linkage, greedy_match, link
@@ -85,3 +86,48 @@ def test_ranked(spark):
     assert [r.id for r in sorted(got, key=lambda r: r.n)] == [i for i, _ in sorted(rows, key=lambda r: (r[1], r[0]))]
     assert sorted(r.n for r in got) == list(range(500))
     assert ranked(spark.createDataFrame([], "id long"), "n", "id").count() == 0
+
+
+@pytest.mark.parametrize("size", [800, 250])
+def test_rounds_equal_the_sequential_rules(spark, monkeypatch, size):
+    """Components above the bound of a task, up to all points in one, are settled in rounds with the same result."""
+    from gridweave.operators import linkage
+
+    rows = points(160, size, size)
+    x, y = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    pairs = pairs_within(df, "id", 120.0)
+    seeds = [i - i % 3 if i < 60 else i for i in range(len(rows))]
+    seeded = df.withColumn("seed", F.when(F.col("id") < 60, F.col("id") - F.col("id") % 3).otherwise(F.col("id")))
+    want = sorted(tuple(r) for r in greedy_match(pairs).collect())
+    monkeypatch.setattr(linkage, "GROUP_ROWS", 5)
+    assert sorted(tuple(r) for r in greedy_match(pairs).collect()) == want
+    whole = link(x, y, 120.0, 300.0)
+    assert {r.id: r.cluster for r in capped_linkage(df, 120.0, 300.0).collect()} == dict(enumerate(whole))
+    assert {r.id: r.cluster for r in capped_linkage(seeded, 120.0, 300.0, "seed").collect()} == dict(enumerate(link(x, y, 120.0, 300.0, seeds)))
+
+
+def test_whole_groups():
+    import pyarrow as pa
+
+    from gridweave.operators.groups import whole_groups
+
+    rng = random.Random(3)
+    keys = sorted(rng.choices("abcdefg", k=200))
+    cuts = sorted(rng.sample(range(201), 30))
+    batches = [pa.record_batch({"k": keys[i:j], "n": list(range(i, j))}, schema=pa.schema([("k", pa.string()), ("n", pa.int64())])) for i, j in zip([0, *cuts], [*cuts, 200])]
+    got = []
+    for batch, bounds in whole_groups(iter(batches), "k"):
+        for i, j in zip(bounds[:-1], bounds[1:]):
+            assert len(set(batch.column("k").to_pylist()[i:j])) == 1
+            got.append((batch.column("k")[i].as_py(), batch.column("n").to_pylist()[i:j]))
+    assert got == [(k, [i for i, x in enumerate(keys) if x == k]) for k in sorted(set(keys))]
+
+
+def test_running_sums(spark):
+    from gridweave.operators.ranking import running_sums
+
+    rng = random.Random(9)
+    rows = [(i, rng.randrange(9)) for i in range(300)]
+    got = {r.id: r.s for r in running_sums(spark.createDataFrame(rows, "id long, v long").repartition(5), "s", "v", "id").collect()}
+    assert got == dict(enumerate(itertools.accumulate(v for _, v in rows)))
