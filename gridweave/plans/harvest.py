@@ -1,61 +1,51 @@
-"""Planning and texts of map queries, and which jobs are still to do. Fetching is in ``sources.http``."""
+"""Planning and texts of map queries, which jobs are still to do, and the run that does them. Fetching is in ``sources.http``."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridweave.config import Config
+from gridweave.sources.elements import from_answer, readable, write_elements
+from gridweave.sources.tables import append_manifest, read_manifest
 
 #: Voltages a harvested tag can have, in volts.
 TOP_VOLTS = 9_999_999
 
 
-def _at_least(low: int, width: int) -> list[str]:
-    """Patterns of the numbers of ``width`` digits from ``low`` on."""
-    digits = str(low)
-    if len(digits) > width:
-        return []
-    if len(digits) < width:
-        return [f"[1-9][0-9]{{{width - 1}}}" if width > 1 else "[1-9]"]
-    out = [digits]
-    for i in range(width):
-        if digits[i] < "9":
-            rest = width - i - 1
-            out.append(digits[:i] + f"[{int(digits[i]) + 1}-9]" + (f"[0-9]{{{rest}}}" if rest else ""))
-    return out
-
-
-def _below(high: int, width: int) -> list[str]:
-    """Patterns of the numbers of ``width`` digits below ``high``."""
-    digits = str(high)
-    if len(digits) < width:
-        return []
-    if len(digits) > width:
-        return [f"[1-9][0-9]{{{width - 1}}}" if width > 1 else "[1-9]"]
-    out = []
-    for i in range(width):
-        least = 1 if i == 0 else 0
-        if int(digits[i]) > least:
-            rest = width - i - 1
-            out.append(digits[:i] + f"[{least}-{int(digits[i]) - 1}]" + (f"[0-9]{{{rest}}}" if rest else ""))
-    return out
+def _digits(low: int, high: int, rest: int) -> str:
+    """A digit from ``low`` to ``high``, then ``rest`` digits of any kind."""
+    one = str(low) if low == high else f"[{low}-{high}]"
+    return one + ("" if rest == 0 else "[0-9]" if rest == 1 else f"[0-9]{{{rest}}}")
+
+
+def _range(low: str, high: str) -> list[str]:
+    """Alternatives for the numbers from ``low`` to ``high``, both of one width."""
+    if not low:
+        return [""]
+    a, b, rest = int(low[0]), int(high[0]), len(low) - 1
+    if a == b:
+        return [low[0] + tail for tail in _range(low[1:], high[1:])]
+    whole_low, whole_high = low[1:] == "0" * rest, high[1:] == "9" * rest
+    out = [] if whole_low else [low[0] + tail for tail in _range(low[1:], "9" * rest)]
+    first, last = a + (not whole_low), b - (not whole_high)
+    if first <= last:
+        out.append(_digits(first, last, rest))
+    return out + ([] if whole_high else [high[0] + tail for tail in _range("0" * rest, high[1:])])
 
 
 def voltage_pattern(low: int, high: int | None = None) -> str:
-    """A regular expression for a semicolon-separated voltage tag with a value in [low, high) volts."""
+    """A regular expression for a semicolon-separated voltage tag with a value in [low, high) volts.
+
+    Plain alternatives only: the servers' expressions are POSIX extended and know no lookahead.
+    """
     top = TOP_VOLTS if high is None else high - 1
     parts: list[str] = []
     for width in range(len(str(low)), len(str(top)) + 1):
-        above, under = _at_least(low, width), _below(top + 1, width)
-        if width == len(str(low)) == len(str(top)):
-            parts.append("|".join(f"(?=({a})(?:[^0-9]|$))(?:{u})" for a in above for u in under))
-        elif width == len(str(low)):
-            parts += above
-        elif width == len(str(top)):
-            parts += under
-        else:
-            parts.append(f"[1-9][0-9]{{{width - 1}}}")
+        least, most = max(low, 10 ** (width - 1)), min(top, 10**width - 1)
+        parts += _range(str(least), str(most)) if least <= most else []
     return f"(^|;) *({'|'.join(parts)}) *(;|$)"
 
 
@@ -127,3 +117,28 @@ def query_text(job: dict) -> str:
 def pending(planned: DataFrame, manifest: DataFrame) -> DataFrame:
     """Jobs without a successful entry in ``manifest`` (``job, status, elements, bytes, finished``)."""
     return planned.join(manifest.where("status = 'ok'").select("job"), "job", "left_anti")
+
+
+def run(spark: SparkSession, config: Config, folder: str, fetch: Callable[[str], bytes]) -> list[str]:
+    """Do the jobs that are not done, one after another, and return the names of those that failed.
+
+    A job is done if the manifest says so and every line of its file is an element. ``fetch`` takes a query's text to the
+    server's answer. A failed job is entered in the manifest as failed and leaves no file, so an empty file always means
+    that nothing is there.
+    """
+    failed = []
+    done = {r["job"] for r in read_manifest(spark, f"{folder}/manifest").where("status = 'ok'").select("job").distinct().collect()}
+    for row in jobs(spark, config).orderBy("job").collect():  # a few hundred
+        job = row.asDict()
+        target = f"{folder}/elements/{job['job']}"
+        if job["job"] in done and readable(spark, target):
+            continue
+        try:
+            elements = from_answer(spark, fetch(query_text(job)))
+        except (OSError, ValueError, RuntimeError):
+            failed.append(job["job"])
+            append_manifest(spark.createDataFrame([(job["job"], "failed", None, None)], "job string, status string, elements long, bytes long"), f"{folder}/manifest")
+            continue
+        count, size = write_elements(elements, target)
+        append_manifest(spark.createDataFrame([(job["job"], "ok", count, size)], "job string, status string, elements long, bytes long"), f"{folder}/manifest")
+    return failed

@@ -29,13 +29,28 @@ def _footprints(rings: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"ring": [f[0].tolist() if f else None for f in found], "used_hull": [f[1] if f else None for f in found]})
 
 
-def _within(points: Column, box: tuple[float, float, float, float] | None) -> Column:
-    """Bounding boxes overlap (south, west, north, east); true without a scope."""
+def within_scope(points: Column, box: tuple[float, float, float, float] | None, closed: bool = False) -> Column:
+    """Whether a path, or with ``closed`` the area in a ring, meets the box (south, west, north, east); true without a scope.
+
+    Bounds decide where they can: only a path that has vertices outside and bounds that overlap is tested exactly.
+    """
     if box is None:
         return F.lit(True)
     lon, lat = F.transform(points, lambda p: F.get(p, F.lit(0))), F.transform(points, lambda p: F.get(p, F.lit(1)))
     south, west, north, east = box
-    return (F.array_max(lon) >= west) & (F.array_min(lon) <= east) & (F.array_max(lat) >= south) & (F.array_min(lat) <= north)
+    overlap = (F.array_max(lon) >= west) & (F.array_min(lon) <= east) & (F.array_max(lat) >= south) & (F.array_min(lat) <= north)
+    vertex = F.exists(points, lambda p: F.get(p, F.lit(0)).between(west, east) & F.get(p, F.lit(1)).between(south, north))
+    edge = np.array([(west, south), (east, south), (east, north), (west, north), (west, south)], float)
+
+    def meets(paths: pd.Series) -> pd.Series:
+        out = []
+        for points in paths:
+            path = np.array([list(p) for p in points]) if points is not None else np.zeros((0, 2))
+            out.append(len(path) > 1 and bool(G.crossings(path, edge) or (closed and G.inside(path, edge[:1])[0])))
+        return pd.Series(out, dtype=bool)
+
+    unclear = F.when(overlap & ~vertex, points)
+    return F.coalesce(overlap & (vertex | F.pandas_udf(meets, "boolean")(unclear)), F.lit(False))
 
 
 def element_key(oid: str = "oid") -> Column:
@@ -61,7 +76,7 @@ def substations(elements: DataFrame, config: Config) -> DataFrame:
         "f.ring",
         "f.used_hull",
     )
-    return out.where(_within(F.col("ring"), config.scope_bbox))
+    return out.where(within_scope(F.col("ring"), config.scope_bbox, closed=True))
 
 
 def relations(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -111,7 +126,7 @@ def records(raw: DataFrame, config: Config) -> tuple[DataFrame, DataFrame, DataF
         none.cast("boolean").alias("ambiguous"), none.cast("array<string>").alias("member_kinds"),
     )
     every = single.unionByName(kept.select(*single.columns))
-    every = every.select("*", F.posexplode("parts").alias("part", "path")).drop("parts").where(_within(F.col("path"), config.scope_bbox))
+    every = every.select("*", F.posexplode("parts").alias("part", "path")).drop("parts").where(within_scope(F.col("path"), config.scope_bbox))
     tags = F.col("tags")
     every = every.withColumn("dc", T.is_dc(tags) | F.col("oid").isin(list(config.force_dc_ids) or [""]))
     every = every.withColumn("lons", F.transform("path", lambda p: F.get(p, F.lit(0)))).withColumn("lats", F.transform("path", lambda p: F.get(p, F.lit(1))))
@@ -156,7 +171,8 @@ def records(raw: DataFrame, config: Config) -> tuple[DataFrame, DataFrame, DataF
 def with_countries(rows: DataFrame, config: Config, polygons: DataFrame | None = None) -> DataFrame:
     """Adds ``countries``, sorted and joined by semicolons, from the configured source.
 
-    ``polygons`` (``country, ring``) are joined on one-degree cells and tested exactly.
+    ``polygons`` (``country, ring`` and optionally ``holes``) are joined on one-degree cells and tested exactly: a path counts
+    for a country if it meets the ring's area and does not lie inside a hole.
     """
     if config.country_source == "none":
         return rows.withColumn("countries", F.lit(""))
@@ -165,19 +181,22 @@ def with_countries(rows: DataFrame, config: Config, polygons: DataFrame | None =
     from gridweave.operators.spatial import box_cells, path_cells
 
     lon, lat = F.transform("ring", lambda p: F.get(p, F.lit(0))), F.transform("ring", lambda p: F.get(p, F.lit(1)))
-    ringed = polygons.withColumn("rx", lon).withColumn("ry", lat)
+    holes = polygons if "holes" in polygons.columns else polygons.withColumn("holes", F.lit(None).cast(PATHS))
+    ringed = holes.select("country", "holes", lon.alias("rx"), lat.alias("ry"))
     areas = box_cells(ringed, 1.0, 0.0, F.array_min("rx"), F.array_min("ry"), F.array_max("rx"), F.array_max("ry"))
     paths = path_cells(rows.select("key", F.col("lons").alias("xs"), F.col("lats").alias("ys")), 1.0, 0.0, ["key"])
 
-    def touches(xs: pd.Series, ys: pd.Series, rx: pd.Series, ry: pd.Series) -> pd.Series:
+    def touches(xs: pd.Series, ys: pd.Series, rx: pd.Series, ry: pd.Series, holes: pd.Series) -> pd.Series:
         out = []
-        for a, b, c, d in zip(xs, ys, rx, ry, strict=True):
+        for a, b, c, d, inner in zip(xs, ys, rx, ry, holes, strict=True):
             path, ring = np.column_stack([a, b]), np.column_stack([c, d])
-            out.append(bool(G.inside(ring, path[:1])[0] or G.crossings(path, ring)))
+            met = bool(G.inside(ring, path[:1])[0] or G.crossings(path, ring))
+            gaps = [np.array([list(p) for p in hole]) for hole in inner] if met and inner is not None else []
+            out.append(met and not any(G.inside(gap, path[:1])[0] and not G.crossings(path, gap) for gap in gaps))
         return pd.Series(out)
 
-    met = paths.join(areas, ["cx", "cy"]).select("key", "country", "rx", "ry").dropDuplicates(["key", "country", "rx"])
-    met = met.join(rows.select("key", "lons", "lats"), "key").where(F.pandas_udf(touches, "boolean")("lons", "lats", "rx", "ry"))
+    met = paths.join(areas, ["cx", "cy"]).select("key", "country", "rx", "ry", "holes").dropDuplicates(["key", "country", "rx", "ry"])
+    met = met.join(rows.select("key", "lons", "lats"), "key").where(F.pandas_udf(touches, "boolean")("lons", "lats", "rx", "ry", "holes"))
     found = met.groupBy("key").agg(F.array_join(F.array_sort(F.collect_set("country")), ";").alias("countries"))
     return rows.join(found, "key", "left").withColumn("countries", F.coalesce("countries", F.lit("")))
 

@@ -41,6 +41,26 @@ def fetch(mirrors: list[str], body: bytes, tries: int = 6, pause: float = 8.0, l
     raise RuntimeError(f"no answer after {tries} tries") from last
 
 
+def wait_for_slot(mirror: str, opener: Callable | None = None, sleep: Callable = time.sleep, pause: float = 15.0, longest: float = 600.0) -> float:
+    """Seconds waited until the mirror's status page names a free slot.
+
+    A mirror without a status page is not waited for; after ``longest`` seconds the request is tried all the same.
+    """
+    opener = opener or (lambda url: urllib.request.urlopen(url, timeout=30))
+    waited = 0.0
+    while waited < longest:
+        try:
+            with opener(mirror.rsplit("/", 1)[0] + "/status") as answer:
+                status = answer.read().decode("utf-8", "replace").lower()
+        except (OSError, ValueError):
+            return waited
+        if "available now" in status or "slots available" in status or "slot available after" not in status:
+            return waited
+        sleep(pause)
+        waited += pause
+    return waited
+
+
 def elements_of(data: bytes) -> Iterator[tuple]:
     """(type, id, tags, geometry, members) rows of an answer."""
 
@@ -66,6 +86,7 @@ class QueryReader(DataSourceReader):
         for k, text in enumerate(json.loads(self.options["queries"])):
             if k:
                 time.sleep(pause)
+            wait_for_slot(mirrors[0])
             yield from elements_of(fetch(mirrors, urllib.parse.urlencode({"data": text}).encode()))
 
 

@@ -10,16 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridweave.sources.elements import SCHEMA, latest
+from gridweave.sources.elements import latest, parsed_lines
 
 
 def element_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Elements of the files that appear below ``folder``."""
+    """Elements of the files that appear below ``folder``; a line that is not an element fails the stream."""
     lines = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.ndjson").text(folder)
-    parsed = lines.where(F.trim("value") != "").select(F.from_json("value", SCHEMA).alias("e"), F.length("value").alias("size"), F.col("_metadata.file_path").alias("file"))
-    return parsed.where("e.id is not null").select(
-        F.concat_ws("/", "e.type", F.col("e.id").cast("string")).alias("oid"), "e.type", F.coalesce("e.tags", F.create_map().cast("map<string,string>")).alias("tags"), "e.geometry", "e.members", "size", "file",
-    )
+    return parsed_lines(lines.select("value", F.col("_metadata.file_path").alias("file")))
 
 
 def keep_latest(stream: DataFrame, target: str, checkpoint: str, **trigger) -> StreamingQuery:  # noqa: ANN003
