@@ -211,10 +211,8 @@ def endpoint_key(x: Column, y: Column) -> Column:
 def voltage_text(kv: Column) -> Column:
     """Whole kV as an integer, else up to six significant digits."""
     whole = F.abs(kv - F.round(kv, 0)) < 1e-6
-    digits = F.greatest(F.lit(0), F.lit(5) - F.floor(F.log10(F.abs(kv))).cast("int"))
-    general = F.regexp_replace(F.regexp_replace(F.format_string("%.6f", F.expr("0.0") + kv), "0+$", ""), "\\.$", "")
-    rounded = F.when(digits >= 6, general).otherwise(F.regexp_replace(F.regexp_replace(F.round(kv, 5).cast("string"), "0+$", ""), "\\.$", ""))
-    return F.when(whole, F.round(kv, 0).cast("long").cast("string")).otherwise(rounded)
+    general = F.regexp_replace(F.regexp_replace(F.format_string("%.6g", kv.cast("double")), "0+$", ""), "\\.$", "")
+    return F.when(whole, F.round(kv, 0).cast("long").cast("string")).otherwise(general)
 
 
 def bus_id(node: Column, kv: Column, hz: Column, config: Config) -> Column:

@@ -11,6 +11,7 @@ from gridweave.functions import geometry as G
 from gridweave.functions import tags as T
 from gridweave.operators.linkage import greedy_match
 from gridweave.operators.spatial import pairs_within, path_cells
+from gridweave.plans.patch import append_common
 
 
 def route_km_by_class(lines: DataFrame) -> DataFrame:
@@ -104,3 +105,16 @@ def gap_fill(candidates: DataFrame, ours: DataFrame, radius: float = 150.0, step
     all_ = points.groupBy("key").agg(F.count(F.lit(1)).alias("samples"))
     share = all_.join(near, "key", "left").select("key", (F.coalesce("near", F.lit(0)) / F.col("samples")).alias("covered"))
     return candidates.join(share.where(F.col("covered") < most), "key")
+
+
+def fused(lines: DataFrame, additions: DataFrame, marker: str) -> DataFrame:
+    """``lines`` with ``additions`` appended on the common columns, each marked in ``qa_flags`` with where it comes from.
+
+    Nothing is added to lines that already carry the marker, so a second run changes nothing.
+    """
+    done = lines.where(F.array_contains(T.semicolon_parts(F.col("qa_flags")), marker)).limit(1).count()
+    if done:
+        return lines
+    flags = T.semicolon_parts(F.col("qa_flags")) if "qa_flags" in additions.columns else F.array().cast("array<string>")
+    marked = additions.withColumn("qa_flags", F.array_join(F.array_union(flags, F.array(F.lit(marker))), ";"))
+    return append_common(lines, marked)

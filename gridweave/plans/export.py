@@ -19,7 +19,7 @@ SELECTORS = {
 
 def typing_rule(spark: SparkSession) -> DataFrame:
     """``band, selector, s_nom_mva, x_pu, r_pu, basis, source_url`` as text: six bands and two remarks."""
-    rows = [(b, SELECTORS[b], f"{s:g}", f"{x:.3f}", f"{r:.4f}", "typical values", "") for b, s, x, r in TRANSFORMER_BANDS]
+    rows = [(b, SELECTORS[b], f"{s:g}", f"{x:g}", f"{r:g}", "typical values", "") for b, s, x, r in TRANSFORMER_BANDS]
     rows += [("ALT", "largest incident rating of either bus, rounded up", "", "", "", "incident lines", ""), ("NOTE", "ratios below 1.095 are probably tagging artefacts", "", "", "", "", "")]
     return spark.createDataFrame(rows, "band string, selector string, s_nom_mva string, x_pu string, r_pu string, basis string, source_url string")
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridweave.config import Traction
@@ -85,6 +87,61 @@ def duplicate_groups(spans: DataFrame) -> DataFrame:
     return groups.where("n > 1").select("osm_id", "bus0", "bus1", "n", action.alias("action"))
 
 
+def collapse_duplicates(spans: DataFrame) -> DataFrame:
+    """``spans`` (with ``shape`` and ``qa_flags``) without repeated rows of one element between the same buses.
+
+    Where shape and circuits agree the row of smallest ``line_id`` stays and says how many it stands for; where they do not,
+    all stay and are flagged.
+    """
+    group = ["osm_id", "bus0", "bus1"]
+    order = W.partitionBy(*group).orderBy("line_id")
+    groups = duplicate_groups(spans).select(*[F.col(c).alias(f"{c}_") for c in group], "n", "action")
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in group]
+    rows = spans.withColumn("place", F.row_number().over(order)).join(groups, same, "left")
+    flag = F.when(F.col("action") == "collapse", F.concat(F.lit("duplicate_circuit_rows_collapsed_"), F.col("n").cast("string"), F.lit("to1")))
+    flag = flag.when(F.col("action") == "flag", "circuit_count_element_level_ambiguous")
+    kept = rows.where((F.coalesce("action", F.lit("")) != "collapse") | (F.col("place") == 1))
+    return kept.withColumn("qa_flags", flagged(F.col("qa_flags"), flag)).select(*spans.columns)
+
+
+def flagged(flags: Column, flag: Column) -> Column:
+    """Semicolon-separated flags with another one, unless it is null or there already."""
+    every = F.array_union(T.semicolon_parts(flags), F.array(flag))
+    return F.array_join(F.filter(every, lambda f: f.isNotNull()), ";")
+
+
+def propagated(layer: DataFrame, source: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``layer`` with ``columns`` as ``source`` has them for equal ``key``; rows that it lacks stay, missing columns come.
+
+    Of several rows of a key in ``source`` the greatest counts, so no row of the layer is doubled.
+    """
+    for c in columns:
+        if c not in layer.columns:
+            layer = layer.withColumn(c, F.lit(None).cast(source.schema[c].dataType))
+    news = source.groupBy(F.col(key).alias("key_")).agg(F.max(F.struct(*columns)).alias("new_"))
+    joined = layer.join(news, F.col(key) == F.col("key_"), "left")
+    out = [F.when(F.col("new_").isNotNull(), F.col(f"new_.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in layer.columns]
+    return joined.select(*out)
+
+
+def typed_transformers(transformers: DataFrame) -> DataFrame:
+    """Parameters of every transformer by its pair of voltages, each pair typed once, whichever side is the higher."""
+    low, high = F.least("voltage0_kv", "voltage1_kv"), F.greatest("voltage0_kv", "voltage1_kv")
+    pairs = transformers.select(low.alias("low_"), high.alias("high_")).distinct().withColumn("b", T.transformer_band(F.col("low_"), F.col("high_")))
+    source = F.concat(F.lit("typing_rule_v23:"), F.col("b.band"), F.when(F.col("high_") < T.RATIO_ARTEFACT * F.col("low_"), ";ratio_lt_1p095_probable_voltage_tagging_artifact").otherwise(""))
+    pairs = pairs.select("low_", "high_", "b.s_nom_mva", "b.x_pu", "b.r_pu", source.alias("parameters_source"))
+    names = ("s_nom_mva", "x_pu", "r_pu", "parameters_source")
+    plain = transformers.drop(*names)
+    return plain.join(pairs, (low == F.col("low_")) & (high == F.col("high_")), "left").drop("low_", "high_")
+
+
+def split_traction(layers: dict[str, DataFrame], traction_hz: float) -> dict[str, DataFrame]:
+    """Line layers with their traction rows moved to a layer of the same columns, named by voltage and frequency."""
+    out = {name: rows.where(F.coalesce(F.col("frequency_hz") != traction_hz, F.lit(True))) for name, rows in layers.items()}
+    suffix = f"_{traction_hz:g}Hz".replace(".", "_")
+    return out | {name + suffix: rows.where(F.col("frequency_hz") == traction_hz) for name, rows in layers.items()}
+
+
 def sever_buses(buses: DataFrame, spans: DataFrame, grid_hz: float) -> tuple[DataFrame, DataFrame]:
     """(buses, spans): a bus that spans of a second frequency end at is cloned for them, and they move to the clone."""
     suffix = F.concat(F.lit("_"), F.regexp_replace(F.format_string("%s", F.col("hz")), "\\.", "_"), F.lit("Hz"))
@@ -142,14 +199,20 @@ def to_dc(lines: DataFrame, dc: DataFrame, ids: DataFrame) -> tuple[DataFrame, D
 def recompute_lengths(lines: DataFrame, tolerance: float = 0.10, least_m: float = 200.0) -> DataFrame:
     """Lengths that are off by more than the tolerance are measured again, with resistance and reactance in proportion.
 
-    Paths up to ``least_m`` stay as they are.
+    Stated lengths (with connectors) up to ``least_m`` stay as they are. Where the connectors leave less than a twentieth of
+    the drawn path, or than five metres, nothing is changed and ``qa_flags`` names the conflict.
     """
-    drawn = M.haversine_length(F.col("lons"), F.col("lats")) - F.col("connector0_m") - F.col("connector1_m")
-    rows = lines.withColumn("drawn", drawn)
-    off = (F.col("drawn") > least_m) & (F.abs(F.col("length_conductor_m") - F.col("drawn")) > tolerance * F.col("drawn"))
-    ratio = F.when(off & (F.col("length_conductor_m") > 0), F.col("drawn") / F.col("length_conductor_m")).otherwise(1.0)
+    connectors = F.coalesce("connector0_m", F.lit(0.0)) + F.coalesce("connector1_m", F.lit(0.0))
+    rows = lines.withColumn("drawn", M.haversine_length(F.col("lons"), F.col("lats"))).withColumn("stated", F.col("length_conductor_m") + connectors)
+    rows = rows.withColumn("off", (F.col("stated") > least_m) & (F.abs(F.col("drawn") - F.col("stated")) > tolerance * F.col("stated")))
+    rows = rows.withColumn("new", F.col("drawn") - connectors).withColumn("conflict", F.col("off") & (F.col("new") < F.greatest(F.col("drawn") * 0.05, F.lit(5.0))))
+    change = F.col("off") & ~F.col("conflict") & (F.col("length_conductor_m") > 0)
+    ratio = F.when(change, F.col("new") / F.col("length_conductor_m")).otherwise(1.0)
     rows = rows.withColumn("ratio", ratio).withColumn("r_ohm", F.col("r_ohm") * F.col("ratio")).withColumn("x_ohm", F.col("x_ohm") * F.col("ratio"))
-    return rows.withColumn("length_conductor_m", F.when(off, F.col("drawn")).otherwise(F.col("length_conductor_m"))).select(*lines.columns)
+    if "qa_flags" in lines.columns:
+        flag = F.when(F.col("conflict"), "length_geometry_conflict_unresolved").when(change, "length_recomputed_from_geometry")
+        rows = rows.withColumn("qa_flags", flagged(F.col("qa_flags"), flag))
+    return rows.withColumn("length_conductor_m", F.when(change, F.round("new", 1)).otherwise(F.col("length_conductor_m"))).select(*lines.columns)
 
 
 def frequency_by_scrape(lines: DataFrame, scrape: DataFrame, traction: Traction, grid_hz: float) -> DataFrame:
@@ -200,19 +263,58 @@ def station_voltages(buses: DataFrame) -> DataFrame:
     return buses.drop("station_voltages_kv").join(kvs, "station_id").select(*dict.fromkeys([*buses.columns, "station_voltages_kv"]))
 
 
+def united(layers: dict[str, DataFrame]) -> DataFrame:
+    """Layers of the same columns as one table; ``layer`` says which."""
+    named = [rows.select(F.lit(name).alias("layer"), "*") for name, rows in layers.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
 def layer_counts(lines: DataFrame) -> DataFrame:
     """``layer, n``."""
     return lines.groupBy("layer").agg(F.count(F.lit(1)).alias("n"))
 
 
-def prune_scope(buses: DataFrame, lines: DataFrame, box: tuple[float, float, float, float]) -> tuple[DataFrame, DataFrame]:
-    """Without buses outside (south, west, north, east) and the lines that end at one."""
+def prune_scope(buses: DataFrame, lines: DataFrame, box: tuple[float, float, float, float], others: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame] | tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
+    """Without buses outside (south, west, north, east) and the lines that reach out of the box.
+
+    Lines go by their drawn ends (``start_lon`` and so on) where they have them, else by their buses. ``others`` are further
+    tables: those with ``bus0, bus1`` lose the rows at a bus that goes, those with ``bus_id`` that bus, those with paths
+    (``lons, lats``) the rows that begin outside; they are then returned as a third value. A line that stays and names a bus
+    that goes is an error: the query fails and names it.
+    """
     south, west, north, east = box
-    gone = buses.where(~(F.col("lat").between(south, north) & F.col("lon").between(west, east))).select("bus_id")
-    kept = lines
-    for e in ("bus0", "bus1"):
-        kept = kept.join(gone.withColumnRenamed("bus_id", e), e, "left_anti")
-    return buses.join(gone, "bus_id", "left_anti"), kept.select(*lines.columns)
+
+    def inside(lon: Column, lat: Column) -> Column:
+        return lat.between(south, north) & lon.between(west, east)
+
+    gone = buses.where(~inside(F.col("lon"), F.col("lat"))).select("bus_id")
+
+    def away(rows: DataFrame, *ends: str) -> DataFrame:
+        for e in ends:
+            rows = rows.join(gone.withColumnRenamed("bus_id", e), e, "left_anti")
+        return rows
+
+    drawn = all(c in lines.columns for c in ("start_lon", "start_lat", "end_lon", "end_lat"))
+    if drawn:
+        kept = lines.where(inside(F.col("start_lon"), F.col("start_lat")) & inside(F.col("end_lon"), F.col("end_lat")))
+        lost = kept.join(gone.select(F.col("bus_id").alias("bus0"), F.lit(True).alias("lost0")), "bus0", "left").join(gone.select(F.col("bus_id").alias("bus1"), F.lit(True).alias("lost1")), "bus1", "left")
+        broken = F.coalesce("lost0", F.lit(False)) | F.coalesce("lost1", F.lit(False))
+        named = F.raise_error(F.concat(F.lit("a line inside the scope ends at a bus outside it: "), F.col("line_id")))
+        kept = lost.withColumn("line_id", F.when(broken, named.cast("string")).otherwise(F.col("line_id")))
+    else:
+        kept = away(lines, "bus0", "bus1")
+    found = away(buses, "bus_id"), kept.select(*lines.columns)
+    if others is None:
+        return found
+    more = {}
+    for name, rows in others.items():
+        if "bus0" in rows.columns:
+            more[name] = away(rows, "bus0", "bus1").select(*rows.columns)
+        elif "bus_id" in rows.columns:
+            more[name] = away(rows, "bus_id").select(*rows.columns)
+        else:
+            more[name] = rows.where(inside(F.get("lons", F.lit(0)), F.get("lats", F.lit(0))))
+    return *found, more
 
 
 def status_violations(dc: DataFrame, vocabulary: tuple[str, ...]) -> DataFrame:
