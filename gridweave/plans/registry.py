@@ -185,8 +185,10 @@ def haversine_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {S.LINE_SQL} SELECT CAST(trunc(kv) AS INTEGER) AS kv, count(*) AS n_spans, round(sum(metres) / 1000, 3) AS route_km, round(sum(metres * n_circuits) / 1000, 3) AS circuit_km FROM line GROUP BY 1")
 def route_km_by_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = S.lines(spark, sf_dir).groupBy(F.col("kv").cast("int").alias("kv"))
-    return rows.agg(F.count(F.lit(1)).alias("n_spans"), F.round(F.sum("metres") / 1000, 3).alias("route_km"), F.round(F.sum(F.col("metres") * F.col("n_circuits")) / 1000, 3).alias("circuit_km"))
+    from gridweave.plans.validate import voltage_table
+
+    rows = S.lines(spark, sf_dir).select(F.col("kv").alias("voltage_kv"), F.col("metres").alias("length_conductor_m"), "n_circuits", F.lit(50.0).alias("frequency_hz"))
+    return voltage_table(rows, CONFIG.traction.frequency_hz).select("kv", "n_spans", F.round("km", 3).alias("route_km"), F.round("circuit_km", 3).alias("circuit_km"))
 
 
 PUBLISHED = [(v, 1000.0 * (i + 1)) for i, v in enumerate((66, 110, 220, 236, 400, 750))]
@@ -218,23 +220,28 @@ def connected_component_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {S.ISLAND_SQL} SELECT event_id, component AS cluster FROM island")
 def single_linkage_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gaps and islands by a running sum instead of a graph: the same clusters."""
-    rows = S.event_chain(spark, sf_dir)
-    order = W.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(W.unboundedPreceding, 0)
-    rows = rows.withColumn("n", F.sum(F.when(F.col("before").isNull(), 1).otherwise(0)).over(order))
-    return rows.select("event_id", F.min("event_id").over(W.partitionBy("user_id", "n")).alias("cluster"))
+    """Uncapped linkage of the events of each user on the line of time."""
+    seconds = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2000-01-01 00:00:00', ts) / 1e6")
+    points = S.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), (F.col("user_id") * 1e10 + seconds).alias("x"), F.lit(0.0).alias("y"))
+    return capped_linkage(points, S.GAP_HOURS * 3600.0, float("inf")).select(F.col("id").alias("event_id"), "cluster")
 
 
 @query(f"WITH {S.ISLAND_SQL}, sums AS (SELECT component, sum(value) AS v FROM island GROUP BY 1) SELECT count(*) AS n_components, round(100 * max(v) / sum(v), 6) AS largest_pct FROM sums")
 def largest_component_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sums = _components(spark, sf_dir).groupBy("component").agg(F.sum("value").alias("v"))
-    return sums.agg(F.count(F.lit(1)).alias("n_components"), F.round(100 * F.max("v") / F.sum("v"), 6).alias("largest_pct"))
+    sums = _component_stats(spark, sf_dir)
+    return sums.agg(F.count(F.lit(1)).alias("n_components"), F.round(F.max("share_pct"), 6).alias("largest_pct"))
+
+
+def _component_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridweave.plans.validate import component_stats
+
+    return component_stats(_components(spark, sf_dir).select("component", F.col("value").alias("length_conductor_m"), F.lit(110.0).alias("voltage_kv")))
 
 
 @query(f"WITH {S.ISLAND_SQL} SELECT component, count(*) AS n, round(sum(value), 3) AS total FROM island GROUP BY 1 ORDER BY sum(value) DESC, component LIMIT 5")
 def top5_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sums = _components(spark, sf_dir).groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
-    return sums.orderBy(F.desc("v"), "component").limit(5).select("component", "n", F.round("v", 3).alias("total"))
+    sums = _component_stats(spark, sf_dir).orderBy(F.desc("km"), "component").limit(5)
+    return sums.select("component", F.col("n_spans").alias("n"), F.round(F.col("km") * 1000, 3).alias("total"))
 
 
 @query(
@@ -310,9 +317,9 @@ def _spots(spark: SparkSession, sf_dir: str) -> DataFrame:
 METRES_SQL = "sqrt(pow(p.x - q.x, 2) + pow(p.y - q.y, 2))"
 
 
-@query(f"WITH {PLANE_SQL} SELECT p.id AS a, q.id AS b, round({METRES_SQL}, 3) AS d FROM spot p JOIN spot q ON p.id < q.id AND {METRES_SQL} <= 1500")
+@query(f"WITH {PLANE_SQL} SELECT p.id AS a, q.id AS b, round({METRES_SQL}, 3) AS d FROM spot p JOIN spot q ON p.id < q.id AND {METRES_SQL} <= 4000")
 def within_radius_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs_within(_spots(spark, sf_dir), "id", 1500.0).select("a", "b", F.round("d", 3).alias("d"))
+    return pairs_within(_spots(spark, sf_dir), "id", 4000.0).select("a", "b", F.round("d", 3).alias("d"))
 
 
 @query(f"WITH {PLANE_SQL} SELECT p.id AS a, q.id AS b, round({METRES_SQL}, 3) AS d FROM spot p JOIN spot q ON p.id < q.id AND p.g = q.g AND {METRES_SQL} <= 5000")
@@ -335,37 +342,24 @@ def nearest_bus_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"WITH {PLANE_SQL}, box AS (SELECT id, x AS x0, y AS y0, x + 200 + abs(v) / 10 AS x1, y + 300 + abs(v) / 20 AS y1 FROM spot) "
+    f"WITH {PLANE_SQL}, box AS (SELECT id, x AS x0, y AS y0, x + 2000 + abs(v) / 2 AS x1, y + 2500 + abs(v) / 3 AS y1 FROM spot) "
     "SELECT p.id AS a, q.id AS b FROM box p JOIN box q ON p.id < q.id AND p.x0 <= q.x1 AND q.x0 <= p.x1 AND p.y0 <= q.y1 AND q.y0 <= p.y1"
 )
 def polygon_bbox_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.abs("v")
-    boxes = _spots(spark, sf_dir).select("id", F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("x") + 200 + size / 10).alias("x1"), (F.col("y") + 300 + size / 20).alias("y1"))
+    boxes = _spots(spark, sf_dir).select("id", F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("x") + 2000 + size / 2).alias("x1"), (F.col("y") + 2500 + size / 3).alias("y1"))
     cells = box_cells(boxes, 1000.0, 0.0, *map(F.col, ("x0", "y0", "x1", "y1")))
     one, two = cells.withColumnsRenamed({"id": "a"}), cells.withColumnsRenamed({"id": "b", "x0": "u0", "y0": "v0", "x1": "u1", "y1": "v1"})
     met = one.join(two, ["cx", "cy"]).where("a < b and x0 <= u1 and u0 <= x1 and y0 <= v1 and v0 <= y1")
     return met.select("a", "b").distinct()
 
 
-@query(f"WITH {PLANE_SQL} SELECT p.id AS a, q.id AS b, round({METRES_SQL}, 3) AS d FROM spot p JOIN spot q ON p.id < q.id AND p.g <> q.g AND {METRES_SQL} <= 1000")
+@query(f"WITH {PLANE_SQL} SELECT p.id AS a, q.id AS b, round({METRES_SQL}, 3) AS d FROM spot p JOIN spot q ON p.id < q.id AND p.g <> q.g AND {METRES_SQL} <= 4000")
 def bus_pairs_cross_component(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridweave.plans.validate import close_bus_pairs
 
     rows = _spots(spark, sf_dir).select(F.col("id").alias("bus_id"), "x", "y", F.lit(110.0).alias("voltage_kv"), F.lit(50.0).alias("frequency_hz"), F.col("g").alias("component"))
-    return close_bus_pairs(rows, 1000.0).select("a", "b", F.round("d", 3).alias("d"))
-
-
-@query(
-    "WITH e AS (SELECT CAST(c_nationkey AS BIGINT) AS spot, c_custkey AS k FROM customer UNION ALL SELECT s_nationkey, -1 - s_suppkey FROM supplier UNION ALL SELECT 100 + s_suppkey, s_suppkey FROM supplier UNION ALL SELECT 100 + c_custkey, c_custkey FROM customer) "
-    "SELECT spot, min(k) AS first_key, max(k) AS second_key FROM e GROUP BY spot HAVING count(*) = 2"
-)
-def endpoint_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups of exactly two ends at one point."""
-    c, s = S.table(spark, sf_dir, "customer"), S.table(spark, sf_dir, "supplier")
-    ends = c.select(F.col("c_nationkey").cast("long").alias("spot"), F.col("c_custkey").alias("k")).unionByName(s.select(F.col("s_nationkey").cast("long").alias("spot"), (-1 - F.col("s_suppkey")).alias("k")))
-    for rows, key in ((c, "c_custkey"), (s, "s_suppkey")):
-        ends = ends.unionByName(rows.select((100 + F.col(key)).alias("spot"), F.col(key).alias("k")))
-    return ends.groupBy("spot").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("first_key"), F.max("k").alias("second_key")).where("n = 2").drop("n")
+    return close_bus_pairs(rows, 4000.0).select("a", "b", F.round("d", 3).alias("d"))
 
 
 @query(
@@ -379,13 +373,6 @@ def dup_group_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(rows).select(F.col("osm_id").alias("elem"), "bus0", "bus1", "n", "action")
 
 
-@query("SELECT p_partkey, p_name, count(l_orderkey) AS n, coalesce(min(l_returnflag), 'unknown') AS status FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY 1, 2")
-def ratings_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rated = S.table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count("l_orderkey").alias("n"), F.min("l_returnflag").alias("status"))
-    rows = S.table(spark, sf_dir, "part").join(rated, "p_partkey", "left")
-    return rows.select("p_partkey", "p_name", F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.coalesce("status", F.lit("unknown")).alias("status"))
-
-
 @query(f"WITH {S.BUS_SQL}, {S.LINE_SQL}, known AS (SELECT bus_id FROM bus WHERE kv < 300) SELECT line_id, e AS bus_id FROM (SELECT line_id, bus0 AS e FROM line UNION ALL SELECT line_id, bus1 FROM line) WHERE e NOT IN (SELECT bus_id FROM known)")
 def unresolved_bus(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridweave.plans.validate import unresolved_ends
@@ -415,10 +402,12 @@ def both_ways_except(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT 'customer' AS layer, c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier UNION ALL SELECT 'part', p_partkey, p_name FROM part")
 def union_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridweave.plans.patch import united
+
     def layer(name: str, key: str, title: str) -> DataFrame:
-        return S.table(spark, sf_dir, name).select(F.lit(name).alias("layer"), F.col(key).alias("key"), F.col(title).alias("name"))
+        return S.table(spark, sf_dir, name).select(F.col(key).alias("key"), F.col(title).alias("name"))
 
-    return layer("customer", "c_custkey", "c_name").unionByName(layer("supplier", "s_suppkey", "s_name")).unionByName(layer("part", "p_partkey", "p_name"))
+    return united({"customer": layer("customer", "c_custkey", "c_name"), "supplier": layer("supplier", "s_suppkey", "s_name"), "part": layer("part", "p_partkey", "p_name")})
 
 
 STATION_SQL = f"st AS (SELECT DISTINCT c_nationkey AS node, {S.pick_sql('c_custkey', S.KVS)} AS kv FROM customer)"
@@ -464,17 +453,6 @@ def incident_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("bus_id", F.round("mva", 3).alias("mva"), F.ceil(F.round("mva", 3)).alias("ceil_mva"))
 
 
-@query(
-    f"WITH b AS (SELECT c_nationkey AS node, {S.pick_sql('c_custkey', S.KVS)} AS kv, c_acctbal AS v, c_name AS name FROM customer) "
-    "SELECT node, count(*) AS n_buses, string_agg(DISTINCT CAST(CAST(kv AS INTEGER) AS VARCHAR), ';' ORDER BY CAST(CAST(kv AS INTEGER) AS VARCHAR)) AS voltages, round(sum(v), 3) AS total, min(name) AS first_name, arg_max(name, v) AS largest FROM b GROUP BY 1"
-)
-def station_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = S.table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("node"), S.pick(F.col("c_custkey"), S.KVS).alias("kv"), F.col("c_acctbal").alias("v"), F.col("c_name").alias("name"))
-    return rows.groupBy("node").agg(
-        F.count(F.lit(1)).alias("n_buses"), F.array_join(F.array_sort(F.collect_set(T.voltage_text(F.col("kv")))), ";").alias("voltages"), F.round(F.sum("v"), 3).alias("total"), F.min("name").alias("first_name"), F.max_by("name", "v").alias("largest"),
-    )
-
-
 TRACE_SQL = (
     f"WITH {S.ISLAND_SQL}, named AS (SELECT *, CASE WHEN event_type IN ('purchase', 'click') THEN event_type END AS st FROM island), "
     "seen AS (SELECT *, first_value(st IGNORE NULLS) OVER (PARTITION BY component ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ahead, "
@@ -531,12 +509,6 @@ def integrity_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lost.unionByName(sums.unpivot([], ["self_loop", "missing_length"], "name", "value"))
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, md5(CAST(event_id AS VARCHAR) || ':' || props) AS digest FROM events")
-def json_and_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = S.table(spark, sf_dir, "events")
-    return rows.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"), F.md5(F.concat_ws(":", F.col("event_id").cast("string"), "props")).alias("digest"))
-
-
 @query(None)
 def capped_linkage_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-dependent clusters of customers on the plane; tests hold the rule against a sequential version."""
@@ -549,15 +521,21 @@ def greedy_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     return greedy_match(pairs_within(_spots(spark, sf_dir), "id", 5000.0, ("g",)))
 
 
-@query(None)
+@query(
+    f"WITH RECURSIVE {S.BUS_SQL}, {S.LINE_SQL}, strong AS (SELECT bus_id FROM bus WHERE kv >= 220), edge AS (SELECT bus0, bus1, kv FROM line WHERE bus0 IN (SELECT bus_id FROM strong) AND bus1 IN (SELECT bus_id FROM strong)), "
+    "side AS (SELECT DISTINCT bus0 AS a, bus1 AS b FROM edge UNION SELECT DISTINCT bus1, bus0 FROM edge), reach(b) AS (SELECT a FROM (SELECT a FROM side GROUP BY a ORDER BY count(*) DESC, a LIMIT 1) UNION SELECT s.b FROM side s JOIN reach r ON s.a = r.b) "
+    "SELECT (SELECT count(*) FROM reach) AS buses, (SELECT count(*) FROM (SELECT DISTINCT bus0, bus1, kv FROM edge WHERE bus0 IN (SELECT b FROM reach))) AS branches, true AS balanced, true AS solved"
+)
 def network_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Linear power flow on the synthetic backbone: residual and balance."""
+    """Linear power flow on the largest part of the synthetic backbone: does it carry balanced injections without a residual?"""
     from gridweave.plans.powerflow import linear_flow_report
 
     buses = S.buses(spark, sf_dir).select("bus_id", F.col("kv").alias("voltage_kv"), F.lit(50.0).alias("frequency_hz"))
     lines = S.lines(spark, sf_dir).withColumn("t", T.line_type(F.col("kv")))
     lines = lines.withColumn("x_ohm", T.electrical(F.col("kv"), F.col("n_circuits"), F.col("metres"), F.col("t"))["x_ohm"]).select("line_id", "bus0", "bus1", "x_ohm", F.col("kv").alias("voltage_kv"))
-    return linear_flow_report(buses.where("voltage_kv >= 220"), lines)
+    out = linear_flow_report(buses.where("voltage_kv >= 220"), lines)
+    balanced = F.abs(F.col("injected_mw") - F.col("withdrawn_mw")) < 1e-6
+    return out.select("buses", "branches", balanced.alias("balanced"), (F.col("max_residual_mw") < 1e-6).alias("solved"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from gridweave.plans import registry
+from gridweave.plans import all_queries as registry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -38,7 +38,7 @@ def test_oracle(spark, duck, name):
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(ours.columns)
     want = rows_of(columns, cursor.fetchall())
-    assert len(got) == len(want)
+    assert len(got) == len(want) > 0
     assert got == want
 
 
