@@ -42,6 +42,9 @@ class Page:
     link: list[int] = field(default_factory=lambda: [0])
     stops: list[int] = field(default_factory=lambda: [0])
     inner: list[int] = field(default_factory=lambda: [0])
+    #: Void controls and copyright signs directly in the node.
+    controls: list[int] = field(default_factory=lambda: [0])
+    signs: list[int] = field(default_factory=lambda: [0])
     #: Blocks of (node, text as it stands) pieces.
     blocks: list[list[tuple[int, str]]] = field(default_factory=list)
 
@@ -77,6 +80,8 @@ def read(html: str) -> Page:
             if n:
                 page.chars[node] += n
                 page.link[node] += n if links else 0
+                if "&copy;" in piece or "\xa9" in piece:
+                    page.signs[node] += 1
                 page.stops[node] += piece.count(". ") + piece.count(", ") + piece.endswith((".", "!", "?"))
 
     def pop(depth: int) -> None:
@@ -127,6 +132,7 @@ def read(html: str) -> Page:
             flush()
         if name in VOID:
             page.inner[stack[-1][1]] += 1
+            page.controls[stack[-1][1]] += name == "input"
             continue
         attributes = m[3] or m[5] or ""
         if attributes.endswith("/") and name not in INLINE and name in ("svg", "math"):
@@ -144,7 +150,7 @@ def read(html: str) -> Page:
             page.tag.append(name)
             page.parent.append(stack[-1][1])
             page.tokens.append(tokens)
-            for column in (page.chars, page.link, page.stops, page.inner):
+            for column in (page.chars, page.link, page.stops, page.inner, page.controls, page.signs):
                 column.append(0)
         links += name == "a"
         unseen += name in UNSEEN

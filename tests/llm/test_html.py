@@ -44,13 +44,34 @@ def test_awkward(spark):
     assert H.op1_query(df.limit(0)).count() == 0
 
 
-def test_held_out_pages():
-    model, right, total = H.train(), 0, 0
-    for page, want in (H.labelled(p) for p in H.training_pages(150, 77)):
+@pytest.mark.parametrize(("mode", "floor"), [("english", 0.85), ("hashed", 0.72), ("foreign", 0.72), ("none", 0.72)])
+def test_held_out_pages(mode, floor):
+    """Pages of other seeds; but for the English ones their names are drawn anew, so they share no token with training."""
+    model, right, total, exact = H.train(), 0, 0, 0
+    for page, want in (H.labelled(p) for p in H.training_pages(150, 977, (mode,))):
         got = H.decode(page.parent, model.margins(H.features(page)).tolist())
         right += sum(g == bool(w) for g, w in zip(got, want))
         total += len(want)
-    assert right / total > 0.98
+        exact += H.kept_text(page, got) == H.kept_text(page, [bool(w) for w in want])
+    assert right / total > 0.985 and exact / 150 > floor
+
+
+STORY = "This is a long enough paragraph of the story, with sentences. It goes on for a while, and then it ends."
+KEPT = f"Title here {STORY} {STORY}"
+ARTICLE = f"<h1>Title here</h1><p>{STORY}</p><p>{STORY}</p>"
+LAYOUTS = {
+    "hashed names": f'<div class="css-q1w2"><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li><li><a href="/c">Contact</a></li></ul></div><div class="css-zz91">{ARTICLE}</div><div class="css-pp3"><div class="css-k1"><b>Jane says:</b><p>I disagree with this.</p></div><div class="css-k1"><b>Joe says:</b><p>So do I, as ever.</p></div></div><div class="css-f">Copyright 2024 Some Firm</div>',
+    "German names": f'<div class="hauptmenue"><ul><li><a href="/">Start</a></li><li><a href="/n">Nachrichten</a></li></ul></div><div class="inhalt">{ARTICLE}</div><div class="kommentare"><div class="kommentar"><b>Hans</b><p>Das sehe ich anders.</p></div><div class="kommentar"><b>Eva</b><p>Ich nicht.</p></div></div><div class="fusszeile"><a href="/i">Impressum</a> &copy; 2024 Verlag</div>',
+    "a table": f'<table><tr><td><a href="/">Home</a><br><a href="/n">News</a><br><a href="/c">Contact</a></td><td>{ARTICLE}</td></tr></table>',
+    "a column": f'<div id="main">{ARTICLE}</div><div id="right-col"><h3>Latest posts</h3><ul><li><a href="/1">One post</a></li><li><a href="/2">Two post</a></li></ul></div>',
+    "an article named like comments": f'<nav><a href="/">Home</a></nav><div class="commentary">{ARTICLE}</div>',
+    "a part named like a teaser": f'<nav><a href="/">Home</a></nav><article><h1>Title here</h1><p>{STORY}</p><section class="more-detail"><p>{STORY}</p></section></article>',
+}
+
+
+@pytest.mark.parametrize("layout", sorted(LAYOUTS))
+def test_layouts_that_names_do_not_give_away(layout):
+    assert H.extract([f"<html><body>{LAYOUTS[layout]}</body></html>"], H.train()) == [KEPT]
 
 
 def test_decoding_is_optimal_and_consistent():
