@@ -5,11 +5,14 @@ whole document are max-pooled in overlapping chunks of CHUNK bytes (a new chunk
 averaged over the chunks and combined into one probability. Every byte of a text is inside one or two chunks, whatever
 its length; long texts are convolved piece by piece, so memory does not follow the longest text.
 
-Training is minibatch Adam on a bounded sample of labelled rows (TRAIN_ROWS ids, TRAIN_BYTES of text) in one task; the
-fitted model has a fixed size (under 200 kB) and is broadcast. Scoring is one pass without a shuffle.
-
-Defined results: a null or empty text is scored as an empty document; repeated rows are scored alike; without labelled
-rows every score is 1.0 (nothing can be rejected); extra columns of the input are ignored.
+Training is minibatch Adam on a bounded sample of labelled rows (TRAIN_ROWS ids, whole texts) in one task; the fitted model
+has a fixed size (under 200 kB) and is broadcast. Scoring is one pass without a shuffle. ``tuning`` has how the settings were
+picked.
+
+Defined results: a null or empty text is scored as an empty document; texts of any length are scored whole; a score of exactly
+THRESHOLD is kept; repeated rows are scored alike; an id labelled twice takes the larger label; a null id counts as held out;
+without labelled rows every score is 1.0 (nothing can be rejected); an empty table gives an empty table; extra columns of the
+input are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +37,6 @@ CHUNK = 4 * CELL
 PIECE = 64 * CELL
 THRESHOLD = 0.3
 TRAIN_ROWS = 6_000
-TRAIN_BYTES = 64 << 20
 EPOCHS = 8
 BATCH = 32
 RATE = 0.02
@@ -164,16 +166,9 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in blocks(batch):
             rows += zip(part.column("rank").to_pylist(), texts(part.column("text")), part.column("label").to_pylist(), strict=True)
-    rows.sort()
-    kept, used = [], 0
-    for _, text, label in rows:
-        if used + len(text) <= TRAIN_BYTES:
-            used += len(text)
-            kept.append((text, label))
-    if rows and not kept:
-        raise ValueError(f"each of the {len(rows)} labelled texts is longer than {TRAIN_BYTES} bytes")
-    if kept:
-        yield pa.record_batch({"model": pa.array([fit(kept).to_bytes()], pa.binary())})
+    if rows:
+        rows.sort()
+        yield pa.record_batch({"model": pa.array([fit([r[1:] for r in rows]).to_bytes()], pa.binary())})
 
 
 def train(documents: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> bytes | None:

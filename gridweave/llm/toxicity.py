@@ -4,12 +4,13 @@ Features of a text are its words, word pairs, and pairs that skip one or two wor
 2^HASH_BITS weights; one that fewer than MIN_ROWS training rows have stays out. FTRL-proximal keeps a learning rate per
 coordinate and sets small weights to exactly zero by L1, so what is broadcast is a short list of (index, weight), at most 2^HASH_BITS entries whatever the corpus.
 
-Training makes EPOCHS passes, in hash order, over a bounded sample of labelled rows (TRAIN_ROWS ids, features in
-TRAIN_FEATURES entries at most) in one task: the method is sequential. Scoring is one scan without a shuffle; words are
-hashed by numpy on the UTF-8 buffers, over whole texts.
+Training makes EPOCHS passes, in hash order, over a bounded sample of labelled rows (TRAIN_ROWS ids) in one task: the method
+is sequential. Scoring is one scan without a shuffle; words are hashed by numpy on the UTF-8 buffers, over whole texts.
+``tuning`` has how the settings were picked.
 
-Defined results: null and empty texts get the score of the bias alone; without labelled rows every score is 0.0; repeated
-rows get equal scores; extra columns are ignored.
+Defined results: null and empty texts get the score of the bias alone; texts of any length are scored whole; a score of
+exactly THRESHOLD is toxic; without labelled rows every score is 0.0; an id labelled twice takes the larger label; a null id
+counts as held out; repeated rows get equal scores; an empty table gives an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ HASH_BITS = 23
 SKIPS = (1, 2, 3)
 THRESHOLD = 0.5
 TRAIN_ROWS = 16_000
-TRAIN_FEATURES = 40_000_000
 #: Training rows that must have a feature before it takes part.
 MIN_ROWS = 6
 EPOCHS = 10
@@ -100,11 +100,7 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         column = batch.column("features")
         rows += zip(batch.column("rank").to_pylist(), batch.column("label").to_pylist(), (x.values.to_numpy() for x in column), strict=True)
     rows.sort(key=lambda r: (r[0], len(r[2])))
-    kept, used = [], 0
-    for _, label, index in rows:
-        used += len(index)
-        if used <= TRAIN_FEATURES:
-            kept.append((index, label))
+    kept = [(index, label) for _, label, index in rows]
     if kept:
         w, bias = fit(kept)
         at = np.flatnonzero(w)

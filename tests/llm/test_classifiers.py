@@ -40,8 +40,10 @@ def test_awkward_and_empty(spark, awkward, documents, labels, op):
 def test_labels_of_held_out_rows_do_not_matter(documents, labels):
     from gridweave.llm.labelled import held_out
 
-    flipped = labels.withColumn("quality", F.when(held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    flipped = labels.select("doc_id", *[F.when(held_out(), 1 - F.col(c)).otherwise(F.col(c)).alias(c) for c in ("quality", "toxic")])
     assert quality.train(documents, labels, 60) == quality.train(documents, flipped, 60)
+    one, two = (toxicity.train(documents, table, 150) for table in (labels, flipped))
+    assert (one[0] == two[0]).all() and (one[1] == two[1]).all() and one[2] == two[2]
 
 
 def test_convolution_covers_the_whole_text():
@@ -64,16 +66,12 @@ def test_ftrl_is_sparse_and_finds_the_word():
     assert weights.argmax() == 7 and (weights != 0).sum() < 500 and bias < 0
 
 
-def test_a_text_beyond_the_bound_is_skipped_alone(monkeypatch):
+def test_long_texts_train_like_any_other():
     import pyarrow as pa
 
-    monkeypatch.setattr(quality, "TRAIN_BYTES", 1000)
-    small = [(2, "good words of a page " * 5, 1), (3, "zz qq zz qq zz " * 5, 0)]
-
-    def model(rows):
-        ranks, texts, labels = zip(*rows)
-        return [b.to_pydict() for b in quality._fit_task(iter([pa.record_batch({"rank": list(ranks), "text": list(texts), "label": list(labels)})]))]
-
-    assert model([(1, "x" * 2000, 1), *small]) == model(small) != []
-    with pytest.raises(ValueError):
-        model([(1, "x" * 2000, 1)])
+    rows = [(1, "x" * 200_000, 1), (2, "good words of a page " * 5, 1), (3, "zz qq zz qq zz " * 5, 0)]
+    ranks, texts, labels = zip(*rows)
+    out = list(quality._fit_task(iter([pa.record_batch({"rank": list(ranks), "text": list(texts), "label": list(labels)})])))
+    want = quality.fit([(t.encode(), y) for _, t, y in rows])
+    got = quality.ByteConvNet.from_bytes(out[0].column("model")[0].as_py())
+    assert (got.table == want.table).all() and got.shift == want.shift
