@@ -18,7 +18,8 @@ in Spark over classes.
 
 Defined results: null, empty and zero vectors, and those with null or non-finite components, link with nothing; vectors of
 different lengths never link; rows with a null id link with nothing and have a null component; rows of one repeated id are
-each counted as vectors; extra columns are ignored.
+each counted as vectors; a pair at exactly COSINE links; vectors of any length are taken whole; an empty table gives an empty
+table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ CELL = 64
 MAX_BITS = 30
 HOT = 4096
 SEED = 20240229
+#: What names a cell, and a pair of its blocks.
+KEYS = ("t", "code", "d", "i", "j")
 
 
 def needed_collisions() -> int:
@@ -86,13 +89,13 @@ def _lines(d: int, count: int, salt: int) -> np.ndarray:
 
 def _code_task(bits: int, tables: int):  # noqa: ANN202
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = 1 << np.arange(bits, dtype=np.int64)
+        weights = 1 << np.arange(bits, dtype=np.int32)
         for batch in batches:
-            codes = np.zeros((batch.num_rows, tables), np.int64)
+            codes, lengths = np.zeros((batch.num_rows, tables), np.int32), np.zeros(batch.num_rows, np.int32)
             for d, (rows, x) in _matrix(batch.column("embedding")).items():
                 signs = (x @ _lines(d, bits * tables, 1) > 0).reshape(len(rows), tables, bits)
-                codes[rows] = (signs @ weights) * (1 << 20) + d if bits else d
-            yield batch.append_column("codes", pa.array(list(codes), pa.list_(pa.int64())))
+                codes[rows], lengths[rows] = signs @ weights, d
+            yield batch.append_column("codes", pa.array(list(codes), pa.list_(pa.int32()))).append_column("d", pa.array(lengths))
 
     return code
 
@@ -122,8 +125,10 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
-def cell_links(x: np.ndarray, codes: np.ndarray, size: np.ndarray, block: np.ndarray, table: int, across: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(links, root position) of the members of a cell; ``across``: only pairs of different blocks count."""
+def cell_links(x: np.ndarray, codes: np.ndarray, size: np.ndarray, block: np.ndarray, across: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(links, root position) of the members of a cell; ``codes`` are those of the tables before, where a pair with an equal
+    one has been counted; ``across``: only pairs of different blocks count.
+    """
     lines = x @ _lines(x.shape[1], LINES, 0)
     links, firsts, seconds = np.zeros(len(x), np.int64), [], []
     step = 2048
@@ -137,7 +142,7 @@ def cell_links(x: np.ndarray, codes: np.ndarray, size: np.ndarray, block: np.nda
             at, to = at[good], to[good]
             good = np.einsum("ij,ij->i", x[at], x[to]) >= COSINE
             at, to = at[good], to[good]
-            good = ~(codes[at, :table] == codes[to, :table]).any(axis=1)
+            good = ~(codes[at] == codes[to]).any(axis=1)
             firsts.append(at)
             seconds.append(to)
             np.add.at(links, at[good], size[to[good]])
@@ -150,7 +155,7 @@ def _cell_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: pa.Table | None = None
 
     def cells(rows: pa.Table) -> pa.RecordBatch:
-        keys = np.stack([rows.column(c).to_numpy() for c in ("t", "code", "i", "j")])
+        keys = np.stack([rows.column(c).to_numpy() for c in KEYS])
         bounds = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), rows.num_rows]
         name, count, root = [], [], []
         size, block, ck = (rows.column(c).to_numpy() for c in ("size", "block", "ck"))
@@ -160,7 +165,7 @@ def _cell_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ((_, x),) = _matrix(part.column("embedding").combine_chunks()).values()
                 codes = part.column("codes").combine_chunks()
                 codes = codes.flatten().to_numpy().reshape(stop - start, -1)
-                links, roots = cell_links(x, codes, size[start:stop], block[start:stop], int(keys[0, start]), keys[2, start] != keys[3, start])
+                links, roots = cell_links(x, codes, size[start:stop], block[start:stop], keys[3, start] != keys[4, start])
                 own = ck[start:stop]
                 some = np.flatnonzero((links > 0) | (roots != np.arange(len(roots))))
                 name.append(own[some])
@@ -172,7 +177,7 @@ def _cell_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
         if not rows.num_rows:
             continue
-        keys = np.stack([rows.column(c).to_numpy() for c in ("t", "code", "i", "j")])
+        keys = np.stack([rows.column(c).to_numpy() for c in KEYS])
         other = np.flatnonzero((keys != keys[:, -1:]).any(axis=0))
         cut = int(other[-1]) + 1 if len(other) else 0
         if cut:
@@ -194,15 +199,22 @@ def class_links(distinct: DataFrame) -> DataFrame:
     """``ck, links, root``: what each cell says of its members; links to copies outside the class, root for components."""
     bits, tables = tables_for(distinct.count())
     schema = distinct.schema.simpleString()[len("struct<") : -1]
-    coded = materialise(in_batches(distinct, _code_task(bits, tables), schema + ",codes:array<bigint>"), "codes")
-    cell = coded.select("ck", F.posexplode("codes").alias("t", "code"))
-    hot = cell.groupBy("t", "code").agg(F.ceil(F.count(F.lit(1)) / HOT).cast("int").alias("blocks")).where("blocks > 1")
-    placed = cell.join(hot, ["t", "code"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("ck", F.lit(1)), "blocks").cast("int"))
-    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("ck", "t", "code", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
-    rows = placed.join(coded.select("ck", "size", "embedding", "codes"), "ck").select("t", "code", "i", "j", "block", "ck", "size", "embedding", "codes")
-    dealt = rows.repartition("t", "code", "i", "j").sortWithinPartitions("t", "code", "i", "j", "ck")
+    coded = materialise(in_batches(distinct, _code_task(bits, tables), schema + ",codes:array<int>,d:int"), "codes")
+    # A row takes along the codes of the tables before only, which are all that the count of a pair depends on.
+    cell = coded.select("ck", "size", "embedding", "codes", "d", F.posexplode("codes").alias("t", "code"))
+    cell = cell.withColumn("codes", F.slice("codes", 1, F.col("t")))
+    narrow = coded.select("ck", "d", F.posexplode("codes").alias("t", "code"))
+    sizes = narrow.groupBy("t", "code", "d").agg(F.ceil(F.count(F.lit(1)) / HOT).cast("int").alias("blocks"))
+    hot = materialise(sizes.where("blocks > 1"), "hot")
+    if hot.limit(1).count():
+        placed = cell.join(hot, ["t", "code", "d"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        placed = placed.withColumn("block", F.pmod(F.xxhash64("ck", F.lit(1)), "blocks").cast("int"))
+        placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        placed = placed.withColumn("i", F.least("block", "with")).withColumn("j", F.greatest("block", "with"))
+    else:
+        placed = cell.withColumn("block", F.lit(0)).withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
+    rows = placed.select(*KEYS, "block", "ck", "size", "embedding", "codes")
+    dealt = rows.repartition(*KEYS).sortWithinPartitions(*KEYS, "ck")
     return in_batches(dealt, _cell_task, "ck long, links long, root long")
 
 
