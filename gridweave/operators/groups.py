@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 Bounds = list[int]
 
@@ -46,7 +47,7 @@ def _joined(parts: list[pa.RecordBatch], key: str) -> tuple[pa.RecordBatch, Boun
     return whole, [0, *_changes(whole.column(key)).tolist(), whole.num_rows]
 
 
-def by_group(rows: DataFrame, key: str, order: list[str], kernel: Callable[[pa.RecordBatch, Bounds], pa.RecordBatch], schema: str) -> DataFrame:
+def by_group(rows: DataFrame, key: str, order: list[str], kernel: Callable[[pa.RecordBatch, Bounds], pa.RecordBatch], schema: str | T.StructType) -> DataFrame:
     """``kernel`` over the groups of ``key``, whose rows come in ``order``: it takes a batch of groups and their bounds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
