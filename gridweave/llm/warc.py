@@ -9,27 +9,35 @@ Reading. Archives are read by Spark's splittable text source with the version li
 by many tasks. Each piece after a separator is a candidate record; its place is the sum of what lies before it in the file
 (within the split, plus the splits before). A task states for each candidate the offset of its successor from its header.
 Text that looks like a version line may stand in a payload, so a candidate proves nothing by itself: starting from offset
-zero, the candidates on the chain of successors are found by pointer jumping (each round joins the reached offsets with
-jumps of doubled length, so the rounds grow with the logarithm of the records in a file) and all others are rejected.
+zero, the candidates on the chain of successors are found by pointer jumping (each round follows jumps of doubled length from
+the offsets reached so far, so the rounds grow with the logarithm of the records in a file) and all others are rejected. The
+candidates of a file, narrow rows without payloads, meet in one task; those of a file with more than FILE_RECORDS of them are
+jumped over in rounds of joins instead.
 A payload that held a version line was cut by the separator and is put together again from its pieces.
 
 Defined results: null html is an empty payload; a null url has no target line, and line breaks in a url are removed; a null
 page_id is kept as an unnamed record, is never referred to, and is a response unless a named page has its payload; rows
-that repeat the smallest page_id are all responses; extra columns are ignored.
+that repeat the smallest page_id are all responses; pages of any length are written whole; an empty table gives an empty
+table; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gridweave.operators.groups import by_group
 from gridweave.plans.storage import fresh_path, materialise, release
 
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 REVISIT_BYTES = 100
 RECORDS_PER_FILE = 2048
+#: Candidates of a file that one task takes, some 250 bytes each.
+FILE_RECORDS = 1_000_000
 DATE = "2024-01-01T00:00:00Z"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
@@ -136,8 +144,42 @@ def _after_http_head(body: Column) -> Column:
     return F.substring(body, head + 1, F.octet_length(body))
 
 
+def chained(at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Which of a file's candidates (sorted offsets, successor offsets or -1) lie on the chain from offset zero."""
+    n = len(at)
+    place = np.minimum(np.searchsorted(at, to), n - 1)
+    jump = np.append(np.where(at[place] == to, place, n), n)
+    reached = np.zeros(n + 1, bool)
+    reached[0] = n > 0 and at[0] == 0
+    before = -1
+    while reached.sum() != before:
+        before = reached.sum()
+        reached[jump[reached]] = True
+        reached[n] = False
+        jump = jump[jump]
+    return reached[:n]
+
+
+def _chain_task(batch: pa.RecordBatch, bounds: list[int]) -> pa.RecordBatch:
+    at = batch.column("at").to_numpy()
+    to = batch.column("to").fill_null(-1).to_numpy()
+    keep = np.concatenate([chained(at[i:j], to[i:j]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)])
+    return batch.filter(pa.array(keep))
+
+
+def on_chain(found: DataFrame) -> DataFrame:
+    """The candidates on their file's chain of successors from offset zero."""
+    sizes = found.groupBy("file").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FILE_RECORDS).select("file")
+    large = materialise(sizes, "large")
+    if not large.limit(1).count():
+        return by_group(found, "file", ["at"], _chain_task, found.schema)
+    small = by_group(found.join(large, "file", "left_anti").select(*found.columns), "file", ["at"], _chain_task, found.schema)
+    rest = found.join(large, "file", "left_semi")
+    return small.unionByName(rest.join(reachable(rest), ["file", "at"], "left_semi").select(*found.columns))
+
+
 def reachable(found: DataFrame) -> DataFrame:
-    """``file, at`` of the candidates on the chain of successors from offset zero."""
+    """``file, at`` of the candidates on the chain of successors from offset zero, by joins."""
     starts = materialise(found.where("at = 0").select("file", "at"), "reached")
     jumps = materialise(found.where("to is not null").select("file", "at", "to"), "jumps")
     count = starts.count()
@@ -178,7 +220,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     fails the query.
     """
     found = candidates(spark, path)
-    kept = materialise(found.join(reachable(found), ["file", "at"], "left_semi"), "records")
+    kept = materialise(on_chain(found), "records")
     cut = kept.where("not whole")
     if cut.limit(1).count():
         mended = _reassembled(spark, path, cut, found)
