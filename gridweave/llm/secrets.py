@@ -9,7 +9,9 @@ every document. The index of a block lives only as long as the block, so there i
 
 Trigrams are over ASCII-lower-cased UTF-8 bytes, so a query never misses a match of either case.
 
-Defined results: a null text is empty; repeated rows get equal results; a null id is an id; extra columns are ignored.
+Defined results: a null text is empty; texts of any length are scanned whole; spans of different kinds may overlap and are all
+reported, by start and then kind; repeated rows get equal results; a null id is an id; an empty table gives an empty table;
+extra columns are ignored.
 """
 
 from __future__ import annotations
