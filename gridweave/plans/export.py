@@ -66,6 +66,11 @@ def write_geopackages(network: Network, config: Config, topology: str, graph: st
     write_layers(graph, graph_layers(network))
 
 
+def write_report(rows: DataFrame, path: str) -> None:
+    """A small table (totals, hard checks) as one JSON file of a row per line below ``path``."""
+    rows.coalesce(1).write.mode("overwrite").json(path)
+
+
 def geojson_lines(rows: DataFrame, kind: str, keep: list[str]) -> DataFrame:
     """``value``: a GeoJSON feature per row with the properties ``keep``; ready for ``write.text``."""
     if kind == "Point":

@@ -400,6 +400,84 @@ def dc_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("osm_id", "bus0", "bus1", F.array_join("qa", ";").alias("qa"), "p_nom_mw", "status")
 
 
+# Order-dependent rules ---------------------------------------------------------------------------------------------------
+
+ROW_SQL = "gaps AS (SELECT k, CAST(10 + k % 7 AS DOUBLE) AS d1, CAST(10 + k % 5 AS DOUBLE) AS d2, CAST(10 + k % 3 AS DOUBLE) AS d3 FROM cell)"
+
+
+def _rows_of_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four points in a row per key, with three gaps of 10 to 16 m."""
+    one, two, three = ((10 + nth() % m).cast("double") for m in (7, 5, 3))
+    places = F.array(F.lit(0.0), one, one + two, one + two + three)
+    rows = _cells(spark, sf_dir).select("k", F.posexplode(places).alias("n", "x"))
+    return rows.select((nth() * 10 + F.col("n")).alias("id"), "x", (nth() * 1000).cast("double").alias("y"))
+
+
+@query(
+    f"WITH {KEY_SQL}, {ROW_SQL}, t AS (SELECT *, k * 10 AS a, k * 10 + 1 AS b, k * 10 + 2 AS c, k * 10 + 3 AS e, CASE WHEN d2 < d1 AND d2 <= d3 THEN 2 ELSE 1 END AS pick FROM gaps) "
+    "SELECT b AS a, c AS b, d2 AS d FROM t WHERE pick = 2 UNION ALL SELECT a, b, d1 FROM t WHERE pick = 1 UNION ALL SELECT c, e, d3 FROM t WHERE pick = 1"
+)
+def greedy_matching_in_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closest first, each point once; of equally close pairs that of the smaller ids."""
+    from gridweave.operators.linkage import greedy_match
+    from gridweave.operators.spatial import pairs_within
+
+    return greedy_match(pairs_within(_rows_of_points(spark, sf_dir), "id", 16.5))
+
+
+@query(
+    f"WITH {KEY_SQL}, {ROW_SQL}, t AS (SELECT *, d2 < d1 AND d2 <= d3 AS mid, 25 AS cap FROM gaps), c AS (SELECT k, CASE WHEN mid AND d1 <= d3 AND d2 + d1 <= cap THEN [0, 0, 0, 3] WHEN mid AND d1 <= d3 AND d2 + d3 <= cap THEN [0, 1, 1, 1] WHEN mid AND d3 < d1 AND d2 + d3 <= cap THEN [0, 1, 1, 1] "
+    "WHEN mid AND d3 < d1 AND d2 + d1 <= cap THEN [0, 0, 0, 3] WHEN mid THEN [0, 1, 1, 3] WHEN d1 <= d2 AND d3 < d2 THEN [0, 0, 2, 2] WHEN d1 <= d2 AND d1 + d2 <= cap THEN [0, 0, 0, 3] WHEN d1 <= d2 THEN [0, 0, 2, 2] WHEN d2 + d3 <= cap THEN [0, 1, 1, 1] ELSE [0, 0, 2, 2] END AS g FROM t) "
+    "SELECT k * 10 + n AS id, k * 10 + list_extract(g, n + 1) AS cluster FROM c, (VALUES (0), (1), (2), (3)) v(n)"
+)
+def capped_linkage_in_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closest first, but no cluster wider than 25 m: of four points in a row two or three stay together."""
+    from gridweave.operators.linkage import capped_linkage
+
+    return capped_linkage(_rows_of_points(spark, sf_dir), 16.5, 25.0)
+
+
+@query("SELECT * FROM (VALUES ('voltage_floor_kv', '63'), ('metric_crs', 'EPSG:3577'), ('traction.max_voltage_kv', '110'), ('traction.operators', 'Rail One;Rail Two'), ('gates.site_merge', '200'), ('gates.site_fence', '30'), ('no area', 'refused'), ('unknown source', 'refused')) v(name, value)")
+def configuration(spark: SparkSession, sf_dir: str) -> DataFrame:  # noqa: ARG001
+    """A configuration from a mapping, with defaults, and two that are refused."""
+    from gridweave.config import from_mapping
+
+    base = {"voltage_floor_kv": 63, "metric_crs": "EPSG:3577", "areas": ["AU"]}
+    c = from_mapping(base | {"traction": {"enabled": True, "max_voltage_kv": 110, "operators": ["Rail One", "Rail Two"]}, "gates": {"site_merge": 200}})
+    rows = [("voltage_floor_kv", f"{c.voltage_floor_kv:g}"), ("metric_crs", c.metric_crs), ("traction.max_voltage_kv", f"{c.traction.max_voltage_kv:g}"), ("traction.operators", ";".join(c.traction.operators))]
+    rows += [("gates.site_merge", f"{c.gates.site_merge:g}"), ("gates.site_fence", f"{c.gates.site_fence:g}")]
+    for name, wrong in (("no area", base | {"areas": []}), ("unknown source", base | {"country_source": "hearsay"})):
+        try:
+            from_mapping(wrong)
+            rows.append((name, "taken"))
+        except ValueError:
+            rows.append((name, "refused"))
+    return spark.createDataFrame(rows, "name string, value string")
+
+
+@query("SELECT count(*) AS n, 1 AS made FROM customer")
+def cached_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made once and read from then on."""
+    path, calls = fresh_path(spark, "cache"), []
+
+    def make() -> DataFrame:
+        calls.append(1)
+        return S.table(spark, sf_dir, "customer").select("c_custkey")
+
+    tables.cached(spark, path, make)
+    return tables.cached(spark, path, make).agg(F.count(F.lit(1)).alias("n")).withColumn("made", F.lit(len(calls)))
+
+
+@query(f"WITH {S.LINE_SQL} SELECT CAST(trunc(kv) AS INTEGER) AS kv, count(*) AS n_spans FROM line GROUP BY 1")
+def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report written as JSON and read back."""
+    from gridweave.plans.export import write_report
+
+    path = fresh_path(spark, "report")
+    write_report(V.voltage_table(_lines(spark, sf_dir).withColumn("frequency_hz", F.lit(50.0)), 16.7).select("kv", "n_spans"), path)
+    return spark.read.schema("kv int, n_spans long").json(path)
+
+
 # The whole build -------------------------------------------------------------------------------------------------------
 
 WORLD = Config(voltage_floor_kv=50, metric_crs="EPSG:3035", areas=("all",), layer_voltages_kv=(110, 220))
@@ -470,3 +548,23 @@ def built_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT name, true AS passed FROM (VALUES ('close_bus_pairs'), ('internal_ends_p95_m'), ('fragmented_elements'), ('unresolved_bus'), ('self_loop'), ('null_geometry'), ('transformer_parameter_missing'), ('nonpositive_parameter'), ('mixed_frequency_transformer'), ('length_mismatch'), ('wide_sites'), ('long_connectors')) v(name)")
 def built_hard_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.hard_checks(B.build(spark, _world(spark, sf_dir), WORLD), WORLD).select("name", "passed")
+
+
+@query(
+    f"WITH {WORLD_SQL}, n AS (SELECT count(*) AS n FROM unit) SELECT 'line_110kV' AS layer, n AS rows_written FROM n UNION ALL SELECT 'line_220kV', n FROM n UNION ALL SELECT 'site', 4 * n FROM n UNION ALL SELECT 'junction_node', 0 FROM n UNION ALL SELECT 'line_internal_to_station', 5 * n FROM n UNION ALL SELECT 'dc_link', 0 FROM n "
+    "UNION ALL SELECT 'transformer', 2 * n FROM n UNION ALL SELECT 'station_cluster', 2 * n FROM n UNION ALL SELECT 'substation_footprint', 2 * n FROM n UNION ALL SELECT 'v23_typing_rule', 8 FROM n UNION ALL SELECT 'ac_line_all', 2 * n FROM n UNION ALL SELECT 'site_all', 4 * n FROM n"
+)
+def exported_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layered files of a network, written and read back."""
+    import os
+
+    from gridweave.plans import export
+    from gridweave.plans.scenes import together
+    from gridweave.sources import gpkg
+
+    folder = fresh_path(spark, "layers").removeprefix("file:").replace("//", "/")
+    os.makedirs(folder, exist_ok=True)
+    files = [f"{folder}/topology.gpkg", f"{folder}/graph.gpkg"]
+    export.write_geopackages(B.build(spark, _world(spark, sf_dir), WORLD), WORLD, *files)
+    found = [gpkg.read_layer(spark, f, name).agg(F.count(F.lit(1)).alias("rows_written")).select(F.lit(name).alias("layer"), "rows_written") for f in files for name in gpkg.layers(f) if name != "build_metadata"]
+    return together(*found)
