@@ -3,12 +3,13 @@
 Large-star and small-star steps (Kiveris et al., "Connected Components in MapReduce and Beyond") move every edge towards
 the smallest identifier of its component. Each round is one aggregation and one join over the remaining edges; the number
 of rounds grows with the logarithm of the node count, not with the diameter. A hub with very many edges stays cheap: the
-minimum is combined before the shuffle and the join is a plain equi-join that adaptive execution can split.
+minimum is combined before the shuffle and the join is a plain equi-join that adaptive execution can split. Whether a round
+changed anything is observed while it is written, without another pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridweave.plans.storage import materialise, release
@@ -36,11 +37,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
-    ).first()
-    return row["n"], row["h"]
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, and their number and a sum of their hashes."""
+    seen = Observation()
+    hashes = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    out = materialise(edges.observe(seen, F.count(F.lit(1)).alias("n"), hashes.alias("h")), "edges")
+    return out, (seen.get["n"], seen.get["h"])
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -50,19 +52,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     neighbour is absent from the result; join it back with ``coalesce``. Returns ``node, component`` with one row per
     node that has an edge; ``component`` is the smallest node of its component (the node itself included).
     """
-    current = materialise(
+    current, state = _stored(
         edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
         .where(F.col(a).isNotNull() & F.col(b).isNotNull())
         .where("a <> b")
-        .distinct(),
-        "edges",
+        .distinct()
     )
-    state = _state(current)
     for _ in range(MAX_ROUNDS):
         if not state[0]:
             break
-        following = materialise(_small_star(_large_star(current)), "edges")
-        reached = _state(following)
+        following, reached = _stored(_small_star(_large_star(current)))
         release(current)
         current = following
         if reached == state:

@@ -88,17 +88,17 @@ def test_ranked(spark):
     assert ranked(spark.createDataFrame([], "id long"), "n", "id").count() == 0
 
 
-@pytest.mark.parametrize("size", [800, 250])
+@pytest.mark.parametrize("size", [500, 160])
 def test_rounds_equal_the_sequential_rules(spark, monkeypatch, size):
     """Components above the bound of a task, up to all points in one, are settled in rounds with the same result."""
     from gridweave.operators import linkage
 
-    rows = points(160, size, size)
+    rows = points(70, size, size)
     x, y = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
     df = spark.createDataFrame(rows, "id long, x double, y double")
     pairs = pairs_within(df, "id", 120.0)
-    seeds = [i - i % 3 if i < 60 else i for i in range(len(rows))]
-    seeded = df.withColumn("seed", F.when(F.col("id") < 60, F.col("id") - F.col("id") % 3).otherwise(F.col("id")))
+    seeds = [i - i % 3 if i < 30 else i for i in range(len(rows))]
+    seeded = df.withColumn("seed", F.when(F.col("id") < 30, F.col("id") - F.col("id") % 3).otherwise(F.col("id")))
     want = sorted(tuple(r) for r in greedy_match(pairs).collect())
     monkeypatch.setattr(linkage, "GROUP_ROWS", 5)
     assert sorted(tuple(r) for r in greedy_match(pairs).collect()) == want
