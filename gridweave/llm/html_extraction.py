@@ -68,8 +68,8 @@ TREES = 100
 DEPTH = 4
 BINS = 32
 RATE = 0.2
-#: Share of the nodes that each tree learns from.
-BAG = 0.5
+#: Share of the nodes that each tree learns from, and of the features it may ask for.
+BAG, ASKED = 0.4, 0.5
 TRAIN_PAGES = 2_000
 MARK = "furniture"
 
@@ -211,7 +211,7 @@ class BoostedTrees:
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> BoostedTrees:
-    """Histogram-based boosting of TREES trees of DEPTH levels, each on a share BAG of the rows; the same every time."""
+    """Histogram-based boosting of TREES trees of DEPTH levels, each on a share BAG of the rows and ASKED of the features; the same every time."""
     rng = np.random.default_rng(5)
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
     share = y.mean()
@@ -220,13 +220,14 @@ def fit(x: np.ndarray, y: np.ndarray) -> BoostedTrees:
     margin = np.full(len(x), model.base)
     for tree in range(TREES):
         own = np.flatnonzero(rng.random(len(x)) < BAG)
+        asked = np.flatnonzero(rng.random(x.shape[1]) < ASKED)
         bins, p = b[own], 1 / (1 + np.exp(-margin[own]))
         g, h = p - y[own], p * (1 - p)
         at = np.zeros(len(own), np.int64)
         for level in range(DEPTH):
             first, wide = 2**level - 1, 2**level
             best = np.full(wide, 0.0)
-            for j in range(x.shape[1]):
+            for j in asked:
                 key = (at - first) * BINS + bins[:, j]
                 sums = [np.bincount(key, w, wide * BINS).reshape(wide, BINS).cumsum(axis=1) for w in (g, h)]
                 (gl, hl), (gt, ht) = (s[:, :-1] for s in sums), (s[:, -1:] for s in sums)
