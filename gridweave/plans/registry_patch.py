@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import fields, replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from gridweave.plans import synthetic as S
 from gridweave.plans import validate as V
 from gridweave.plans.registry import CONFIG, query
 from gridweave.plans.registry_elements import _path, _tags, _way
-from gridweave.plans.storage import fresh_path
+from gridweave.plans.storage import fresh_path, kept, materialise
 from gridweave.sources import tables
 
 KEY_SQL = "cell AS (SELECT c_custkey AS k FROM customer)"
@@ -508,6 +510,19 @@ def _world(spark: SparkSession, sf_dir: str) -> DataFrame:
     return together(*parts)
 
 
+_BUILT: dict[tuple[str, str], B.Network] = {}
+
+
+def _built(spark: SparkSession, sf_dir: str) -> B.Network:
+    """The network of the drawn world, built and stored once for the queries of a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    tables = [f.name for f in fields(B.Network) if f.name != "layers"]
+    if key not in _BUILT or not all(kept(getattr(_BUILT[key], name)) for name in tables):
+        made = B.build(spark, _world(spark, sf_dir), WORLD)
+        _BUILT[key] = replace(made, **{name: materialise(getattr(made, name), name) for name in tables})
+    return _BUILT[key]
+
+
 WORLD_SQL = "unit AS (SELECT s_suppkey AS k FROM supplier)"
 
 
@@ -517,7 +532,7 @@ WORLD_SQL = "unit AS (SELECT s_suppkey AS k FROM supplier)"
 )
 def built_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage from raw elements to lines with labels and layers."""
-    lines = B.build(spark, _world(spark, sf_dir), WORLD).lines
+    lines = _built(spark, sf_dir).lines
     return lines.select("line_id", "voltage_kv", "n_circuits", "layer", "start_point", "end_point", "line_label")
 
 
@@ -526,14 +541,14 @@ def built_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def built_station_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The roll-up of stations over their buses."""
-    clusters = B.build(spark, _world(spark, sf_dir), WORLD).clusters
+    clusters = _built(spark, sf_dir).clusters
     return clusters.select("osm_substation_ids", "station_name", "n_buses", "voltages_kv", "n_lines")
 
 
 @query(f"WITH {WORLD_SQL} SELECT 'way/' || CAST(k * 10 + 3 AS VARCHAR) || '~in' || i AS line_id FROM unit, (VALUES ('0'), ('1')) v(i) UNION ALL SELECT 'way/' || CAST(k * 10 + 4 AS VARCHAR) || '~in' || i FROM unit, (VALUES ('0'), ('1')) v(i) UNION ALL SELECT 'way/' || CAST(k * 10 + 5 AS VARCHAR) || '~in0' FROM unit")
 def built_internals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments inside stations, numbered within their element."""
-    return B.build(spark, _world(spark, sf_dir), WORLD).internals.select("line_id")
+    return _built(spark, sf_dir).internals.select("line_id")
 
 
 @query(
@@ -541,13 +556,13 @@ def built_internals(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def built_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of a network, with edges of lines and transformers making its components."""
-    out = V.summary(B.build(spark, _world(spark, sf_dir), WORLD))
+    out = V.summary(_built(spark, sf_dir))
     return out.where(~F.col("name").isin("route_km", "circuit_km", "connector_km"))
 
 
 @query("SELECT name, true AS passed FROM (VALUES ('close_bus_pairs'), ('internal_ends_p95_m'), ('fragmented_elements'), ('unresolved_bus'), ('self_loop'), ('null_geometry'), ('transformer_parameter_missing'), ('nonpositive_parameter'), ('mixed_frequency_transformer'), ('length_mismatch'), ('wide_sites'), ('long_connectors')) v(name)")
 def built_hard_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.hard_checks(B.build(spark, _world(spark, sf_dir), WORLD), WORLD).select("name", "passed")
+    return V.hard_checks(_built(spark, sf_dir), WORLD).select("name", "passed")
 
 
 @query(
@@ -565,6 +580,6 @@ def exported_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "layers").removeprefix("file:").replace("//", "/")
     os.makedirs(folder, exist_ok=True)
     files = [f"{folder}/topology.gpkg", f"{folder}/graph.gpkg"]
-    export.write_geopackages(B.build(spark, _world(spark, sf_dir), WORLD), WORLD, *files)
+    export.write_geopackages(_built(spark, sf_dir), WORLD, *files)
     found = [gpkg.read_layer(spark, f, name).agg(F.count(F.lit(1)).alias("rows_written")).select(F.lit(name).alias("layer"), "rows_written") for f in files for name in gpkg.layers(f) if name != "build_metadata"]
     return together(*found)

@@ -59,6 +59,16 @@ def materialise(df: DataFrame, name: str = "table", stay: bool = False) -> DataF
     return out
 
 
+def kept(df: DataFrame) -> bool:
+    """Whether the files that ``materialise`` wrote for ``df`` are still there."""
+    path = getattr(df, "_gridweave_path", None)
+    if path is None:
+        return False
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def release(df: DataFrame | None) -> None:
     """Delete what ``materialise`` wrote for ``df``; nothing may read it afterwards."""
     path = getattr(df, "_gridweave_path", None)
