@@ -10,17 +10,24 @@ from gridweave.functions.tags import TRANSFORMER_BANDS
 from gridweave.plans.build import Network
 from gridweave.sources.gpkg import write_layers
 
-#: What each transformer band selects.
+_DEFAULTS = "https://github.com/PyPSA/pypsa-eur/blob/master/config/config.default.yaml"
+_TYPES = "https://github.com/e2nIEE/pandapower/blob/v3.1.2/pandapower/std_types.py"
+#: What each transformer band selects. Then, in our words, what its numbers rest on, and where that is stated.
 SELECTORS = {
-    "R1": "low side at least 200 kV", "R2": "low side 100 to 200 kV, high side at least 330 kV", "R3": "low side 100 to 200 kV, high side 200 to 330 kV",
-    "R4": "both sides 100 to 200 kV", "R5": "low side below 100 kV, high side at least 200 kV", "R6": "all others",
+    "R1": ("lo>=200", "reactance: default of the open European model; rating and resistance assumed", _DEFAULTS),
+    "R2": ("100<=lo<200 and hi>=330", "standard type 160 MVA 380/110 kV; rating for parallel units assumed", _TYPES),
+    "R3": ("100<=lo<200 and 200<=hi<330", "standard type 100 MVA 220/110 kV; rating for parallel units assumed", _TYPES),
+    "R4": ("100<=lo<200 and hi<200", "reactance: default of the open European model; no standard type has such a ratio", _DEFAULTS),
+    "R5": ("lo<100 and hi>=200", "carried over from the 110/20 kV standard types", _TYPES),
+    "R6": ("lo<100 and hi<200", "carried over from the 110/20 kV standard types", _TYPES),
 }
 
 
 def typing_rule(spark: SparkSession) -> DataFrame:
     """``band, selector, s_nom_mva, x_pu, r_pu, basis, source_url`` as text: six bands and two remarks."""
-    rows = [(b, SELECTORS[b], f"{s:g}", f"{x:g}", f"{r:g}", "typical values", "") for b, s, x, r in TRANSFORMER_BANDS]
-    rows += [("ALT", "largest incident rating of either bus, rounded up", "", "", "", "incident lines", ""), ("NOTE", "ratios below 1.095 are probably tagging artefacts", "", "", "", "", "")]
+    rows = [(b, SELECTORS[b][0], f"{s:g}", f"{x:g}", f"{r:g}", *SELECTORS[b][1:]) for b, s, x, r in TRANSFORMER_BANDS]
+    rows.append(("ALT", "s_nom_pypsa_eur_mva (separate column, all rows)", "", "", "", "largest sum of line ratings at either bus, rounded up; x_pu and r_pu refer to s_nom_mva and must be scaled if this is used instead", _DEFAULTS))
+    rows.append(("NOTE", "x,r are per-unit on the transformer own s_nom (PyPSA Transformer convention)", "", "", "", "ratios below 1.095 are probably tagging artefacts", _TYPES))
     return spark.createDataFrame(rows, "band string, selector string, s_nom_mva string, x_pu string, r_pu string, basis string, source_url string")
 
 

@@ -272,9 +272,13 @@ def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.geojson_lines(rows, "LineString", ["name", "key"])
 
 
-@query("SELECT * FROM (VALUES ('R1', '2000', '0.1', '0.0025'), ('R2', '500', '0.122', '0.0025'), ('R3', '300', '0.12', '0.0026'), ('R4', '300', '0.1', '0.0025'), ('R5', '200', '0.16', '0.004'), ('R6', '120', '0.16', '0.004'), ('ALT', '', '', ''), ('NOTE', '', '', '')) t(band, s_nom_mva, x_pu, r_pu)")
+@query(
+    "SELECT * FROM (VALUES ('R1', 'lo>=200', '2000', '0.1', '0.0025', true), ('R2', '100<=lo<200 and hi>=330', '500', '0.122', '0.0025', true), ('R3', '100<=lo<200 and 200<=hi<330', '300', '0.12', '0.0026', true), ('R4', '100<=lo<200 and hi<200', '300', '0.1', '0.0025', true), "
+    "('R5', 'lo<100 and hi>=200', '200', '0.16', '0.004', true), ('R6', 'lo<100 and hi<200', '120', '0.16', '0.004', true), ('ALT', 's_nom_pypsa_eur_mva (separate column, all rows)', '', '', '', true), ('NOTE', 'x,r are per-unit on the transformer own s_nom (PyPSA Transformer convention)', '', '', '', true)) t(band, selector, s_nom_mva, x_pu, r_pu, based)"
+)
 def typing_rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:  # noqa: ARG001
-    return export.typing_rule(spark).select("band", "s_nom_mva", "x_pu", "r_pu")
+    based = (F.length("basis") > 0) & F.col("source_url").startswith("https://")
+    return export.typing_rule(spark).select("band", "selector", "s_nom_mva", "x_pu", "r_pu", based.alias("based"))
 
 
 PLAN = from_mapping({"voltage_floor_kv": 50, "high_pass_kv": 110, "metric_crs": "EPSG:3035", "areas": ["NO"], "bboxes": [[50.0, 3.0, 60.0, 11.0]], "chunk_degrees": 5.0})
