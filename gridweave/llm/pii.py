@@ -19,8 +19,8 @@ the support gate alone go into a fixed-size bitmap. The second counts the pairs
 their documents, added up per task before the shuffle, so a hot entity costs one row per term and task; it also counts each
 term's documents with any known entity, and as n_t is at least that, most pairs (all those of common words) are seen to lie
 below the threshold at once. The third counts the documents of the terms that remain, first in one document of FORETASTE: what
-is too common there already is too common in all, and what is left is so rare that tasks have little to send. False hits of a bitmap (2^BITMAP_BITS
-bits, whatever the corpus) fall away in the joins. The last finds the spans with the (entity, term) table, which is shipped
+is too common there already is too common in all, and what is left is so rare that tasks have little to send. False hits of a bitmap (of
+bounded size, whatever the corpus) fall away in the joins. The last finds the spans with the (entity, term) table, which is shipped
 in shards of about SHARD_PAIRS pairs, read one after another; a larger table takes more steps over the rows in the same scan.
 
 Defined results: a null text is empty; texts of any length are read whole; overlapping base spans of different kinds are all
@@ -50,7 +50,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 WINDOW = 8
 MIN_TERM = 3
 BETA = 0.95
-BITMAP_BITS = 22
+#: A bitmap has eight bits for each of its keys, from 2^20 to 2^27 bits (16 MB).
+BITMAP_BITS = (20, 27)
 #: Terms, or pairs, that a task adds up before it sends their counts.
 TERMS_HELD = 500_000
 #: Pairs of the disclosure table that are shipped at once, about 17 bytes each.
@@ -185,11 +186,21 @@ def supported_entities(documents: DataFrame) -> DataFrame:
 
 
 def _bitmap(rows: DataFrame, column: str) -> bytes:
-    """Packed bitmap of the low BITMAP_BITS bits of a column of longs."""
-    slots = rows.select(F.col(column).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)).cast("int").alias("slot")).distinct().toPandas()["slot"]
-    bitmap = np.zeros(1 << BITMAP_BITS, bool)
-    bitmap[slots.to_numpy(np.int64)] = True
-    return np.packbits(bitmap).tobytes()
+    """Bitmap of the low bits of a stored column of longs, put together from pieces of 4 kB that Spark aggregates."""
+    low, high = BITMAP_BITS
+    bits = min(max((8 * rows.count()).bit_length(), low), high)
+    place = (F.col(column).bitwiseAND(F.lit((1 << bits) - 1)) + 1).alias("place")
+    pieces = rows.select(place).groupBy(F.bitmap_bucket_number("place").alias("number")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("piece"))
+    bitmap = np.zeros(1 << (bits - 3), np.uint8)
+    for number, piece in pieces.collect():  # at most 4096
+        bitmap[(number - 1) * len(piece) : number * len(piece)] = np.frombuffer(piece, np.uint8)
+    return bitmap.tobytes()
+
+
+def _hits(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys a bitmap may hold."""
+    place = keys.astype(np.int64) & (8 * len(bitmap) - 1)
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def _pair_sums(rows: list[np.ndarray]) -> np.ndarray:
@@ -208,18 +219,19 @@ def supported_pairs(documents: DataFrame, entities: DataFrame, total: int) -> Da
     shared = documents.sparkSession.sparkContext.broadcast(_bitmap(entities, "e"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
+        bitmap = np.frombuffer(shared.value, np.uint8)
         kept, fresh, size, most = np.zeros((5, 0), np.int64), [], 0, TERMS_HELD
         names = ["e", "t", "n", "low", "high"]
         for batch in batches:
             for text, spans in _with_spans(batch):
-                if not any(known[_entity(text, s) & ((1 << BITMAP_BITS) - 1)] for s in spans):
+                known = {e for e in {_entity(text, s) for s in spans} if _hits(bitmap, np.array([e]))[0]}
+                if not known:
                     continue
                 starts, ends, hashes = _words(text)
                 terms = np.unique(hashes[ends - starts >= MIN_TERM])
                 one = np.ones(len(terms), np.int64)
                 for e, (low, high) in [*contexts(text, spans, (starts, ends, hashes)).items(), (ANY, (0, 0))]:
-                    if e == ANY or known[e & ((1 << BITMAP_BITS) - 1)]:
+                    if e == ANY or e in known:
                         fresh.append(np.stack([e * one, terms, one, low * one, high * one]))
                         size += len(terms)
                 if size > most:
@@ -250,13 +262,12 @@ def _term_counts(documents: DataFrame, candidates: DataFrame) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(_bitmap(candidates, "t"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
-        low = np.uint64((1 << BITMAP_BITS) - 1)
+        bitmap = np.frombuffer(shared.value, np.uint8)
         terms, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for part in blocks(batch):
                 _, _, rows, hashes = words(*utf8(part.column("text")))
-                good = known[(hashes & low).astype(np.int64)]
+                good = _hits(bitmap, hashes)
                 rows, hashes = rows[good], hashes[good]
                 order = np.lexsort((rows, hashes))
                 rows, hashes = rows[order], hashes[order]
