@@ -105,3 +105,57 @@ def test_keep_first_removes_near_copies(spark):
     assert len(copies) == 120
     kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r.doc_id for r in kept) == sorted(d for d, _ in rows if d not in copies)
+
+
+def test_hot_shards_and_groups_give_the_same(spark, documents, awkward, monkeypatch):
+    """Blocks so small that nearly every shard and group is cut: the result must not change."""
+    from gridweave.llm import hot
+
+    rng = random.Random(11)
+    base = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(80)) for _ in range(6)]
+    rows = [tuple(r) for r in documents.select("doc_id", "text").limit(60).collect()]
+    for i in range(90):
+        words = base[i % 6].split()
+        for at in rng.sample(range(80), i % 4):
+            words[at] = "changed"
+        rows.append((5000 + i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    prints, kept = sorted(map(tuple, simhash.op3_query(df).collect())), sorted(map(tuple, simhash.keep_first(df).collect()))
+    assert prints == sorted(brute(rows)) and len(kept) < 140
+    monkeypatch.setattr(simhash, "SHARD_PRINTS", 2)
+    monkeypatch.setattr(simhash, "COUNTED", 1)
+    monkeypatch.setattr(simhash, "GROUP_SETS", 3)
+    monkeypatch.setattr(hot, "SLOTS", 7)
+    assert sorted(map(tuple, simhash.op3_query(df).collect())) == prints
+    assert sorted(map(tuple, simhash.keep_first(df).collect())) == kept
+
+
+def test_small_and_large_buckets_link_alike():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    low, high = (rng.integers(0, 1 << 63, 300, dtype=np.int64).view(np.uint64) for _ in range(2))
+    for i in range(0, 300, 5):
+        low[i + 1] = low[i] ^ np.uint64(rng.integers(1, 1 << 20))
+        high[i + 1] = high[i]
+
+    def parts(pairs):
+        root = list(range(300))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+        return [find(i) for i in range(300)]
+
+    small = parts(simhash.near_forest(low, high))
+    simhash.GROUP_BITS, before = 2, simhash.GROUP_BITS
+    try:
+        large = parts(simhash.near_forest(low, high))
+    finally:
+        simhash.GROUP_BITS = before
+    assert small == large and len(set(small)) <= 240

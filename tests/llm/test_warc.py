@@ -49,6 +49,35 @@ def test_records_inside_payloads_are_rejected(spark):
     assert reached.count() == len(ROWS) and found.count() > len(ROWS)
 
 
+def test_chains_by_joins_are_chains_in_a_task(spark, monkeypatch):
+    path = fresh_path(spark, "warc")
+    warc.write_archives(spark.createDataFrame(ROWS, "page_id long, url string, html string"), path)
+    found = warc.candidates(spark, path)
+    want = sorted((r.file, r.at) for r in warc.on_chain(found).collect())
+    assert len(want) == len(ROWS)
+    for most in (0, 3):
+        monkeypatch.setattr(warc, "FILE_RECORDS", most)
+        assert sorted((r.file, r.at) for r in warc.on_chain(found).collect()) == want
+
+
+def test_chains():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    for _ in range(200):
+        at = sorted(rng.sample(range(60), rng.randrange(1, 20)))
+        to = [rng.choice([-1, rng.randrange(70), *at]) for _ in at]
+        to = [t if t > a else -1 for a, t in zip(at, to)]
+        want, here = set(), 0
+        while here in at:
+            want.add(here)
+            here = to[at.index(here)]
+        got = warc.chained(np.array(at), np.array(to))
+        assert {a for a, g in zip(at, got) if g} == want
+
+
 def test_a_changed_payload_fails(spark):
     import pytest
 
