@@ -42,6 +42,17 @@ def _way(number: Column, tags: Column, geometry: Column) -> list[Column]:
     ]
 
 
+def _one_file(lines: DataFrame, target: str) -> None:
+    """Lines (``value``) as one text file of that name."""
+    spark = lines.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    lines.coalesce(1).write.text(f"{target}.part")
+    files = hadoop.Path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    part = next(s.getPath() for s in files.listStatus(hadoop.Path(f"{target}.part")) if s.getPath().getName().startswith("part-"))
+    files.rename(part, hadoop.Path(target))
+    files.delete(hadoop.Path(f"{target}.part"), True)
+
+
 @query("SELECT 'way/' || CAST(p_partkey AS VARCHAR) AS oid, 2 + CAST(p_partkey % 2 = 0 AS INTEGER) AS n_tags, CAST(2 + p_partkey % 3 AS INTEGER) AS n_points, CAST(p_partkey AS DOUBLE) / 8 AS first_lon FROM part")
 def ndjson_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elements written as NDJSON and read back, with blank lines among them."""
@@ -51,7 +62,7 @@ def ndjson_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = F.transform(F.sequence(F.lit(0), (part_key() % 3 + 1).cast("int")), lambda i: F.array(part_key().cast("double") / 8 + i, F.lit(50.0)))
     rows = S.table(spark, sf_dir, "part").select(*_way(part_key(), tags, points))
     E.write_elements(rows, path)
-    spark.range(5).select(F.lit("  ").alias("value")).write.mode("overwrite").text(f"{path}/blank.ndjson")
+    _one_file(spark.range(5).select(F.lit("  ").alias("value")), f"{path}/blank.ndjson")
     if not E.readable(spark, path):
         raise ValueError("what was written cannot be read")
     read = E.read_elements(spark, path)
@@ -63,12 +74,7 @@ def listed_element_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files below a folder in the order of their paths."""
     path = fresh_path(spark, "listing")
     for row in S.table(spark, sf_dir, "region").collect():  # five
-        spark.range(1).select(F.lit("{}").alias("value")).coalesce(1).write.text(f"{path}/{row['r_name']}.ndjson.d")
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for folder in list(files.listStatus(hadoop.Path(path))):
-        part = next(s.getPath() for s in files.listStatus(folder.getPath()) if s.getPath().getName().startswith("part-"))
-        files.rename(part, hadoop.Path(f"{folder.getPath().toString()}/{folder.getPath().getName()[:-2]}"))
+        _one_file(spark.range(1).select(F.lit("{}").alias("value")), f"{path}/{row['r_name']}.ndjson")
     return E.listed_files(spark, path).select("number", F.element_at(F.split("file", "/"), -1).alias("name"))
 
 
