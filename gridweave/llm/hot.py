@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridweave.plans.storage import materialise
+from gridweave.plans.storage import materialise, release
 
 
 def in_blocks(rows: DataFrame, keys: list[str], row: str, most: int, every: int = 1) -> DataFrame:
@@ -20,6 +20,7 @@ def in_blocks(rows: DataFrame, keys: list[str], row: str, most: int, every: int
     sizes = seen.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) * every / most).cast("int").alias("blocks"))
     hot = materialise(sizes.where("blocks > 1"), "hot")
     if not hot.limit(1).count():
+        release(hot)
         return rows.withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
     placed = rows.join(hot, keys, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     placed = placed.withColumn("block", F.pmod(F.xxhash64(row, F.lit(1)), "blocks").cast("int"))
