@@ -319,7 +319,7 @@ VOLT_SQL = "volt AS (SELECT o_orderkey, CAST(o_totalprice AS BIGINT) AS v, CASE
 )
 def voltage_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags in a band by the pattern that is sent to servers, and by value."""
-    v = F.round("o_totalprice", 0).cast("long").cast("string")
+    v = F.rint("o_totalprice").cast("long").cast("string")  # halves to the even number, as SQL's cast
     rows = S.table(spark, sf_dir, "orders").withColumn("tag", F.when(F.col("o_orderkey") % 2 == 0, v).otherwise(F.concat(F.lit("20000; "), v)))
     each = F.array(*[F.struct(F.lit(i).alias("band"), F.col("tag").rlike(harvest.voltage_pattern(lo, hi)).alias("by_pattern"), harvest.voltage_in(F.col("tag"), lo, hi).alias("by_value")) for i, (lo, hi) in enumerate(BANDS)])
     return rows.select("o_orderkey", F.explode(each).alias("b")).select("o_orderkey", "b.*")
