@@ -220,10 +220,12 @@ def connected_component_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {S.ISLAND_SQL} SELECT event_id, component AS cluster FROM island")
 def single_linkage_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Uncapped linkage of the events of each user on the line of time."""
-    seconds = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2000-01-01 00:00:00', ts) / 1e6")
-    points = S.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), (F.col("user_id") * 1e10 + seconds).alias("x"), F.lit(0.0).alias("y"))
-    return capped_linkage(points, S.GAP_HOURS * 3600.0, float("inf")).select(F.col("id").alias("event_id"), "cluster")
+    """Uncapped linkage of the events of each user on the line of time, in whole microseconds, which doubles hold exactly."""
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2000-01-01 00:00:00', ts)").cast("double")
+    reach = S.GAP_HOURS * 3600e6
+    # Users lie apart on the other axis, so their number takes no digits from the time.
+    points = S.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), micros.alias("x"), (F.col("user_id") * 4 * reach).alias("y"))
+    return capped_linkage(points, reach, float("inf")).select(F.col("id").alias("event_id"), "cluster")
 
 
 @query(f"WITH {S.ISLAND_SQL}, sums AS (SELECT component, sum(value) AS v FROM island GROUP BY 1) SELECT count(*) AS n_components, round(100 * max(v) / sum(v), 6) AS largest_pct FROM sums")

@@ -22,3 +22,9 @@ def same(spark, folder, name, **tables):
 def test_voltage_bands_round_halves_to_even(spark, tmp_path):
     prices = "(120000.5), (200000.5), (9499.5), (109999.5), (99998.5), (120001.5)"
     same(spark, tmp_path, "voltage_bands", orders=f"SELECT row_number() OVER () * 2 AS o_orderkey, CAST(p AS DOUBLE) AS o_totalprice FROM (VALUES {prices}) t(p)")
+
+
+def test_linkage_of_large_users_to_the_microsecond(spark, tmp_path):
+    gaps = "SELECT u, t FROM (VALUES (1), (90007), (5000001)) a(u), (VALUES (0), (21600000000), (43200000001), (64800000000)) b(t)"
+    events = f"SELECT row_number() OVER (ORDER BY u, t) AS event_id, TIMESTAMP '2024-01-01 00:00:00.000003' + to_microseconds(t) AS ts, CAST(u AS BIGINT) AS user_id, 'click' AS event_type, 1.0 AS value FROM ({gaps})"
+    same(spark, tmp_path, "single_linkage_1d", events=events)
