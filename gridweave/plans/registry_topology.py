@@ -9,7 +9,7 @@ from gridweave.functions import measure as M
 from gridweave.plans import network as N
 from gridweave.plans import topology as O
 from gridweave.plans.registry import CONFIG, query
-from gridweave.plans.scenes import SCENE_SQL, conductor, footprint, scenes, together
+from gridweave.plans.scenes import SCENE_SQL, conductor, footprint, on_map, scenes, together
 
 
 
@@ -238,9 +238,8 @@ def junction_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.cluster_junctions(rows, CONFIG)[1].select("node_id", "x", "y")
 
 
-def _noded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+def _noded(cells: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
     """(spans, internals, sites, junctions, polygons): a station and a junction in each scene."""
-    cells = scenes(spark, sf_dir)
     areas = footprint(cells, 1, (0, 0, 100, 100), name="Yard", operator="owner")
     sites, polygons = O.build_sites(areas, conductor(cells, 9, [(3000, 3000), (3100, 3000)]), CONFIG)
     station = polygons.select(F.floor(F.split("osm_id", "/")[1].cast("long") / 10).alias("k"), "station_id")
@@ -261,7 +260,7 @@ BUS_SQL = (
     "UNION ALL SELECT jn || '_110kV', 'junction', 'junction_medoid', NULL, x0 + 2010, y0 + 50 FROM station"
 )
 def build_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans, bars, sites, junctions, polygons = _noded(spark, sf_dir)
+    spans, bars, sites, junctions, polygons = _noded(scenes(spark, sf_dir))
     buses = O.build_buses(spans, bars, sites, junctions, polygons, CONFIG)
     return buses.select("bus_id", "node_type", F.col("bus_point_source").alias("source"), "station_name", F.round("x", 0).alias("x"), F.round("y", 0).alias("y"))
 
@@ -270,7 +269,7 @@ def build_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {SCENE_SQL}, {BUS_SQL} SELECT {_id(2)} AS osm_id, st || '_110kV' AS bus0, jn || '_110kV' AS bus1, CAST(4 AS INTEGER) AS n_points, true AS connected0, true AS connected1 FROM station"
 )
 def attach_connectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans, bars, sites, junctions, polygons = _noded(spark, sf_dir)
+    spans, bars, sites, junctions, polygons = _noded(on_map(scenes(spark, sf_dir)))
     out = N.attach_connectors(spans, O.build_buses(spans, bars, sites, junctions, polygons, CONFIG), CONFIG)
     return out.select("osm_id", "bus0", "bus1", F.size("lons").alias("n_points"), (F.col("connector0_m") > 0).alias("connected0"), (F.col("connector1_m") > 0).alias("connected1"))
 

@@ -28,3 +28,7 @@ def test_linkage_of_large_users_to_the_microsecond(spark, tmp_path):
     gaps = "SELECT u, t FROM (VALUES (1), (90007), (5000001)) a(u), (VALUES (0), (21600000000), (43200000001), (64800000000)) b(t)"
     events = f"SELECT row_number() OVER (ORDER BY u, t) AS event_id, TIMESTAMP '2024-01-01 00:00:00.000003' + to_microseconds(t) AS ts, CAST(u AS BIGINT) AS user_id, 'click' AS event_type, 1.0 AS value FROM ({gaps})"
     same(spark, tmp_path, "single_linkage_1d", events=events)
+
+
+def test_connectors_of_far_scenes(spark, tmp_path):
+    same(spark, tmp_path, "attach_connectors", customer="SELECT unnest([0, 1, 1501, 150000, 899998, 899999]) AS c_custkey")
