@@ -483,14 +483,16 @@ def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The whole build -------------------------------------------------------------------------------------------------------
 
 WORLD = Config(voltage_floor_kv=50, metric_crs="EPSG:3035", areas=("all",), layer_voltages_kv=(110, 220))
-ROW = 100
+#: Places of the drawn world: 200 columns of 0.2 degrees by 3,000 rows of 0.01 degrees (1.1 km), all on the map.
+ROW, ROWS = 200, 3000
 
 
 def _world(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elements: per supplier two stations of two voltages, a line between them, and a bar inside the first."""
     k = F.col("s_suppkey")
     rows = S.table(spark, sf_dir, "supplier")
-    lon, lat = (k % ROW).cast("double") * 0.2, F.floor(k / ROW).cast("double") * 0.2 + 50
+    place = F.when(k < ROW * ROWS, k).otherwise(F.raise_error(F.lit("no place on the map for so many suppliers")).cast("long"))
+    lon, lat = (k % ROW).cast("double") * 0.2 - 10, F.floor(place / ROW).cast("double") * 0.01 + 35
 
     def box(n: int, west: float, name: str) -> DataFrame:
         w, e = lon + west, lon + west + 0.001

@@ -1,6 +1,8 @@
 """Queries against their SQL where keys are large or values lie on a limit, as in tables of a gigabyte."""
 
 import duckdb
+import pytest
+
 from gridweave.plans import all_queries as registry
 from tests.test_queries import rows_of
 
@@ -32,3 +34,11 @@ def test_linkage_of_large_users_to_the_microsecond(spark, tmp_path):
 
 def test_connectors_of_far_scenes(spark, tmp_path):
     same(spark, tmp_path, "attach_connectors", customer="SELECT unnest([0, 1, 1501, 150000, 899998, 899999]) AS c_custkey")
+
+
+WORLD = "SELECT unnest([0, 1, 199, 200, 201, 20_001, 59_999]) AS s_suppkey"
+
+
+@pytest.mark.parametrize("name", ["built_lines", "built_station_clusters", "built_internals", "built_summary", "exported_layers"])
+def test_built_world_of_many_suppliers(spark, tmp_path_factory, name):
+    same(spark, tmp_path_factory.mktemp("world"), name, supplier=WORLD)
