@@ -70,6 +70,10 @@ KEEP_RECALL = 0.995
 #: A shard's bits are chosen so that unlike sets fall into groups of about 2^GROUP_BITS.
 GROUP_BITS = 9
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
+#: A second fingerprint of KEEP_BITS must be within KEEP_RADIUS too: of 10^12 unlike pairs some 400,000 pass one, none both.
+_AGAIN = np.uint64(0x9FB21C651E98DF25)
+#: Members up to which all queries of a shard go down its tree together, and (query, node) pairs held at a time.
+BULK, PAIRS = 4_096, 1 << 18
 
 
 def fingerprint(text: bytes) -> int:
@@ -233,13 +237,22 @@ def shingle_set(text: bytes) -> np.ndarray:
 
 
 def wide_fingerprint(shingles: np.ndarray) -> np.ndarray:
-    """SimHash of KEEP_BITS = 128 bits of a shingle set, as two words."""
-    both = np.stack([mixed(shingles), mixed(shingles ^ _SECOND)], axis=1)
-    bits = np.zeros(KEEP_BITS, np.int64)
-    for at in range(0, len(both), 1 << 14):
-        part = both[at : at + (1 << 14)].view(np.uint8)
-        bits += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(bits * 2 > len(shingles), bitorder="little").view(np.uint64)
+    """Two SimHashes of KEEP_BITS = 128 bits of a shingle set, as four words.
+
+    Where half of the hashes have a bit, the smallest shingle decides: with ties at 0, sets of a few shingles, an even
+    number of them, would have mostly zeros and be near each other without sharing anything.
+    """
+    seeds = np.array([0, _SECOND, _AGAIN, _SECOND ^ _AGAIN], np.uint64)
+    bits = np.zeros(2 * KEEP_BITS, np.int64)
+    for at in range(0, len(shingles), 1 << 13):
+        part = np.stack([mixed(shingles[at : at + (1 << 13)] ^ seed) for seed in seeds], axis=1).view(np.uint8)
+        ones = np.unpackbits(part, axis=1, bitorder="little")
+        bits += 2 * ones.sum(axis=0, dtype=np.int64) + (ones[0] if at == 0 else 0)
+    return np.packbits(bits > len(shingles), bitorder="little").view(np.uint64)
+
+
+#: Columns of the two fingerprints.
+WORDS = ("low", "high", "low2", "high2")
 
 
 def _set_id(shingles: np.ndarray) -> int:
@@ -254,9 +267,9 @@ def _wide_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 shingles = shingle_set(t)
                 ids.append(_set_id(shingles))
                 prints.append(wide_fingerprint(shingles))
-        low, high = np.array(prints, np.uint64).reshape(-1, 2).T
-        columns = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (low, high)]
-        yield pa.record_batch([batch.column("doc_id"), batch.column("row_hash"), pa.array(ids, pa.int64()), *columns], ["doc_id", "row_hash", "set_id", "low", "high"])
+        words = np.array(prints, np.uint64).reshape(-1, len(WORDS)).T
+        columns = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in words]
+        yield pa.record_batch([batch.column("doc_id"), batch.column("row_hash"), pa.array(ids, pa.int64()), *columns], ["doc_id", "row_hash", "set_id", *WORDS])
 
 
 def shard_masks(rows: int) -> list[tuple[int, int]]:
@@ -272,27 +285,95 @@ def shard_masks(rows: int) -> list[tuple[int, int]]:
     return out
 
 
-def near_forest(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
-    """Spanning forest (positions) of the pairs at most KEEP_RADIUS bits apart; what is linked is not compared again."""
-    if len(low) <= 1 << GROUP_BITS:
-        apart = np.bitwise_count(low[:, None] ^ low).astype(np.uint8) + np.bitwise_count(high[:, None] ^ high)
-        at, to = np.nonzero(np.triu(apart <= KEEP_RADIUS, 1))
-        if not len(at):
-            return []
-        some = np.unique(np.concatenate([at, to]))
-        if len(some) < len(low):
-            return [(int(some[x]), int(some[y])) for x, y in near_forest(low[some], high[some])]
-    out, left = [], np.arange(len(low))
-    while len(left):
-        queue, left = [int(left[0])], left[1:]
-        while queue and len(left):
+class WideTree:
+    """The BK-tree of 128-bit fingerprints (two words each) in arrays, built and asked level by level."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray) -> None:
+        self.low, self.high = low, high
+        parent, self.edge = np.zeros(len(low), np.int64), np.zeros(len(low), np.int64)
+        below, at = np.arange(1, len(low)), np.zeros(max(len(low) - 1, 0), np.int64)
+        while len(below):
+            d = self.apart(below, at)
+            _, first, place = np.unique(at * (KEEP_BITS + 1) + d, return_index=True, return_inverse=True)
+            child = below[first]
+            parent[child], self.edge[child] = at[first], d[first]
+            at = child[place]
+            deeper = below != at
+            below, at = below[deeper], at[deeper]
+        self.children = np.argsort(parent[1:], kind="stable") + 1
+        self.first = np.searchsorted(parent[self.children], np.arange(len(low) + 1))
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(self.low[x] ^ self.low[y]).astype(np.int64) + np.bitwise_count(self.high[x] ^ self.high[y])
+
+    def within(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, found) of all members (positions) at most ``radius`` from the queries (positions)."""
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        q, node = queries, np.zeros(len(queries), np.int64)
+        while len(q):
+            d = self.apart(q, node)
+            near = d <= radius
+            found.append((q[near], node[near]))
+            many = self.first[node + 1] - self.first[node]
+            skip = np.repeat(self.first[node] - np.concatenate([[0], np.cumsum(many)[:-1]]), many)
+            child = self.children[skip + np.arange(len(skip))]
+            open_ = np.abs(self.edge[child] - np.repeat(d, many)) <= radius
+            q, node = np.repeat(q, many)[open_], child[open_]
+        return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+
+
+def near_forest(low: np.ndarray, high: np.ndarray, *more: np.ndarray) -> list[tuple[int, int]]:
+    """Spanning forest (positions) of the pairs at most KEEP_RADIUS bits apart, in each of the fingerprints.
+
+    ``more`` has two words for each further fingerprint. What is linked is not asked again.
+    """
+    n = len(low)
+    if n < 2:
+        return []
+    tree, again = WideTree(low, high), [WideTree.__new__(WideTree) for _ in more[::2]]
+    for k, other in enumerate(again):
+        other.low, other.high = more[2 * k], more[2 * k + 1]
+
+    def near(queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x, y = tree.within(queries, KEEP_RADIUS)
+        for other in again:
+            good = other.apart(x, y) <= KEEP_RADIUS
+            x, y = x[good], y[good]
+        return x, y
+
+    asked = np.arange(n)
+    if n <= BULK and len(near(asked[:1])[1]) * 2 <= n:
+        step = max(PAIRS // n, 1)
+        pairs = [near(asked[k : k + step]) for k in range(0, n, step)]
+        x, y = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
+        root = list(range(n))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        out = []
+        for a, b in zip(x[x < y].tolist(), y[x < y].tolist(), strict=True):
+            i, j = find(a), find(b)
+            if i != j:
+                root[max(i, j)] = min(i, j)
+                out.append((a, b))
+        return out
+    out, left, count = [], np.ones(n, bool), n
+    for start in range(n):
+        if not left[start]:
+            continue
+        queue, left[start] = [start], False
+        count -= 1
+        while queue and count:
             x = queue.pop()
-            near = np.bitwise_count(low[left] ^ low[x]).astype(np.int64) + np.bitwise_count(high[left] ^ high[x]) <= KEEP_RADIUS
-            if near.any():
-                hits = left[near].tolist()
-                out += [(x, y) for y in hits]
-                queue += hits
-                left = left[~near]
+            hits = near(np.array([x]))[1]
+            hits = hits[left[hits]]
+            left[hits], count = False, count - len(hits)
+            out += [(x, y) for y in hits.tolist()]
+            queue += hits.tolist()
     return out
 
 
@@ -328,12 +409,12 @@ def _starts(batch: pa.RecordBatch, keys: int) -> np.ndarray:
 def _wide_shard_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in runs(batches, 3):
         starts = _starts(batch, 3)
-        ids, low, high = (batch.column(k).to_numpy() for k in (3, 4, 5))
-        low, high = low.view(np.uint64), high.view(np.uint64)
+        ids, *words = (batch.column(k).to_numpy() for k in range(3, 4 + len(WORDS)))
+        words = [w.view(np.uint64) for w in words]
         edges = set()
         for i in np.flatnonzero(np.diff(starts) > 1).tolist():
             a, b = int(starts[i]), int(starts[i + 1])
-            edges |= {(int(ids[a + x]), int(ids[a + y])) for x, y in near_forest(low[a:b], high[a:b])}
+            edges |= {(int(ids[a + x]), int(ids[a + y])) for x, y in near_forest(*(w[a:b] for w in words))}
         yield pa.record_batch({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
 
 
@@ -343,9 +424,9 @@ def wide_links(distinct: DataFrame) -> DataFrame:
     part = lambda c, m: F.col(c).bitwiseAND(F.lit(_signed(m)))
     # Shards whose names collide meet for nothing: what comes together is compared anyway.
     shards = F.array(*[F.xxhash64(F.lit(k), part("low", m), part("high", n)) for k, (m, n) in enumerate(masks)])
-    rows = distinct.select(F.explode(shards).alias("shard"), "set_id", "low", "high")
+    rows = distinct.select(F.explode(shards).alias("shard"), "set_id", *WORDS)
     keys = ["shard", "i", "j"]
-    rows = in_blocks(rows, ["shard"], "set_id", SHARD_PRINTS, COUNTED).select(*keys, "set_id", "low", "high")
+    rows = in_blocks(rows, ["shard"], "set_id", SHARD_PRINTS, COUNTED).select(*keys, "set_id", *WORDS)
     return in_batches(rows.repartition(*keys).sortWithinPartitions(*keys), _wide_shard_task, "a long, b long")
 
 
@@ -395,9 +476,9 @@ def near_copies(documents: DataFrame, prints: DataFrame) -> DataFrame:
     ``documents`` have a column ``__row``, which ``prints`` holds as ``row_hash``. Only texts whose set was brought together
     with another one are moved.
     """
-    distinct = prints.groupBy("set_id").agg(F.min("row_hash").alias("row_hash"), F.first("low").alias("low"), F.first("high").alias("high"))
+    distinct = prints.groupBy("set_id").agg(F.min("row_hash").alias("row_hash"), *[F.first(w).alias(w) for w in WORDS])
     distinct = materialise(distinct, "sets")
-    found = connected_components(wide_links(distinct.select("set_id", "low", "high")))
+    found = connected_components(wide_links(distinct.select("set_id", *WORDS)))
     wanted = found.withColumnRenamed("node", "set_id").join(distinct.select("set_id", "row_hash"), "set_id")
     wanted = in_blocks(wanted.select(F.col("row_hash").alias("__row"), "set_id", "component"), ["component"], "set_id", GROUP_SETS)
     wanted = materialise(wanted, "wanted")
@@ -416,9 +497,9 @@ def keep_first(documents: DataFrame) -> DataFrame:
     """One document of each group of near copies, with the columns of ``documents``: the one of the smallest id.
 
     Near copies have a Jaccard similarity of at least KEEP_JACCARD on their sets of KEEP_SHINGLE-word shingles; groups are
-    their connected components. Equal sets are merged first. Sets within KEEP_RADIUS bits of a SimHash of KEEP_BITS bits are
-    found in shards that fix a sample of the bits, and what they connect is verified exactly; a group above GROUP_SETS sets
-    is verified in pairs of blocks.
+    their connected components. Equal sets are merged first. Sets within KEEP_RADIUS bits of two SimHashes of KEEP_BITS bits
+    are found by a BK-tree in each of the shards that fix a sample of the bits, and what they connect is verified exactly; a
+    group above GROUP_SETS sets is verified in pairs of blocks.
 
     Of several rows with that id the one of smallest row hash stays, of equal rows one. Rows with a null id stay only if
     their whole group has none; of the rows of such a group one stays. Rows are told apart by id and row hash. Only rows that
@@ -427,7 +508,7 @@ def keep_first(documents: DataFrame) -> DataFrame:
     columns = documents.columns
     row_hash = F.xxhash64(*columns)
     rows = documents.select(F.col("doc_id").cast("long"), "text", row_hash.alias("row_hash"))
-    prints = materialise(in_batches(rows, _wide_task, "doc_id long, row_hash long, set_id long, low long, high long"), "fingerprints")
+    prints = materialise(in_batches(rows, _wide_task, "doc_id long, row_hash long, set_id long, " + ", ".join(f"{w} long" for w in WORDS)), "fingerprints")
     groups = near_copies(documents.withColumn("__row", row_hash), prints)
     found = prints.select("doc_id", "row_hash", "set_id").join(groups, "set_id", "left").withColumn("group", F.coalesce("group", "set_id"))
     name = F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")

@@ -159,3 +159,27 @@ def test_small_and_large_buckets_link_alike():
     finally:
         simhash.GROUP_BITS = before
     assert small == large and len(set(small)) <= 240
+
+
+def test_unlike_small_sets_do_not_meet():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    prints = [simhash.wide_fingerprint(np.unique(rng.integers(0, 1 << 63, n, dtype=np.int64).view(np.uint64))) for n in (2, 4, 6) for _ in range(300)]
+    assert simhash.near_forest(*np.ascontiguousarray(np.array(prints).T)) == []
+
+
+def test_tree_of_wide_fingerprints_finds_all_within_the_radius(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    words = [rng.integers(0, 1 << 63, 400, dtype=np.int64).view(np.uint64) for _ in range(2)]
+    for i in range(0, 400, 4):
+        words[0][i + 1], words[1][i + 1] = words[0][i] ^ np.uint64((1 << rng.integers(1, 60)) - 1), words[1][i]
+        words[0][i + 2], words[1][i + 2] = words[0][i], words[1][i]
+    x, y = simhash.WideTree(*words).within(np.arange(400), simhash.KEEP_RADIUS)
+    apart = sum(np.bitwise_count(w[:, None] ^ w).astype(int) for w in words)
+    assert set(zip(x.tolist(), y.tolist(), strict=True)) == set(zip(*(v.tolist() for v in np.nonzero(apart <= simhash.KEEP_RADIUS)), strict=True))
+    together = len(simhash.near_forest(*words))
+    monkeypatch.setattr(simhash, "BULK", 1)
+    assert len(simhash.near_forest(*words)) == together >= 100
