@@ -42,3 +42,8 @@ WORLD = "SELECT unnest([0, 1, 199, 200, 201, 20_001, 59_999]) AS s_suppkey"
 @pytest.mark.parametrize("name", ["built_lines", "built_station_clusters", "built_internals", "built_summary", "exported_layers"])
 def test_built_world_of_many_suppliers(spark, tmp_path_factory, name):
     same(spark, tmp_path_factory.mktemp("world"), name, supplier=WORLD)
+
+
+def test_overlapping_boxes_are_not_made_distinct(spark):
+    plan = registry.QUERIES["polygon_bbox_overlap"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "Aggregate" not in plan
