@@ -12,28 +12,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from gridweave.plans.storage import materialise, release
+from gridweave.plans.storage import dealt, materialise, release
 
 MAX_ROUNDS = 60
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
     )
     least = both.groupBy("u").agg(F.min("v").alias("m"))
     return (
-        both.join(least, "u")
+        both.join(dealt(least, rows), "u")
         .where(F.col("v") > F.col("u"))
         .select(F.col("v").alias("a"), F.least("u", "m").alias("b"))
         .distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("a"), F.col("m").alias("b"))
+    moved = down.join(dealt(least, rows), "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
 
@@ -61,7 +61,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     for _ in range(MAX_ROUNDS):
         if not state[0]:
             break
-        following, reached = _stored(_small_star(_large_star(current)))
+        following, reached = _stored(_small_star(_large_star(current, state[0]), state[0]))
         release(current)
         current = following
         if reached == state:
@@ -70,4 +70,4 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     else:
         raise RuntimeError(f"no fixed point after {MAX_ROUNDS} rounds")
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    return dealt(current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots), state[0])

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from gridweave.operators.graph import connected_components
 from gridweave.operators.groups import by_group
 from gridweave.operators.spatial import pairs_within
-from gridweave.plans.storage import materialise, release
+from gridweave.plans.storage import dealt, materialise, release
 
 #: Rows of a component that one task takes; larger components are worked on in rounds.
 GROUP_ROWS = 100_000
@@ -104,7 +104,7 @@ def capped_linkage(points: DataFrame, reach: float, cap: float, seed: str | None
     linked = by_group(small, "component", ["id"], run, f"id {kind}, cluster {kind}")
     if large is not None:
         linked = linked.unionByName(_linked_in_rounds(large, near, cap, seed))
-    return points.select("id").join(linked, "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster"))
+    return points.select("id").join(dealt(linked), "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster"))
 
 
 def _first(d: str, a: str, b: str) -> Column:
@@ -116,13 +116,13 @@ def _settled(pairs: DataFrame, a: str, b: str) -> DataFrame:
     sides = pairs.select(F.col(a).alias("end"), "p").unionByName(pairs.select(F.col(b).alias("end"), "p"))
     first = sides.groupBy("end").agg(F.min("p").alias("least"))
     one, two = (first.select(F.col("end").alias(e), F.col("least").alias(n)) for e, n in ((a, "la"), (b, "lb")))
-    return pairs.join(one, a).join(two, b).where((F.col("p") == F.col("la")) & (F.col("p") == F.col("lb"))).drop("la", "lb")
+    return pairs.join(dealt(one), a).join(dealt(two), b).where((F.col("p") == F.col("la")) & (F.col("p") == F.col("lb"))).drop("la", "lb")
 
 
 def _linked_in_rounds(points: DataFrame, near: DataFrame, cap: float, seed: str | None) -> DataFrame:
     """``id, cluster`` of the points of huge components."""
     start = points.groupBy(seed).agg(F.min("id").alias("cluster")) if seed else points.select("id", F.col("id").alias("cluster"))
-    own = points.join(start, seed or "id").select("id", "cluster", "x", "y")
+    own = points.join(dealt(start), seed or "id").select("id", "cluster", "x", "y")
     label = materialise(own.select("id", "cluster"), "label")
     boxes = materialise(own.groupBy("cluster").agg(F.min("x").alias("w"), F.min("y").alias("s"), F.max("x").alias("e"), F.max("y").alias("n")), "boxes")
     one, two = (label.select(F.col("id").alias(k), F.col("cluster").alias(f"c{k}")) for k in "ab")
@@ -169,7 +169,7 @@ def greedy_match(pairs: DataFrame) -> DataFrame:
                     used |= {a[k], b[k]}
         return batch.select(["a", "b", "d"]).filter(pa.array(keep))
 
-    left = pairs.select("a", "b", F.col("d").cast("double").alias("d"))
+    left = materialise(pairs.select("a", "b", F.col("d").cast("double").alias("d")), "left")
     done: list[DataFrame] = []
     while True:
         groups = connected_components(left.select("a", "b"))

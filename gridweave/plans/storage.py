@@ -12,9 +12,13 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
+#: A table of more rows is never broadcast: it is built in the driver, where it takes many times the size of its files.
+BROADCAST_ROWS = 100_000
+
 _OWN: dict[str, str] = {}
 _SCOPES: list[list[DataFrame]] = []
 
@@ -47,12 +51,17 @@ def released() -> Iterator[None]:
             release(table)
 
 
+def dealt(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df``, joined by dealing both sides out whatever the size of its files, unless ``rows`` are known to be few."""
+    return df if rows is not None and rows <= BROADCAST_ROWS else df.hint("merge")
+
+
 def materialise(df: DataFrame, name: str = "table", stay: bool = False) -> DataFrame:
-    """Write ``df`` to the shared folder and return a reader of the written files."""
+    """Write ``df`` to the shared folder and return a reader of the written files, ``dealt`` by their rows."""
     spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    path, seen = fresh_path(spark, name), Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    out = dealt(spark.read.schema(df.schema).parquet(path), seen.get["rows"])
     out._gridweave_path = path
     if _SCOPES and not stay:
         _SCOPES[-1].append(out)

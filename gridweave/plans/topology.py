@@ -21,7 +21,7 @@ from gridweave.operators.groups import by_group
 from gridweave.operators.linkage import capped_linkage, greedy_match
 from gridweave.operators.ranking import ranked
 from gridweave.operators.spatial import box_cells, pairs_within, path_cells, point_cells
-from gridweave.plans.storage import materialise
+from gridweave.plans.storage import dealt, materialise
 
 PATH = "xs array<double>, ys array<double>"
 CELL = 500.0
@@ -133,7 +133,7 @@ def near_polygon(points: DataFrame, polygons: DataFrame, reach: float, key: list
     def away(x: pd.Series, y: pd.Series, px: pd.Series, py: pd.Series) -> pd.Series:
         return pd.Series([G.point_ring_distance(_path(a, b), np.array([u, v])) for u, v, a, b in zip(x, y, px, py, strict=True)])
 
-    met = left.join(right, ["cx", "cy"]).withColumn("d", F.pandas_udf(away, "double")("x", "y", "px", "py"))
+    met = left.join(dealt(right), ["cx", "cy"]).withColumn("d", F.pandas_udf(away, "double")("x", "y", "px", "py"))
     return met.where(F.col("d") <= reach).select(*key, "pid", "d")
 
 
@@ -156,7 +156,7 @@ def edited(rows: DataFrame, edits: DataFrame, columns: list[str] | None = None)
             out.append((path[:, 0].tolist(), path[:, 1].tolist()))
         return pd.DataFrame(out, columns=["xs", "ys"])
 
-    joined = rows.join(grouped, "key", "left")
+    joined = rows.join(dealt(grouped), "key", "left")
     flags = F.filter(F.transform(F.coalesce("edits", F.array().cast("array<struct<end:int,x:double,y:double,append:boolean,flag:string>>")), lambda e: e["flag"]), lambda f: f.isNotNull())
     done = joined.withColumn("p", F.pandas_udf(run, PATH)("xs", "ys", "edits")).withColumn("qa", F.array_sort(F.array_union("qa", flags)))
     return done.withColumn("xs", F.col("p.xs")).withColumn("ys", F.col("p.ys")).select(*(columns or rows.columns))
@@ -408,7 +408,7 @@ def cluster_junctions(spans: DataFrame, config: Config) -> tuple[DataFrame, Data
     sites = spans.select("key", F.posexplode(F.array("site0", "site1")).alias("end", "site"))
     free = materialise(tips.join(sites.where("site is null"), ["key", "end"]).select("id", "key", "end", "x", "y"), "free")
     first = capped_linkage(free, g.junction_tol, g.max_cluster).withColumnRenamed("cluster", "seed")
-    second = capped_linkage(free.join(first, "id"), g.junction_ext, g.ext_max_cluster, "seed")
+    second = capped_linkage(free.join(dealt(first), "id"), g.junction_ext, g.ext_max_cluster, "seed")
     limit = g.cluster_pair_limit
 
     def middle(batch: pa.RecordBatch, bounds: list[int]) -> pa.RecordBatch:
@@ -418,7 +418,7 @@ def cluster_junctions(spans: DataFrame, config: Config) -> tuple[DataFrame, Data
         columns = [batch.column("cluster").take(pa.array(first)), *(pa.array(points[at, axis]) for at in (best, first) for axis in (0, 1))]
         return pa.record_batch(columns, ["cluster", "mx", "my", "fx", "fy"])
 
-    members = free.join(second, "id")
+    members = free.join(dealt(second), "id")
     centres = by_group(members.select("cluster", "id", "x", "y"), "cluster", ["id"], middle, "cluster string, mx double, my double, fx double, fy double")
     centres = ranked(centres, "number", F.round("fx", 2), F.round("fy", 2), "cluster")
     centres = materialise(centres.withColumn("node_id", F.format_string("jn%07d", F.col("number") + 1)), "junctions")
@@ -427,7 +427,7 @@ def cluster_junctions(spans: DataFrame, config: Config) -> tuple[DataFrame, Data
     placed = materialise(placed.select("key", "end", "node_id", "mx", "my", near.alias("near")), "ends")
     moves = placed.where("near").select("key", "end", F.col("mx").alias("x"), F.col("my").alias("y"), F.lit(False).alias("append"), F.lit(None).cast("string").alias("flag"))
     nodes = placed.groupBy("key").agg(*[F.max(F.when(F.col("end") == e, F.col("node_id"))).alias(f"jn{e}") for e in (0, 1)])
-    out = edited(spans, moves).join(nodes, "key", "left")
+    out = edited(spans, moves).join(dealt(nodes), "key", "left")
     for e in (0, 1):
         out = out.withColumn(f"node{e}", F.coalesce(f"site{e}", f"jn{e}"))
     return materialise(out.drop("jn0", "jn1", "site0", "site1"), "noded"), centres.select("node_id", F.col("mx").alias("x"), F.col("my").alias("y"))

@@ -15,7 +15,7 @@ from gridweave.functions import measure as M
 from gridweave.operators.ranking import running_sums
 from gridweave.operators.spatial import pairs_within
 from gridweave.plans.build import Network
-from gridweave.plans.storage import materialise
+from gridweave.plans.storage import dealt, materialise
 from gridweave.plans.topology import near_polygon
 
 
@@ -71,7 +71,7 @@ def length_report(lines: DataFrame) -> DataFrame:
 def unresolved_ends(edges: DataFrame, buses: DataFrame) -> DataFrame:
     """``line_id, bus_id`` of ends that name no bus."""
     sides = edges.select("line_id", F.explode(F.array("bus0", "bus1")).alias("bus_id")).where("bus_id is not null")
-    return sides.join(buses.select("bus_id"), "bus_id", "left_anti")
+    return sides.join(dealt(buses.select("bus_id")), "bus_id", "left_anti")
 
 
 def voltage_table(lines: DataFrame, traction_hz: float) -> DataFrame:
@@ -138,15 +138,15 @@ def nearest_footprints(ends: DataFrame, rings: DataFrame, reach: float = 500.0)
     def away(x: pd.Series, y: pd.Series, px: pd.Series, py: pd.Series) -> pd.Series:
         return pd.Series([G.point_ring_distance(np.column_stack([a, b]), np.array([u, v])) for u, v, a, b in zip(x, y, px, py, strict=True)])
 
-    own = ends.join(rings, "station_id").withColumn("m", F.pandas_udf(away, "double")("x", "y", "px", "py"))
-    bound = ends.join(own.groupBy("line_id", "end").agg(F.min("m").alias("own")), ["line_id", "end"], "left").select("line_id", "end", "x", "y", "own")
+    own = ends.join(dealt(rings), "station_id").withColumn("m", F.pandas_udf(away, "double")("x", "y", "px", "py"))
+    bound = ends.join(dealt(own.groupBy("line_id", "end").agg(F.min("m").alias("own"))), ["line_id", "end"], "left").select("line_id", "end", "x", "y", "own")
     bound = materialise(bound, "bounds")
     most = bound.agg(F.max("own")).first()[0]
     while most is not None and reach < most:
         reach *= 4
     outside = bound.where("own > 0 or own is null")
     near = near_polygon(outside, rings, reach, ["line_id", "end"]).groupBy("line_id", "end").agg(F.min("d").alias("near"))
-    out = bound.join(near, ["line_id", "end"], "left").select("line_id", "end", F.least("own", "near").alias("metres"))
+    out = bound.join(dealt(near), ["line_id", "end"], "left").select("line_id", "end", F.least("own", "near").alias("metres"))
     return out.where("metres is not null")
 
 
@@ -209,4 +209,4 @@ def hard_checks(network: Network, config: Config) -> DataFrame:
 def _mixed(edges: DataFrame, buses: DataFrame) -> DataFrame:
     """Edges between buses of different frequencies."""
     one, two = (buses.select(F.col("bus_id").alias(f"bus{e}"), F.col("frequency_hz").alias(f"hz{e}")) for e in (0, 1))
-    return edges.select("bus0", "bus1").join(one, "bus0").join(two, "bus1").where("hz0 <> hz1")
+    return edges.select("bus0", "bus1").join(dealt(one), "bus0").join(dealt(two), "bus1").where("hz0 <> hz1")

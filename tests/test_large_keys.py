@@ -47,3 +47,8 @@ def test_built_world_of_many_suppliers(spark, tmp_path_factory, name):
 def test_overlapping_boxes_are_not_made_distinct(spark):
     plan = registry.QUERIES["polygon_bbox_overlap"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" in plan and "Aggregate" not in plan
+
+
+def test_footprints_are_not_broadcast(spark):
+    plan = registry.QUERIES["internal_ends_to_footprints"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
