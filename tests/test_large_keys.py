@@ -52,3 +52,12 @@ def test_overlapping_boxes_are_not_made_distinct(spark):
 def test_footprints_are_not_broadcast(spark):
     plan = registry.QUERIES["internal_ends_to_footprints"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["capped_linkage_in_rows"])
+def test_linkage_of_large_tables_is_not_broadcast(spark, monkeypatch, name):
+    from gridweave.plans import storage
+
+    monkeypatch.setattr(storage, "BROADCAST_ROWS", 10)
+    plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
