@@ -54,7 +54,7 @@ def test_footprints_are_not_broadcast(spark):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["capped_linkage_in_rows"])
+@pytest.mark.parametrize("name", ["capped_linkage_in_rows", "greedy_matching_in_rows"])
 def test_linkage_of_large_tables_is_not_broadcast(spark, monkeypatch, name):
     from gridweave.plans import storage
 
