@@ -61,3 +61,13 @@ def test_linkage_of_large_tables_is_not_broadcast(spark, monkeypatch, name):
     monkeypatch.setattr(storage, "BROADCAST_ROWS", 10)
     plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_stored_tables_are_dealt_by_their_rows(spark, monkeypatch):
+    from gridweave.plans import storage
+
+    monkeypatch.setattr(storage, "BROADCAST_ROWS", 10)
+    for rows, join in ((10, "BroadcastHashJoin"), (11, "SortMergeJoin")):
+        one, two = (storage.materialise(spark.range(rows)) for _ in "ab")
+        plan = one.join(two.groupBy("id").count(), "id")._jdf.queryExecution().executedPlan().toString()
+        assert join in plan
