@@ -205,7 +205,9 @@ def centres(spark: SparkSession, sf_dir: str) -> DataFrame:
             out.append((*centre, *G.pole(square), len(G.hull(np.concatenate([square, [(side / 2, side / 3)]]))) - 1))
         return pd.DataFrame(out, columns=["x", "y", "px", "py", "hull"])
 
-    rows = _cells(spark, sf_dir).withColumn("r", F.pandas_udf(run, "x double, y double, px double, py double, hull int")((nth() % 40 + 10).cast("double")))
+    # Half a millisecond a row, of which a file of a few MB holds a million: dealt out by number, else one task has them all.
+    cells = _cells(spark, sf_dir).repartition(4 * spark.sparkContext.defaultParallelism)
+    rows = cells.withColumn("r", F.pandas_udf(run, "x double, y double, px double, py double, hull int")((nth() % 40 + 10).cast("double")))
     return rows.select("k", F.round("r.x", 6).alias("x"), F.round("r.y", 6).alias("y"), F.col("r.px").alias("pole_x"), F.col("r.py").alias("pole_y"), F.col("r.hull").alias("hull_points"))
 
 
