@@ -27,9 +27,7 @@ def fragments(lines: DataFrame, limit: int) -> DataFrame:
 
 def close_bus_pairs(buses: DataFrame, reach: float) -> DataFrame:
     """``a, b, d``: buses of equal voltage and frequency within reach that no path connects (metric ``x, y``)."""
-    pairs = pairs_within(buses, "bus_id", reach, ("voltage_kv", "frequency_hz"))
-    one, two = (buses.select(F.col("bus_id").alias(n), F.col("component").alias(f"c{n}")) for n in "ab")
-    return pairs.join(one, "a").join(two, "b").where("ca <> cb").select("a", "b", "d")
+    return pairs_within(buses, "bus_id", reach, ("voltage_kv", "frequency_hz"), ("component",))
 
 
 def nearest_ranks(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:

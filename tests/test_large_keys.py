@@ -81,3 +81,13 @@ def test_distance_pairs_meet_in_half_of_the_cells(spark):
     assert found.count() == found.distinct().count() == 24
     exploded = found._jdf.queryExecution().optimizedPlan().toString()
     assert exploded.count("explode") == 1 and "sequence" not in exploded and "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unconnected_pairs_take_one_join(spark):
+    from gridweave.plans.validate import close_bus_pairs
+
+    rows = [(1, 0.0, 7), (2, 1.0, 7), (3, 2.0, 8), (4, 3.0, None)]
+    buses = spark.createDataFrame(rows, "bus_id long, x double, component int").selectExpr("*", "0D AS y", "110D AS voltage_kv", "50D AS frequency_hz")
+    found = close_bus_pairs(buses, 5.0)
+    assert sorted((r.a, r.b) for r in found.collect()) == [(1, 3), (2, 3)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
