@@ -8,10 +8,14 @@ rule runs as it is, with ties broken by the points' own order.
 Points that are dense enough percolate into one huge component. There the rule runs in rounds over the whole table: a pair
 that comes first of all pairs at both of its ends (points, or clusters so far) cannot be affected by any other pair, so all
 such pairs are settled at once. The first pair of all is always among them, and the result is that of the sequential rule.
+
+No pair is affected by a longer one, so dense points are matched in bands of distance: what a band has matched takes no part
+in the next, which is wider as fewer points are left. That keeps both the pairs and the components of a band small.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 import numpy as np
@@ -21,11 +25,13 @@ from pyspark.sql import functions as F
 
 from gridweave.operators.graph import connected_components
 from gridweave.operators.groups import by_group
-from gridweave.operators.spatial import pairs_within
+from gridweave.operators.spatial import pairs_within, point_cells
 from gridweave.plans.storage import dealt, materialise, release
 
 #: Rows of a component that one task takes; larger components are worked on in rounds.
 GROUP_ROWS = 100_000
+#: Neighbours of a point that a band of distance is to have on average; twice as many make huge components.
+NEIGHBOURS = 2.0
 
 
 def close_pairs(x: np.ndarray, y: np.ndarray, reach: float) -> Iterable[tuple[float, int, int]]:
@@ -188,3 +194,25 @@ def greedy_match(pairs: DataFrame) -> DataFrame:
     for more in done[1:]:
         out = out.unionByName(more)
     return out
+
+
+def _band(points: DataFrame, reach: float, keys: tuple[str, ...]) -> float:
+    """The distance up to which points have NEIGHBOURS others on average, by the crowding of cells; at most ``reach``."""
+    cells = point_cells(points, reach).groupBy("cx", "cy", *keys).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    row = cells.agg(F.sum("n").alias("all"), F.sum(F.col("n") * (F.col("n") - 1)).alias("met")).first()
+    return reach if not row["met"] else min(reach, reach * math.sqrt(NEIGHBOURS * row["all"] / (math.pi * row["met"])))
+
+
+def greedy_match_within(points: DataFrame, reach: float, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``greedy_match`` of all pairs of points (``id, x, y``) at most ``reach`` apart with equal ``keys``, not all of them made."""
+    left, upto, out = points.select("id", "x", "y", *keys), 0.0, None
+    while upto < reach:
+        upto = min(reach, max(_band(left, reach, keys), upto * 1.5))
+        taken = materialise(greedy_match(pairs_within(left, "id", upto, keys)), "taken")
+        out = taken if out is None else out.unionByName(taken)
+        if upto < reach:
+            used = taken.select(F.explode(F.array("a", "b")).alias("id"))
+            rest = materialise(left.join(dealt(used), "id", "left_anti"), "left")
+            release(left)
+            left = rest
+    return out

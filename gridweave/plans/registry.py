@@ -12,7 +12,7 @@ from gridweave.config import Config, Traction
 from gridweave.functions import measure as M
 from gridweave.functions import tags as T
 from gridweave.operators.graph import connected_components
-from gridweave.operators.linkage import capped_linkage, greedy_match
+from gridweave.operators.linkage import capped_linkage, greedy_match_within
 from gridweave.operators.spatial import box_cells, distance, nearest_within, pairs_within
 from gridweave.plans import network as N
 from gridweave.plans import synthetic as S
@@ -523,7 +523,7 @@ def capped_linkage_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(None)
 def greedy_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closest-first one-to-one pairs of customers of one nation."""
-    return greedy_match(pairs_within(_spots(spark, sf_dir), "id", 5000.0, ("g",)))
+    return greedy_match_within(_spots(spark, sf_dir), 5000.0, ("g",))
 
 
 @query(

@@ -142,3 +142,20 @@ def test_nearest_looks_further_only_where_nothing_is_near(spark, monkeypatch):
     found = {r["id"]: (r["bus"], r["d"]) for r in spatial.nearest_within(points, "id", others, "bus", 10_000.0).collect()}
     assert found == {0: (0, 1.0), 1: (2, 400.0), 2: (2, 1500.0), 3: (3, 5000.0)}
     assert seen == [5, 3, 2]
+
+
+def test_matching_in_bands_equals_matching_of_all_pairs(spark, monkeypatch):
+    from gridweave.operators import linkage
+
+    rows = [(i, float(round(x)), float(round(y)), i % 2) for i, x, y in points(120, 4, 60)]
+    df = spark.createDataFrame(rows, "id long, x double, y double, g int")
+    pairs = sorted((np.hypot(p[1] - q[1], p[2] - q[2]), p[0], q[0]) for p, q in itertools.combinations(rows, 2) if p[3] == q[3])
+    used, want = set(), []
+    for d, a, b in pairs:
+        if d <= 60 and not {a, b} & used:
+            used |= {a, b}
+            want.append((a, b, d))
+    seen, within = [], linkage.pairs_within
+    monkeypatch.setattr(linkage, "pairs_within", lambda *args: (seen.append(args[2]), within(*args))[1])
+    assert sorted(tuple(r) for r in linkage.greedy_match_within(df, 60.0, ("g",)).collect()) == sorted(want)
+    assert len(seen) > 1 and seen[-1] == 60.0
