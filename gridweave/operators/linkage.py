@@ -10,7 +10,9 @@ that comes first of all pairs at both of its ends (points, or clusters so far) c
 such pairs are settled at once. The first pair of all is always among them, and the result is that of the sequential rule.
 
 No pair is affected by a longer one, so dense points are matched in bands of distance: what a band has matched takes no part
-in the next, which is wider as fewer points are left. That keeps both the pairs and the components of a band small.
+in the next, which is wider as fewer points are left. That keeps both the pairs and the components of a band small. Linkage goes
+in bands too: a band takes the clusters of the bands before it, and only pairs of two clusters that keep within the cap, which
+are few where clusters have grown to it.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from gridweave.operators.graph import connected_components
 from gridweave.operators.groups import by_group
-from gridweave.operators.spatial import pairs_within, point_cells
+from gridweave.operators.spatial import meetings, pairs_within, point_cells
 from gridweave.plans.storage import dealt, materialise, release
 
 #: Rows of a component that one task takes; larger components are worked on in rounds.
@@ -49,7 +51,10 @@ def close_pairs(x: np.ndarray, y: np.ndarray, reach: float) -> Iterable[tuple[fl
 
 
 def link(x: np.ndarray, y: np.ndarray, reach: float, cap: float, seed: list | None = None) -> list[int]:
-    """Group (position of a member) of each point; ``seed`` has a label per point, equal labels start together."""
+    """Group (position of a member) of each point; ``seed`` has a label per point, equal labels start together.
+
+    The sequential rule as it stands, which ``capped_linkage`` is held against.
+    """
     root = list(range(len(x)))
     box = [[x[i], y[i], x[i], y[i]] for i in range(len(x))]
 
@@ -86,31 +91,119 @@ def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return rows.join(large, "component", "left_anti"), rows.join(large, "component", "left_semi")
 
 
+def _link_clusters(one: list, two: list, box_one: list, box_two: list, cap: float) -> list[tuple]:
+    """(cluster, smallest cluster it is joined with, box) of pairs of clusters that come in order; joined ones only."""
+    root, box = {}, {}
+    for label, corners in zip([*one, *two], [*box_one, *box_two], strict=True):
+        root[label], box[label] = label, corners
+    grown = set()
+
+    def find(i):  # noqa: ANN001, ANN202
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in zip(one, two, strict=True):
+        i, j = sorted((find(i), find(j)))
+        if i == j:
+            continue
+        a, b = box[i], box[j]
+        both = [min(a[0], b[0]), min(a[1], b[1]), max(a[2], b[2]), max(a[3], b[3])]
+        wide, tall = both[2] - both[0], both[3] - both[1]
+        if math.sqrt(wide * wide + tall * tall) <= cap:
+            root[j], box[i] = i, both
+            grown.add(i)
+    ends = ((label, find(label)) for label in root)
+    return [(label, end, *box[end]) for label, end in ends if end in grown]
+
+
+BOX = ("w", "s", "e", "n")
+
+
 def capped_linkage(points: DataFrame, reach: float, cap: float, seed: str | None = None) -> DataFrame:
     """``id, cluster`` of points ``id, x, y``; ``seed`` names a column of earlier clusters that stay together.
 
     ``cluster`` is the smallest id of the cluster. A point without neighbours is a cluster of its own.
     """
-    points = points.select("id", "x", "y", *([seed] if seed else []))
-    near = materialise(pairs_within(points, "id", reach), "near")
-    edges = near.select("a", "b")
     if seed:
-        edges = edges.unionByName(points.where(F.col("id") != F.col(seed)).select(F.col("id").alias("a"), F.col(seed).alias("b")))
-    groups = connected_components(edges)
-    members = materialise(points.join(groups, points["id"] == groups["node"]).drop("node"), "members")
-    kind = dict(points.dtypes)["id"]
-    small, large = _split(members)
+        start = points.select("id", "x", "y", F.coalesce(seed, "id").alias("seed"))
+        boxes = start.groupBy("seed").agg(F.min("id").alias("cluster"), F.min("x").alias("w"), F.min("y").alias("s"), F.max("x").alias("e"), F.max("y").alias("n"))
+        own = start.join(dealt(boxes), "seed").drop("seed")
+    else:
+        own = points.select("id", "x", "y", F.col("id").alias("cluster"), F.col("x").alias("w"), F.col("y").alias("s"), F.col("x").alias("e"), F.col("y").alias("n"))
+    own, upto = materialise(own, "points"), 0.0
+    while upto < reach:
+        first = not upto
+        upto = min(reach, _band(own, reach, ()) if first else upto * 1.5)
+        pairs = materialise(_open_pairs(own if first else _open_points(own, upto, cap), upto, cap, first and not seed), "pairs")
+        n = pairs.count()
+        if n:
+            grown = own.join(dealt(_joined(pairs, n, cap)), "cluster", "left")
+            grown = grown.select("id", "x", "y", F.coalesce("into", "cluster").alias("cluster"), *[F.coalesce(f"{c}_", c).alias(c) for c in BOX])
+            if upto < reach:
+                grown = materialise(grown, "points")
+                release(own)
+                release(pairs)
+            own = grown
+    return own.select("id", "cluster")
+
+
+def _diagonal(*names: str) -> Column:
+    """The diagonal of the box around two boxes, whose columns are named by patterns."""
+    low, high = ({c: f(*[n.format(c) for n in names]) for c in BOX} for f in (F.least, F.greatest))
+    wide, tall = high["e"] - low["w"], high["n"] - low["s"]
+    return F.sqrt(wide * wide + tall * tall)
+
+
+def _open_points(own: DataFrame, upto: float, cap: float) -> DataFrame:
+    """The points of clusters that meet another in a cell nearby with which they keep within the cap."""
+    placed = point_cells(own, upto * (1 + 1e-9))
+    cells = placed.groupBy("cluster", "cx", "cy").agg(*[F.first(c).alias(c) for c in BOX]).withColumns({"at_x": F.col("cx"), "at_y": F.col("cy")})
+    met = meetings(cells, "cluster", ["at_x", "at_y", *BOX]).where(_diagonal("u_{}", "v_{}") <= cap)
+    sides = [met.select(F.col(f"{e}_cluster").alias("cluster"), F.col(f"{e}_at_x").alias("cx"), F.col(f"{e}_at_y").alias("cy")) for e in "uv"]
+    return placed.join(dealt(sides[0].unionByName(sides[1]).distinct()), ["cluster", "cx", "cy"], "left_semi").drop("cx", "cy")
+
+
+def _open_pairs(own: DataFrame, upto: float, cap: float, single: bool) -> DataFrame:
+    """``ca, cb``, their boxes and ``d, a, b``: the first pair of points of any two clusters that keep within the cap.
+
+    Of the pairs of two clusters the first decides: what is refused once stays refused, as boxes only grow. ``single``: every
+    point is a cluster.
+    """
+    if single:
+        met = pairs_within(own, "id", upto, carry=("x", "y"))
+        sides = [F.col(f"{'x' if c in 'we' else 'y'}_{e}").alias(f"{c}_{e}") for e in "ab" for c in BOX]
+        met = met.select(F.col("a").alias("ca"), F.col("b").alias("cb"), "d", "a", "b", *sides)
+        return met.where(_diagonal("{}_a", "{}_b") <= cap)
+    met = pairs_within(own, "id", upto, (), ("cluster",), ("cluster", *BOX)).where(_diagonal("{}_a", "{}_b") <= cap)
+    swap = F.col("cluster_a") > F.col("cluster_b")
+    sides = [F.when(swap, F.col(f"{c}_{f}")).otherwise(F.col(f"{c}_{e}")).alias(f"{c}_{e}") for e, f in ("ab", "ba") for c in BOX]
+    ends = [F.least("cluster_a", "cluster_b").alias("ca"), F.greatest("cluster_a", "cluster_b").alias("cb")]
+    least = met.select(*ends, F.struct("d", "a", "b", *sides).alias("p")).groupBy("ca", "cb").agg(F.min("p").alias("p"))
+    return least.select("ca", "cb", "p.*")
+
+
+def _joined(pairs: DataFrame, n: int, cap: float) -> DataFrame:
+    """``cluster, into, w_, s_, e_, n_`` of the clusters that ``n`` pairs join: the smallest of the cluster and its box."""
+    kind = dict(pairs.dtypes)["ca"]
 
     def run(batch: pa.RecordBatch, bounds: list[int]) -> pa.RecordBatch:
-        x, y = (batch.column(c).to_numpy() for c in ("x", "y"))
-        seeds = batch.column(seed).to_pylist() if seed else None
-        root = np.concatenate([np.array(link(x[i:j], y[i:j], reach, cap, seeds[i:j] if seed else None)) + i for i, j in zip(bounds[:-1], bounds[1:], strict=True)])
-        return pa.record_batch([batch.column("id"), batch.column("id").take(pa.array(root))], ["id", "cluster"])
-
-    linked = by_group(small, "component", ["id"], run, f"id {kind}, cluster {kind}")
-    if large is not None:
-        linked = linked.unionByName(_linked_in_rounds(large, near, cap, seed))
-    return points.select("id").join(dealt(linked), "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster"))
+        ends = [batch.column(c).to_pylist() for c in ("ca", "cb")]
+        boxes = [np.column_stack([batch.column(f"{c}_{e}").to_numpy() for c in BOX]).tolist() for e in "ab"]
+        rows = [row for i, j in zip(bounds[:-1], bounds[1:], strict=True) for row in _link_clusters(*[column[i:j] for column in (*ends, *boxes)], cap)]
+        columns = list(zip(*rows, strict=True)) or [()] * (2 + len(BOX))
+        types = [batch.schema.field("ca").type] * 2 + [pa.float64()] * len(BOX)
+        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["cluster", "into", *[f"{c}_" for c in BOX]])
+
+    text = ", ".join([f"cluster {kind}, into {kind}", *[f"{c}_ double" for c in BOX]])
+    if n <= GROUP_ROWS:
+        return by_group(pairs.withColumn("component", F.lit(0)), "component", ["d", "a", "b"], run, text)
+    groups = connected_components(pairs, "ca", "cb")
+    rows = materialise(pairs.join(groups, pairs["ca"] == groups["node"]).drop("node"), "members")
+    small, large = _split(rows)
+    done = by_group(small, "component", ["d", "a", "b"], run, text)
+    return done if large is None else done.unionByName(_linked_in_rounds(large, cap))
 
 
 def _first(d: str, a: str, b: str) -> Column:
@@ -125,38 +218,32 @@ def _settled(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.join(dealt(one), a).join(dealt(two), b).where((F.col("p") == F.col("la")) & (F.col("p") == F.col("lb"))).drop("la", "lb")
 
 
-def _linked_in_rounds(points: DataFrame, near: DataFrame, cap: float, seed: str | None) -> DataFrame:
-    """``id, cluster`` of the points of huge components."""
-    start = points.groupBy(seed).agg(F.min("id").alias("cluster")) if seed else points.select("id", F.col("id").alias("cluster"))
-    own = points.join(dealt(start), seed or "id").select("id", "cluster", "x", "y")
-    label = materialise(own.select("id", "cluster"), "label")
-    boxes = materialise(own.groupBy("cluster").agg(F.min("x").alias("w"), F.min("y").alias("s"), F.max("x").alias("e"), F.max("y").alias("n")), "boxes")
-    one, two = (label.select(F.col("id").alias(k), F.col("cluster").alias(f"c{k}")) for k in "ab")
-    pairs = near.join(one, "a").join(two, "b").where("ca <> cb").select(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"), _first("d", "a", "b").alias("p"))
-    # Of the pairs of two clusters the first decides: what is refused once stays refused, as boxes only grow.
-    pairs = materialise(pairs.groupBy("ca", "cb").agg(F.min("p").alias("p")), "pairs")
+def _linked_in_rounds(rows: DataFrame, cap: float) -> DataFrame:
+    """What ``_joined`` returns, of huge components."""
+    sides = [rows.select(F.col(f"c{e}").alias("cluster"), *[F.col(f"{c}_{e}").alias(c) for c in BOX]) for e in "ab"]
+    boxes = materialise(sides[0].unionByName(sides[1]).groupBy("cluster").agg(*[F.first(c).alias(c) for c in BOX]), "boxes")
+    label = materialise(boxes.select("cluster", F.col("cluster").alias("into")), "label")
+    pairs = materialise(rows.select("ca", "cb", _first("d", "a", "b").alias("p")), "pairs")
     while pairs.limit(1).count():
-        low, high = (boxes.select(*[F.col(c).alias(f"{c}{k}") for c in ("w", "s", "e", "n")], F.col("cluster").alias(f"c{k}")) for k in "ab")
+        low, high = (boxes.select(*[F.col(c).alias(f"{c}{k}") for c in BOX], F.col("cluster").alias(f"c{k}")) for k in "ab")
         met = _settled(pairs, "ca", "cb").join(low, "ca").join(high, "cb")
-        wide = F.greatest("ea", "eb") - F.least("wa", "wb")
-        tall = F.greatest("na", "nb") - F.least("sa", "sb")
-        settled = materialise(met.select("ca", "cb", (F.sqrt(wide * wide + tall * tall) <= cap).alias("good")), "settled")
-        renamed = settled.where("good").select(F.col("cb").alias("cluster"), F.col("ca").alias("into"))
+        settled = materialise(met.select("ca", "cb", (_diagonal("{}a", "{}b") <= cap).alias("good")), "settled")
+        renamed = settled.where("good").select(F.col("cb").alias("old"), F.col("ca").alias("new"))
 
         def named(rows: DataFrame, column: str, renamed: DataFrame = renamed) -> DataFrame:
-            side = renamed.withColumnRenamed("cluster", column)
-            return rows.join(side, column, "left").withColumn(column, F.coalesce("into", column)).drop("into")
+            side = renamed.withColumnRenamed("old", column)
+            return rows.join(side, column, "left").withColumn(column, F.coalesce("new", column)).drop("new")
 
         left = pairs.join(settled.select("ca", "cb"), ["ca", "cb"], "left_anti")
         left = named(named(left, "ca"), "cb").where("ca <> cb").select(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"), "p")
         following = materialise(left.groupBy("ca", "cb").agg(F.min("p").alias("p")), "pairs")
-        labels = materialise(named(label, "cluster").select("id", "cluster"), "label")
+        labels = materialise(named(label, "into").select("cluster", "into"), "label")
         grown = named(boxes, "cluster").groupBy("cluster").agg(F.min("w").alias("w"), F.min("s").alias("s"), F.max("e").alias("e"), F.max("n").alias("n"))
         grown = materialise(grown, "boxes")
         for table in (pairs, label, boxes, settled):
             release(table)
         pairs, label, boxes = following, labels, grown
-    return label
+    return label.join(boxes.select(F.col("cluster").alias("into"), *[F.col(c).alias(f"{c}_") for c in BOX]), "into").select("cluster", "into", *[f"{c}_" for c in BOX])
 
 
 def greedy_match(pairs: DataFrame) -> DataFrame:

@@ -159,3 +159,15 @@ def test_matching_in_bands_equals_matching_of_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(linkage, "pairs_within", lambda *args: (seen.append(args[2]), within(*args))[1])
     assert sorted(tuple(r) for r in linkage.greedy_match_within(df, 60.0, ("g",)).collect()) == sorted(want)
     assert len(seen) > 1 and seen[-1] == 60.0
+
+
+def test_linkage_in_bands_equals_linkage_of_all_pairs(spark, monkeypatch):
+    from gridweave.operators import linkage
+
+    rows = [(i, float(round(x)), float(round(y))) for i, x, y in points(150, 6, 60)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    seen, within = [], linkage.pairs_within
+    monkeypatch.setattr(linkage, "pairs_within", lambda *args, **more: (seen.append((args[0].count(), args[2])), within(*args, **more))[1])
+    got = {r.id: r.cluster for r in capped_linkage(df, 40.0, 50.0).collect()}
+    assert got == dict(enumerate(link(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), 40.0, 50.0)))
+    assert len(seen) > 1 and seen[-1][1] == 40.0 and seen[-1][0] < seen[0][0] == len(rows)
