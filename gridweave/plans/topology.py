@@ -342,15 +342,16 @@ def clip(rows: DataFrame, polygons: DataFrame, config: Config) -> tuple[DataFram
                 out.append([(None, 0.0, path[:, 0].tolist(), path[:, 1].tolist())])
                 continue
             rings = [(r["station_id"], _path(r["px"], r["py"])) for r in own]
-            total, found = G.length(path), []
-            covered = G.inside_intervals(path, [ring for _, ring in rings])
+            total, along, found = G.length(path), G.stations(path), []
+            covered = G.inside_intervals(path, [ring for _, ring in rings], along)
+            alone = rings[0][0] if len({station for station, _ in rings}) == 1 else None
             for s, t in covered:
-                middle = G.point_at(path, (s + t) / 2)
-                station = min(rings, key=lambda r: (G.point_ring_distance(r[1], middle), r[0]))[0]
-                part = G.piece(path, s, t)
+                middle = G.point_at(path, (s + t) / 2, along)
+                station = alone or min(rings, key=lambda r: (G.point_ring_distance(r[1], middle), r[0]))[0]
+                part = G.piece(path, s, t, along)
                 found.append((station, s, part[:, 0].tolist(), part[:, 1].tolist()))
             for s, t in G.outside_intervals(total, covered):
-                part = G.piece(path, s, t)
+                part = G.piece(path, s, t, along)
                 found.append((None, s, part[:, 0].tolist(), part[:, 1].tolist()))
             got = sum(G.length(_path(x, y)) for _, _, x, y in found)
             if total > 0 and got < keep * total:
