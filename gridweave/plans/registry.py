@@ -13,7 +13,7 @@ from gridweave.functions import measure as M
 from gridweave.functions import tags as T
 from gridweave.operators.graph import connected_components
 from gridweave.operators.linkage import capped_linkage, greedy_match_within
-from gridweave.operators.spatial import box_cells, distance, nearest_within, pairs_within
+from gridweave.operators.spatial import distance, nearest_within, overlapping_boxes, pairs_within
 from gridweave.plans import network as N
 from gridweave.plans import synthetic as S
 from gridweave.plans.storage import materialise
@@ -350,13 +350,7 @@ def nearest_bus_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def polygon_bbox_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.abs("v")
     boxes = _spots(spark, sf_dir).select("id", F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("x") + 2000 + size / 2).alias("x1"), (F.col("y") + 2500 + size / 3).alias("y1"))
-    side = 4000.0
-    cells = box_cells(boxes, side, 0.0, *map(F.col, ("x0", "y0", "x1", "y1")))
-    one, two = cells.withColumnsRenamed({"id": "a"}), cells.withColumnsRenamed({"id": "b", "x0": "u0", "y0": "v0", "x1": "u1", "y1": "v1"})
-    met = one.join(two, ["cx", "cy"]).where("a < b and x0 <= u1 and u0 <= x1 and y0 <= v1 and v0 <= y1")
-    # A pair counts in the one cell that holds the low corner of what the boxes share, so nothing is left to make distinct.
-    corner = [F.floor(F.greatest(*axis) / side).cast("long") for axis in (("x0", "u0"), ("y0", "v0"))]
-    return met.where((F.col("cx") == corner[0]) & (F.col("cy") == corner[1])).select("a", "b")
+    return overlapping_boxes(boxes, "id", 2000.0)
 
 
 @query(f"WITH {PLANE_SQL} SELECT p.id AS a, q.id AS b, round({METRES_SQL}, 3) AS d FROM spot p JOIN spot q ON p.id < q.id AND p.g <> q.g AND {METRES_SQL} <= 4000")

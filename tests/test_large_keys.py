@@ -49,6 +49,28 @@ def test_overlapping_boxes_are_not_made_distinct(spark):
     assert "Join" in plan and "Aggregate" not in plan
 
 
+def test_overlapping_boxes_of_far_keys(spark, tmp_path):
+    # Keys 100003 or 99991 apart are level in x or in y, those of both on one point; of two equal keys neither is before the other.
+    keys = ", ".join(str(k + x * 100003 + y * 99991 + both * 100003 * 99991) for k in (0, 9, 50000) for x in range(3) for y in range(3) for both in (0, 1))
+    rows = f"(SELECT unnest([{keys}, 9, 9, -9, -100012, NULL]) AS k), (SELECT unnest([-999.99, 0, 4000, 9999.99, NULL]) AS v)"
+    same(spark, tmp_path, "polygon_bbox_overlap", customer=f"SELECT CAST(k AS BIGINT) AS c_custkey, 1 AS c_nationkey, CAST(v AS DOUBLE) AS c_acctbal FROM {rows}")
+
+
+def test_overlapping_boxes_meet_once(spark):
+    from gridweave.operators.spatial import overlapping_boxes
+
+    spans = [(low, low + long) for low in (-3, -1, 0, 2, 4) for long in (0, 1, 2, 7)]
+    boxes = [(i, float(x0), float(y0), float(x1), float(y1)) for i, ((x0, x1), (y0, y1)) in enumerate((x, y) for x in spans for y in spans)]
+    want = sorted((p[0], q[0]) for p in boxes for q in boxes if p[0] < q[0] and p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4])
+    found = overlapping_boxes(spark.createDataFrame(boxes, "id long, x0 double, y0 double, x1 double, y1 double"), "id", 2.0)
+    assert sorted(map(tuple, found.collect())) == want
+
+
+def test_overlapping_boxes_are_dealt_by_small_cells(spark):
+    plan = registry.QUERIES["polygon_bbox_overlap"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [cell" in plan and "Broadcast" not in plan
+
+
 def test_footprints_are_not_broadcast(spark):
     plan = registry.QUERIES["internal_ends_to_footprints"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
